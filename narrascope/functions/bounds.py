@@ -33,6 +33,18 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out over the cores when the input has fewer splits than there are cores.
+
+    Meant for a small table or a file that cannot be split, in front of costly narrow
+    steps. An input of many splits, as any large one is, is left where it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under the folder all executors share (``spark.checkpoint.dir``).
 

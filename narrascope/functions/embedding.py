@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache, partial
+from functools import partial
 from hashlib import md5
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,27 +23,38 @@ from narrascope.schema import EMBED_BATCH, EMBEDDING_DIM
 
 Encoder = Callable[[list[str]], np.ndarray]
 
+_REMEMBERED_WORDS = 1 << 18
 _WORD = re.compile("[a-z0-9]+")
 
 
-@lru_cache(maxsize=1 << 17)
-def _bucket(word: str, dim: int) -> int:
-    return int(md5(word.encode()).hexdigest()[:8], 16) % dim
+class _Buckets(dict):
+    """Bucket of each word met so far, emptied when it has grown large."""
 
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
 
-def _encode_words(texts: list[str], dim: int) -> np.ndarray:
-    cells = [
-        row * dim + _bucket(word, dim)
-        for row, text in enumerate(texts)
-        for word in _WORD.findall(text.lower())
-    ]
-    counts = np.bincount(np.asarray(cells, dtype=np.int64), minlength=len(texts) * dim)
-    return counts.reshape(len(texts), dim)
+    def __missing__(self, word: str) -> int:
+        if len(self) > _REMEMBERED_WORDS:
+            self.clear()
+        bucket = int(md5(word.encode()).hexdigest()[:8], 16) % self.dim
+        self[word] = bucket
+        return bucket
+
+
+def _encode_words(texts: list[str], buckets: _Buckets) -> np.ndarray:
+    dim = buckets.dim
+    words = [_WORD.findall(text.lower()) for text in texts]
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    found = map(buckets.__getitem__, chain.from_iterable(words))
+    cells = np.fromiter(found, np.int64, int(lengths.sum()))
+    cells += np.repeat(np.arange(len(texts)) * dim, lengths)
+    return np.bincount(cells, minlength=len(texts) * dim).reshape(len(texts), dim)
 
 
 def hashed_words(dim: int = EMBEDDING_DIM) -> Encoder:
     """Stand-in encoder: word counts hashed into ``dim`` buckets, for use without a model."""
-    return partial(_encode_words, dim=dim)
+    return partial(_encode_words, buckets=_Buckets(dim))
 
 
 def unit_rows(vectors: np.ndarray) -> np.ndarray:

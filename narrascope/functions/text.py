@@ -6,7 +6,9 @@ streaming frames alike and never leaves the executor for Python.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import string
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # --- Fixed values -----------------------------------------------------------
@@ -18,6 +20,8 @@ BOILERPLATE = [
     r"this is a complaint (?:about|regarding)",
 ]
 
+KEPT_CHARACTERS = string.ascii_lowercase + string.digits + ".,!?'"
+
 # Java's plain \s is ASCII; (?U) gives the Unicode White_Space property.
 NOT_SPACE = r"(?U)\S"
 SPACES = r"(?U)\s+"
@@ -53,8 +57,8 @@ def normalise(c: Column) -> Column:
     """
     text = F.lower(text_or_empty(c))
     text = F.regexp_replace(text, "x{2,}", " ")
-    text = F.regexp_replace(text, "|".join(BOILERPLATE), " ")
-    text = F.regexp_replace(text, "[^a-z0-9.,!?']+", " ")
+    text = F.regexp_replace(text, f"(?=[it])(?:{'|'.join(BOILERPLATE)})", " ")
+    text = F.regexp_replace(text, f"[^{KEPT_CHARACTERS}]+", " ")
     return F.trim(text)
 
 
@@ -72,6 +76,15 @@ def escape_pipes(c: Column) -> Column:
     return F.replace(c, F.lit("|"), F.lit("\\|"))
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that later filters on it do not compute it again.
+
+    A filter is pushed below a projection with the whole expression copied into it, but
+    not below a generator; this one yields exactly one row per row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def or_question_mark(c: Column) -> Column:
     """``?`` for a missing value; an empty string is a value and stays."""
     return F.coalesce(c, F.lit("?"))

@@ -7,7 +7,7 @@ from itertools import chain
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from narrascope.functions.text import has_text, normalise
+from narrascope.functions.text import computed_once, has_text, normalise
 from narrascope.schema import (
     CATEGORY,
     CATEGORY_OF_PRODUCT,
@@ -49,20 +49,11 @@ def filter_complaints(
     return with_category(kept, product)
 
 
-def _computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """Add a costly column so that later filters on it do not compute it again.
-
-    A filter is pushed below a projection with the whole expression copied into it, but
-    not below a generator; this one yields exactly one row per row.
-    """
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
 def clean_narratives(
     df: DataFrame, narrative: str = NARRATIVE, cleaned: str = CLEANED
 ) -> DataFrame:
     """Add the normalised narrative and drop complaints it leaves empty."""
-    return _computed_once(df, cleaned, normalise(F.col(narrative))).where(F.col(cleaned) != "")
+    return computed_once(df, cleaned, normalise(F.col(narrative))).where(F.col(cleaned) != "")
 
 
 def preview(df: DataFrame, n: int = 5, order: str = COMPLAINT_ID, width: int = 300) -> DataFrame:
@@ -88,7 +79,7 @@ def stage_counts(df: DataFrame, product: str = PRODUCT, narrative: str = NARRATI
     wanted = F.col(CATEGORY).isNotNull() & F.coalesce(has_text(F.col(narrative)), F.lit(False))
     # Only complaints that reach the last stage are cleaned.
     text = F.when(wanted, normalise(F.col(narrative)))
-    staged = _computed_once(mapped.withColumn("wanted", wanted), CLEANED, text)
+    staged = computed_once(mapped.withColumn("wanted", wanted), CLEANED, text)
     counts = staged.groupBy(CATEGORY).agg(
         F.count("*").alias("raw"),
         F.count(CATEGORY).alias("mapped"),

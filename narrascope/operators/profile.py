@@ -7,10 +7,10 @@ and arrives as one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from narrascope.functions.text import has_text, word_count
+from narrascope.functions.text import computed_once, has_text, word_count
 from narrascope.schema import CATEGORY, NARRATIVE, PRODUCT, WORDS
 
 
@@ -74,7 +74,8 @@ def length_frequencies(df: DataFrame, narrative: str = NARRATIVE) -> DataFrame:
     It has one row per distinct word count, so quantiles and bins over it cost the same
     for a thousand complaints as for a trillion.
     """
-    return narrative_lengths(df, narrative).groupBy(WORDS).agg(F.count("*").alias("complaints"))
+    counted = computed_once(df.select(narrative), WORDS, word_count(F.col(narrative)))
+    return counted.groupBy(WORDS).agg(F.count("*").alias("complaints"))
 
 
 def _mean(words: Column, weight: Column) -> Column:
@@ -123,11 +124,12 @@ def length_summary(df: DataFrame, narrative: str = NARRATIVE, with_empty: bool =
 def length_histogram(df: DataFrame, bins: int = 60, narrative: str = NARRATIVE) -> DataFrame:
     """Complaints per bin of equal width over the non-zero word counts; filled bins only."""
     lengths = length_frequencies(df, narrative).where(F.col(WORDS) > 0)
-    low = lengths.agg(F.min(WORDS)).scalar()
-    width = lengths.agg((F.max(WORDS) - F.min(WORDS)) / F.lit(float(bins))).scalar()
+    # The bounds come from the frequencies, which have one row per distinct word count.
+    everything = Window.partitionBy()
+    low, high = F.min(WORDS).over(everything), F.max(WORDS).over(everything)
     place = F.floor(F.try_divide(F.col(WORDS) - F.col("low"), F.col("width")))
     return (
-        lengths.withColumns({"low": low, "width": width})
+        lengths.withColumns({"low": low, "width": (high - low) / F.lit(float(bins))})
         .withColumn("bin", F.least(F.coalesce(place, F.lit(0)), F.lit(bins - 1)).cast("int"))
         .groupBy("bin")
         .agg(

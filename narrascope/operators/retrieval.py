@@ -25,12 +25,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from narrascope.functions.bounds import SMALL_ROWS, small_rows, small_side
+from narrascope.functions.bounds import small_rows, small_side
 from narrascope.schema import CATEGORY, TOP_K
 
 PLACES = 6
-BLOCK_QUESTIONS = 2048
-BLOCK_CHUNKS = 65_536
+RESIDENT_QUESTIONS = 8192
+BLOCK_QUESTIONS = 4096
+BLOCK_CHUNKS = 16_384
+_CANDIDATES = 4
 _SCORES_AT_ONCE = 1 << 22
 _FEW_HITS = 100_000
 
@@ -67,6 +69,10 @@ def _column(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+def _places(similar: np.ndarray) -> np.ndarray:
+    return np.rint((1.0 - similar) * 10**PLACES).astype(np.int64)
+
+
 @dataclass
 class _Questions:
     """Questions of one block: ids, unit vectors and the category each asks for."""
@@ -91,39 +97,70 @@ class _Questions:
             yield category, np.flatnonzero(self.categories == category)
 
 
-@dataclass
 class _Best:
-    """The k best chunks per question seen so far by one task."""
+    """The k best chunks per question seen so far by one task.
 
-    k: int
-    rows: pd.DataFrame | None = None
+    ``worst`` is the k-th best distance of each question, in units of the last place kept.
+    Once it is known, a batch costs one matrix product and one comparison, and only chunks
+    that can still enter the ranking are looked at further.
+    """
 
-    def add(self, questions: np.ndarray, vectors: np.ndarray, ids: np.ndarray, unit: np.ndarray):
+    def __init__(self, questions: int, k: int):
+        self.k = k
+        self.rows: pd.DataFrame | None = None
+        self.worst = np.full(questions, np.inf)
+
+    def add(self, asked: np.ndarray, vectors: np.ndarray, ids: np.ndarray, unit: np.ndarray):
         """Offer chunks, given in ascending order of id, to the questions at these positions."""
-        n = len(ids)
-        if not n or not len(questions):
+        if not len(ids) or not len(asked):
+            return
+        step = max(1, _SCORES_AT_ONCE // len(ids))
+        found = [
+            self._candidates(asked[at : at + step], vectors, ids, unit)
+            for at in range(0, len(asked), step)
+        ]
+        found = [rows for rows in found if len(rows)]
+        if not found:
             return
-        found = []
-        step = max(1, _SCORES_AT_ONCE // n)
-        for at in range(0, len(questions), step):
-            asked = questions[at : at + step]
-            distance = np.rint((1.0 - vectors[asked] @ unit.T) * 10**PLACES).astype(np.int64)
-            # Distance and id in one integer: no ties, however many copies a chunk has.
-            order = distance * n + np.arange(n)
-            k = min(self.k, n)
-            best = np.argpartition(order, k - 1, axis=1)[:, :k]
-            found.append(
-                pd.DataFrame(
-                    {
-                        "question": np.repeat(asked, k),
-                        "distance": np.take_along_axis(distance, best, 1).ravel(),
-                        "chunk_id": ids[best.ravel()],
-                    }
-                )
-            )
         parts = found if self.rows is None else [self.rows, *found]
         ranked = pd.concat(parts).sort_values(["question", "distance", "chunk_id"])
-        self.rows = ranked[ranked.groupby("question").cumcount() < self.k]
+        place = ranked.groupby("question").cumcount()
+        self.rows = ranked[place < self.k]
+        last = ranked[place == self.k - 1]
+        self.worst[last["question"]] = last["distance"]
+
+    def _candidates(self, asked, vectors, ids, unit) -> pd.DataFrame:
+        row, column = self._near(asked, vectors, unit)
+        if row is not None:
+            similar = np.einsum("ij,ij->i", vectors[asked[row]], unit[column])
+        else:
+            every = vectors[asked] @ unit.T
+            # Distance and id in one integer: no ties, however many copies a chunk has.
+            n = len(ids)
+            order = _places(every) * n + np.arange(n)
+            k = min(self.k, n)
+            column = np.argpartition(order, k - 1, axis=1)[:, :k].ravel()
+            row = np.repeat(np.arange(len(asked)), k)
+            similar = every[row, column]
+        return pd.DataFrame(
+            {"question": asked[row], "distance": _places(similar), "chunk_id": ids[column]}
+        )
+
+    def _near(self, asked, vectors, unit):
+        """Pairs that can still be ranked, or nothing when they are not few.
+
+        A product in single precision decides, with slack for rounding and for its error;
+        the pairs it lets through are scored again in double precision.
+        """
+        worst = self.worst[asked]
+        if np.isinf(worst).any():
+            return None, None
+        slack = 1.0 / 10**PLACES + vectors.shape[1] * np.finfo(np.float32).eps
+        floor = (1.0 - worst / 10**PLACES - slack).astype(np.float32)
+        near = vectors[asked].astype(np.float32) @ unit.astype(np.float32).T >= floor[:, None]
+        if np.count_nonzero(near) > _CANDIDATES * self.k * len(asked):
+            return None, None
+        return np.nonzero(near)
 
     def offer(self, questions: _Questions, chunks: pa.Table | pa.RecordBatch):
         unit, kept = _matrix(_column(chunks, "chunk_vector"), questions.vectors.shape[1])
@@ -214,7 +251,7 @@ def nearest_chunks(
     chunk_id: str = "chunk_id",
     chunk_vector: str = "embedding",
     chunk_category: str = CATEGORY,
-    resident_limit: int = SMALL_ROWS,
+    resident_limit: int = RESIDENT_QUESTIONS,
 ) -> DataFrame:
     """Exact top ``k`` as ``(question_id, rank, chunk_id, distance)``.
 
@@ -240,7 +277,7 @@ def _score_resident(resident: pa.Table, asked: DataFrame, held: DataFrame, k: in
     block = _Questions.of(resident)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, id_type = _Best(k), pa.string()
+        best, id_type = _Best(len(block.vectors), k), pa.string()
         for batch in batches:
             id_type = batch.schema.field("chunk_id").type
             best.offer(block, batch)
@@ -295,7 +332,8 @@ def _score_blocks(asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         answer = None
         if left.num_rows and right.num_rows:
-            block, best = _Questions.of(left), _Best(k)
+            block = _Questions.of(left)
+            best = _Best(len(block.vectors), k)
             for batch in right.to_batches(max_chunksize=8192):
                 best.offer(block, batch)
             answer = best.table(block, right.schema.field("chunk_id").type)

@@ -18,6 +18,7 @@ from narrascope.schema import CATEGORY, EMBED_BATCH, STORE_SCHEMA
 
 # An empty partition value cannot be told from a missing one when it is read back.
 _EMPTY_CATEGORY = "(empty)"
+_SALTS = 16
 
 
 def with_embeddings(
@@ -36,18 +37,18 @@ def write_store(
 ) -> int:
     """Embed chunks, write the store and return the number of chunks in it.
 
-    Chunk texts are rebalanced by category before they are embedded: partitions come out
-    at an even size, a category of any weight is spread over many tasks, long documents
-    do not hold one task back, and vectors are written by the task that computes them.
+    Chunk texts are rebalanced by category and a salt before they are embedded: small
+    partitions are merged and large ones split, a category of any weight is spread over
+    many tasks, long documents do not hold one task back, and vectors, several times the
+    size of the texts, are written by the task that computes them.
     Repeated chunk ids are an error; first chunks alone show them.
     """
     spark = chunks.sparkSession
-    even = chunks.withColumn(
-        CATEGORY, F.when(F.col(CATEGORY) == "", F.lit(_EMPTY_CATEGORY)).otherwise(F.col(CATEGORY))
-    ).hint("rebalance", CATEGORY)
-    with_embeddings(even, factory, batch_size).write.mode("overwrite").partitionBy(
-        CATEGORY
-    ).parquet(path)
+    named = F.when(F.col(CATEGORY) == "", F.lit(_EMPTY_CATEGORY)).otherwise(F.col(CATEGORY))
+    salt = F.pmod(F.xxhash64("chunk_id"), F.lit(_SALTS))
+    even = chunks.withColumns({CATEGORY: named, "_salt": salt}).hint("rebalance", CATEGORY, "_salt")
+    stored = with_embeddings(even.drop("_salt"), factory, batch_size)
+    stored.write.mode("overwrite").partitionBy(CATEGORY).parquet(path)
     stored = read_store(spark, path)
     repeated = repeated_ids(stored.where(F.col("chunk_index") == 0)).limit(5).collect()
     if repeated:

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import shared_path
-from narrascope.functions.embedding import embed, hashed_words
 from narrascope.functions.text import excerpt, has_text, normalise
 from narrascope.operators import chunking, cleaning, grounding, profile, retrieval, sampling
 from narrascope.plans.answering import (
@@ -59,6 +58,7 @@ from verification.tables import (
     derive,
     questions,
     table,
+    texts,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -217,8 +217,7 @@ def clean_narratives(spark, sf_dir):
 
 
 def clean_documents(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents")
-    return cleaning.clean_narratives(texts, "text").select("doc_id", CLEANED)
+    return cleaning.clean_narratives(texts(spark, sf_dir), "text").select("doc_id", CLEANED)
 
 
 def clean_preview(spark, sf_dir):
@@ -327,7 +326,7 @@ def embed_index(spark, sf_dir):
 
 def prebuilt_store(spark, sf_dir):
     """Chunks and vectors kept apart, joined by id, written and opened as a foreign store."""
-    documents = derive(table(spark, sf_dir, "documents"), DOCUMENT_COMPLAINTS, "documents")
+    documents = derive(texts(spark, sf_dir), DOCUMENT_COMPLAINTS, "documents")
     chunks = chunking.chunk_fixed(cleaned_complaints(documents))
     vectors = with_embeddings(chunks).select(F.col("chunk_id").alias("vector_id"), "embedding")
     path = _once(
@@ -376,8 +375,10 @@ def knn_filtered(spark, sf_dir):
 def knn_join_text(spark, sf_dir):
     rows = _vectors(spark, sf_dir)
     found = retrieval.nearest_chunks(rows, rows, 2, question_id="vec_id", chunk_id="vec_id")
-    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("chunk_id"), "text", "source")
-    joined = grounding.with_chunk_columns(found, texts)
+    chunks = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("chunk_id"), "text", "source"
+    )
+    joined = grounding.with_chunk_columns(found, chunks)
     return joined.select("question_id", big("rank"), "chunk_id", "source", "text")
 
 
@@ -493,13 +494,13 @@ def cleaned_csv_roundtrip(spark, sf_dir):
 
 
 def stream_clean_chunk(spark, sf_dir):
-    """Documents as a stream: filtered, cleaned, chunked and embedded as they arrive."""
+    """Documents as a stream: filtered, cleaned and chunked as they arrive."""
     schema = table(spark, sf_dir, "documents").schema
     arriving = (
         spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
     )
     rows = derive(arriving, DOCUMENT_COMPLAINTS, "documents")
-    chunks = chunk_stream(rows, chunking.chunk_fixed, hashed_words)
+    chunks = chunk_stream(rows, chunking.chunk_fixed)
     path = shared_path(spark, "stream")
     write_stream(chunks, path, shared_path(spark, "stream-state")).awaitTermination()
     return chunk_rows(spark.read.schema(chunks.schema).parquet(path))

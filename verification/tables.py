@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from narrascope.functions.bounds import spread
+
 DOCUMENT_COMPLAINTS = """
 SELECT CAST(DATE '2024-01-01' + CAST(n_chars % 365 AS INT) AS STRING) AS `Date received`,
        CASE source
@@ -94,6 +96,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt out to all cores where they come as one row group."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def derive(df: DataFrame, sql: str, name: str) -> DataFrame:
     """Run one of the derivations above over a batch or streaming frame."""
     return df.sparkSession.sql(sql.replace(f"FROM {name}", "FROM {rows}"), rows=df)
@@ -101,12 +108,9 @@ def derive(df: DataFrame, sql: str, name: str) -> DataFrame:
 
 def complaints(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
-        derive(table(spark, sf_dir, name), sql, name)
-        for name, sql in (
-            ("documents", DOCUMENT_COMPLAINTS),
-            ("conversations", TURN_COMPLAINTS),
-            ("orders", ORDER_COMPLAINTS),
-        )
+        derive(texts(spark, sf_dir), DOCUMENT_COMPLAINTS, "documents"),
+        derive(table(spark, sf_dir, "conversations"), TURN_COMPLAINTS, "conversations"),
+        derive(table(spark, sf_dir, "orders"), ORDER_COMPLAINTS, "orders"),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
