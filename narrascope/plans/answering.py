@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrascope.functions.bounds import shared_path
+from narrascope.functions.bounds import pinned
 from narrascope.functions.embedding import Encoder, embed, hashed_words
 from narrascope.operators.grounding import (
     NO_SOURCES,
@@ -29,13 +29,6 @@ def question_table(spark: SparkSession, questions: Sequence[str] = REPORT_QUESTI
     return spark.createDataFrame(rows, QUESTION_SCHEMA)
 
 
-def pinned(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder, for results that are used several times."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def retrieve(
     questions: DataFrame,
     store: DataFrame,

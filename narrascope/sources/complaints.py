@@ -3,19 +3,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrascope.schema import CLEANED_SCHEMA, CORRUPT, RAW_SCHEMA
+from narrascope.sources.csv_blocks import csv_records, text_lines
 
 # A character no export holds: with it an empty field reads as null and a quoted empty
 # field as an empty string, and both survive a round trip.
 _NULL_MARK = "\u0000"
+_MOST_BLOCKS = 1_000_000
+_SPLITS_PER_FILE = 4
 
 
 def _with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
+def _csv_options() -> dict[str, str]:
+    return {
+        "multiLine": "true",
+        "quote": '"',
+        "escape": '"',
+        "nullValue": _NULL_MARK,
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT,
+        "maxCharsPerColumn": "-1",
+    }
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -25,26 +41,41 @@ def read_csv(
     """CSV with a header, every column a string, quotes doubled, line breaks in quotes.
 
     ``schema`` gives the file's columns in their order. A record that does not parse is
-    kept: with ``keep_corrupt`` its text is in the corrupt-record column. A file with
-    quoted line breaks cannot be split, so a large export should come as many files or be
-    converted once with ``cache_as_parquet``.
+    kept: with ``keep_corrupt`` its text is in the corrupt-record column. A file is read
+    by one task, so this suits exports of many files; see ``read_large_csv``.
     """
     rows = (
         spark.read.schema(_with_corrupt_column(schema))
-        .option("header", True)
-        .option("enforceSchema", True)
-        .option("multiLine", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", _NULL_MARK)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("maxCharsPerColumn", -1)
+        .options(header=True, enforceSchema=True, **_csv_options())
         .csv(path)
     )
     return rows if keep_corrupt else rows.drop(CORRUPT)
 
 
+def read_large_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = RAW_SCHEMA,
+    keep_corrupt: bool = False,
+) -> DataFrame:
+    """The rows of ``read_csv``, with each file read by as many tasks as it has blocks.
+
+    It reads the text twice, so it is chosen only where it brings several tasks per file.
+    Many small files, compressed files, and more blocks than their states could be
+    broadcast for, are read by ``read_csv``, file by file.
+    """
+    lines = text_lines(spark, path)
+    splits = lines.rdd.getNumPartitions()
+    if splits > _MOST_BLOCKS or splits < _SPLITS_PER_FILE * len(lines.inputFiles()):
+        return read_csv(spark, path, schema, keep_corrupt)
+    full = _with_corrupt_column(schema)
+    ddl = ", ".join(f"`{f.name}` STRING" for f in full)
+    parsed = csv_records(lines).select(F.from_csv("record", ddl, _csv_options()).alias("row"))
+    # As a generator the parsed row is computed once and not once per column.
+    rows = parsed.select(F.inline(F.array("row")))
+    return rows if keep_corrupt else rows.drop(CORRUPT)
+
+
 def header_schema(spark: SparkSession, path: str) -> T.StructType:
     """All-string schema from the header of a CSV export; one line is read."""
     head = spark.read.option("header", True).option("inferSchema", False).csv(path)
@@ -83,7 +114,7 @@ def cache_as_parquet(
     cache, one per export.
     """
     if overwrite or not _exists(spark, f"{parquet_path.rstrip('/')}/_SUCCESS"):
-        rows = read_csv(spark, csv_path, schema or header_schema(spark, csv_path))
+        rows = read_large_csv(spark, csv_path, schema or header_schema(spark, csv_path))
         rows.write.mode("overwrite").parquet(parquet_path)
     return parquet_path
 

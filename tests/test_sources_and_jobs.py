@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from narrascope.functions.embedding import embed, hashed_words
@@ -43,6 +45,46 @@ def test_unterminated_quote_is_kept_as_corrupt(spark, tmp_path):
     assert len(rows) == 2 and "never closed" in rows[1][CORRUPT] and "swallowed" in rows[1][CORRUPT]
 
 
+@pytest.mark.parametrize("line_end", ["\n", "\r\n"])
+@pytest.mark.parametrize("block", [61, 250])
+def test_blocks_give_the_rows_of_the_plain_reader(spark, tmp_path, block, line_end):
+    """Blocks far smaller than a record: borders fall inside fields, quotes and breaks."""
+    pick = random.Random(block)
+    fields = ["", '""', "plain", '"a, b"', '"two\nlines"', '"q ""x"" q"', 'stray 5" pipe', '"\n\n"',
+              '"ends with quote"""', '"""starts"', "é😀", '" , ""\n"", "', '"' + "long " * 40 + '\n"']
+    lines = [",".join(pick.choice(fields) for _ in range(3)) for _ in range(40)]
+    path = tmp_path / "part.csv"
+    path.write_bytes(("a,b,c\n" + "\n".join(lines) + "\n").replace("\n", line_end).encode())
+    schema = "a string, b string, c string"
+    schema = spark.createDataFrame([], schema).schema
+    settings = {"spark.sql.files.maxPartitionBytes": str(block), "spark.sql.files.openCostInBytes": "0"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = S.read_large_csv(spark, str(path), schema, keep_corrupt=True).collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    plain = S.read_csv(spark, str(path), schema, keep_corrupt=True).collect()
+    assert len(plain) == 40
+    assert sorted(map(repr, found)) == sorted(map(repr, plain))
+
+
+def test_blocks_keep_an_unterminated_quote(spark, tmp_path):
+    path = export(tmp_path, *[row("fine", i) for i in range(30)], row('"never closed', 90), row("swallowed", 91))
+    settings = {"spark.sql.files.maxPartitionBytes": "200", "spark.sql.files.openCostInBytes": "0"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        rows = S.read_large_csv(spark, path, keep_corrupt=True).collect()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert len(rows) == 31
+    corrupt = [r[CORRUPT] for r in rows if r[CORRUPT]]
+    assert len(corrupt) == 1 and "never closed" in corrupt[0] and "swallowed" in corrupt[0]
+
+
 def test_scan_by_suffix_and_header(spark, tmp_path, raw):
     raw.write.parquet(str(tmp_path / "x.parquet"))
     assert S.scan_complaints(spark, str(tmp_path / "x.parquet")).count() == 4

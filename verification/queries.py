@@ -18,7 +18,6 @@ from narrascope.plans.answering import (
     answer_questions,
     answer_with_cards,
     evaluate,
-    pinned,
     question_table,
     retrieve,
     save_report,
