@@ -83,13 +83,18 @@ def chunk_statistics(chunks: DataFrame) -> DataFrame:
 
 
 def trace_chunks(chunks: DataFrame, complaints: DataFrame) -> DataFrame:
-    """Chunks with the columns of the complaint they were cut from."""
+    """Chunks with the columns of the complaint they were cut from.
+
+    Chunks of complaints without an id cannot be traced and are left out; were they
+    joined, each would meet every other complaint without an id.
+    """
     sources = complaints.select(
         *[
             F.col(f"`{c}`").alias("source_id" if c == COMPLAINT_ID else c)
             for c in complaints.columns
         ]
     )
+    sources = sources.where(F.col("source_id") != "")
     return chunks.join(sources, F.col("complaint_id") == F.col("source_id")).drop("source_id")
 
 

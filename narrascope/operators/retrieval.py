@@ -357,9 +357,15 @@ def train_cells(
     seed: int = 42,
     chunk_vector: str = "embedding",
     max_iter: int = 10,
+    share: float = 1.0,
 ) -> KMeansModel:
-    """Centroids of the store, for search that visits only part of it."""
-    vectors = store.select(array_to_vector(F.col(chunk_vector)).alias("features"))
+    """Centroids of the store, for search that visits only part of it.
+
+    ``share`` of the vectors is enough to place centroids in a very large store; every
+    chunk is assigned to a cell whatever the share.
+    """
+    drawn = store if share >= 1.0 else store.sample(share, seed=seed)
+    vectors = drawn.select(array_to_vector(F.col(chunk_vector)).alias("features"))
     return KMeans(k=cells, seed=seed, maxIter=max_iter).fit(vectors)
 
 

@@ -9,7 +9,8 @@ and only that one slice is ranked.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,33 +66,32 @@ def stratified_sample(
     group: str = CATEGORY,
     key: Sequence[str] = (COMPLAINT_ID,),
     slice_digits: int = 4,
+    rank_limit: int = 1_000_000,
     shuffle: bool = False,
 ) -> DataFrame:
     """Draw exactly the quota of each stratum without replacement.
 
-    The same rows come back for any partitioning. ``key`` should identify a row: add
-    columns where ids are missing or repeated. ``slice_digits`` hex digits of the hash
-    make the slices. ``shuffle`` puts the result in draw order.
+    The same rows come back for any partitioning. ``key`` should identify a row.
+    ``slice_digits`` hex digits of the hash make the slices. Should a last slice still
+    hold more than ``rank_limit`` rows, as when many rows lack an id, it is sliced once
+    more by a hash of whole rows. ``shuffle`` puts the result in draw order.
     """
+    columns = [F.col(f"`{c}`") for c in df.columns]
     order = draw_order(seed, key)
-    keyed = df.withColumns({"_order": order, "_slice": F.substring(order, 1, slice_digits)})
-    slices = keyed.groupBy(group, "_slice").agg(F.count("*").alias("_rows"))
-    limits = small_side(_last_slices(slices, n, group))
+    rows = df.withColumns({"_order": order, "_slice": F.substring(order, 1, slice_digits)})
+    certain, edge, largest = _cut(rows, lambda slices: _wanted(slices, n, group), group)
+    sample = certain.select(*columns, "_order")
 
-    wanted = keyed.join(
-        limits.withColumnRenamed(group, "_group"), F.col(group).eqNullSafe(F.col("_group"))
-    )
-    inside = wanted.where(F.col("_slice") < F.col("_last"))
-    edge = wanted.where(F.col("_slice") == F.col("_last"))
+    tie = F.hex(F.xxhash64(*columns))
+    if largest > rank_limit:
+        wanted = edge.wanted
+        finer = F.concat("_order", F.substring(tie, 1, slice_digits))
+        certain, edge, _ = _cut(edge.rows.withColumn("_slice", finer), lambda _: wanted, group)
+        sample = sample.unionByName(certain.select(*columns, "_order"))
 
     # Copies of a row are interchangeable: count them before ranking, repeat them after.
-    columns = df.columns
-    copies = edge.groupBy(*[F.col(f"`{c}`") for c in columns], "_order", "_take").agg(
-        F.count("*").alias("_copies")
-    )
-    ranked = Window.partitionBy(group).orderBy(
-        "_order", F.xxhash64(*[F.col(f"`{c}`") for c in columns])
-    )
+    copies = edge.rows.groupBy(*columns, "_order", "_take").agg(F.count("*").alias("_copies"))
+    ranked = Window.partitionBy(group).orderBy("_order", tie)
     before = F.sum("_copies").over(
         ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ) - F.col("_copies")
@@ -100,32 +100,59 @@ def stratified_sample(
         .where("_left > 0")
         .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_left"))))
     )
-    sample = inside.select(*columns, "_order").unionByName(taken.select(*columns, "_order"))
+    sample = sample.unionByName(taken.select(*columns, "_order"))
     return (sample.orderBy("_order") if shuffle else sample).drop("_order")
 
 
-def _last_slices(slices: DataFrame, n: int, group: str) -> DataFrame:
-    """Per stratum: the slice that holds the last wanted row, and how many rows it gives."""
+class _Edge(NamedTuple):
+    """Rows of the last slices, and how many of them each stratum still wants."""
+
+    rows: DataFrame
+    wanted: DataFrame
+
+
+def _wanted(slices: DataFrame, n: int, group: str) -> DataFrame:
     sizes = slices.groupBy(group).agg(F.sum("_rows").alias("size"))
-    quotas = _quotas(sizes, n, group).where("quota > 0").withColumnRenamed(group, "_group")
+    return _quotas(sizes, n, group).select(
+        F.col(group).alias("_group"), F.col("quota").alias("_wanted")
+    )
+
+
+def _cut(
+    rows: DataFrame, wanted: Callable[[DataFrame], DataFrame], group: str
+) -> tuple[DataFrame, _Edge, int]:
+    """Rows below the slice that holds the last wanted row, and the rows of that slice.
+
+    Also gives the number of rows in the largest such slice. Only counts per slice are
+    shuffled; the limits, one row per stratum, are joined to the rows where they lie.
+    """
+    slices = rows.groupBy(group, "_slice").agg(F.count("*").alias("_rows"))
     running = F.sum("_rows").over(
         Window.partitionBy(group)
         .orderBy("_slice")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
+    limits = small_side(
         slices.withColumn("_running", running)
-        .join(quotas, F.col(group).eqNullSafe(F.col("_group")))
-        .where(
-            (F.col("_running") >= F.col("quota"))
-            & (F.col("_running") - F.col("_rows") < F.col("quota"))
+        .join(
+            wanted(slices).where("_wanted > 0"), F.col(group).eqNullSafe(F.col("_group"))
         )
+        .where("_running >= _wanted AND _running - _rows < _wanted")
         .select(
-            group,
+            "_group",
             F.col("_slice").alias("_last"),
-            (F.col("quota") - (F.col("_running") - F.col("_rows"))).alias("_take"),
+            (F.col("_wanted") - (F.col("_running") - F.col("_rows"))).alias("_take"),
+            "_rows",
         )
     )
+    largest = limits.agg(F.max("_rows")).first()[0] or 0
+    marked = rows.drop("_take").join(limits, F.col(group).eqNullSafe(F.col("_group")))
+    edge = marked.where("_slice = _last").drop("_group", "_last", "_rows")
+    return (
+        marked.where("_slice < _last"),
+        _Edge(edge, limits.select("_group", F.col("_take").alias("_wanted"))),
+        largest,
+    )
 
 
 def sample_balance(before: DataFrame, after: DataFrame, group: str = CATEGORY) -> DataFrame:

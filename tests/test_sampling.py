@@ -1,3 +1,4 @@
+import itertools
 from collections import Counter
 
 import pytest
@@ -72,13 +73,24 @@ def test_copies_and_repeated_ids_do_not_change_the_size(spark):
         F.lit("a").alias(CATEGORY), F.lit("other").alias(COMPLAINT_ID), F.col("id").cast("int").alias("n")
     )
     df = copies.unionByName(others)
-    for n in (1, 250, 699, 701, 999):
-        rows = stratified_sample(df, n).collect()
+    for n, limit in itertools.product((1, 250, 699, 701, 999), (1_000_000, 5)):
+        rows = stratified_sample(df, n, rank_limit=limit).collect()
         assert len(rows) == n
         distinct = [r.n for r in rows if r[COMPLAINT_ID] == "other"]
         assert len(set(distinct)) == len(distinct)
 
 
+def test_a_stratum_without_ids_is_sliced_by_whole_rows(spark):
+    df = spark.range(400).select(
+        F.lit("a").alias(CATEGORY), F.lit(None).cast("string").alias(COMPLAINT_ID), F.col("id").alias("n")
+    )
+    found = [
+        sorted(r.n for r in stratified_sample(df.repartition(parts), 150, rank_limit=limit, slice_digits=d).collect())
+        for parts, limit, d in ((1, 1_000_000, 4), (5, 10, 4), (3, 10, 1))
+    ]
+    assert found[0] == found[1] == found[2] and len(set(found[0])) == 150
+
+
 def test_draw_order_on_request(spark):
     df = frame(spark, a=50, b=50)
     rows = [r[COMPLAINT_ID] for r in stratified_sample(df, 40, shuffle=True).collect()]
