@@ -89,15 +89,42 @@ def _deviation(words: Column, weight: Column) -> Column:
     return F.sqrt(F.greatest(F.try_divide(squares - total * total / n, n - 1), F.lit(0.0)))
 
 
-def length_summary(df: DataFrame, narrative: str = NARRATIVE, with_empty: bool = False) -> DataFrame:
-    """One row: count, mean, deviation, minimum, quartiles, 95th percentile and maximum.
+def length_describe(df: DataFrame, narrative: str = NARRATIVE) -> DataFrame:
+    """One row describing the word counts of all complaints, those without words included.
 
-    Complaints without words are left out unless ``with_empty`` is set. Percentiles are
-    exact and interpolated.
+    Quartiles are observed values: the one whose place, counted from zero, is nearest to
+    the quantile's share of the last place.
     """
-    lengths = length_frequencies(df, narrative)
-    if not with_empty:
-        lengths = lengths.where(F.col(WORDS) > 0)
+    words, weight = F.col(WORDS), F.col("complaints")
+    # Windows over the frequencies, which have one row per distinct word count.
+    through = Window.partitionBy().orderBy(WORDS)
+    ranked = length_frequencies(df, narrative).withColumns(
+        {"through": F.sum(weight).over(through), "total": F.sum(weight).over(Window.partitionBy())}
+    )
+
+    def quantile(share: float) -> Column:
+        place = F.round(F.lit(share) * (F.col("total") - 1))
+        return F.min(F.when(F.col("through") > place, words))
+
+    return ranked.agg(
+        F.coalesce(F.sum(weight), F.lit(0)).alias("count"),
+        F.lit(0).cast("long").alias("null_count"),
+        _mean(words, weight).alias("mean"),
+        _deviation(words, weight).alias("std"),
+        F.min(words).alias("min"),
+        quantile(0.25).alias("p25"),
+        quantile(0.5).alias("p50"),
+        quantile(0.75).alias("p75"),
+        F.max(words).alias("max"),
+    )
+
+
+def length_summary(df: DataFrame, narrative: str = NARRATIVE) -> DataFrame:
+    """One row on complaints with words: moments, quartiles, 95th percentile and maximum.
+
+    Percentiles are exact and interpolated.
+    """
+    lengths = length_frequencies(df, narrative).where(F.col(WORDS) > 0)
     words, weight = F.col(WORDS), F.col("complaints")
     points = F.percentile(words, F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.95))), weight)
     return lengths.agg(

@@ -29,8 +29,8 @@ from narrascope.functions.bounds import small_rows, small_side
 from narrascope.schema import CATEGORY, TOP_K
 
 PLACES = 6
-RESIDENT_QUESTIONS = 8192
-BLOCK_QUESTIONS = 4096
+RESIDENT_QUESTIONS = 16_384
+BLOCK_QUESTIONS = 32_768
 BLOCK_CHUNKS = 16_384
 _CANDIDATES = 4
 _SCORES_AT_ONCE = 1 << 22

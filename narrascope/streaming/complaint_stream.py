@@ -43,12 +43,18 @@ def chunk_stream(
     return chunks if factory is None else with_embeddings(chunks, factory)
 
 
-def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Start writing to Parquet; everything available now is processed, then it stops."""
+def write_stream(
+    df: DataFrame, path: str, checkpoint: str, partition_by: str | None = None
+) -> StreamingQuery:
+    """Start writing to Parquet; everything available now is processed, then it stops.
+
+    Embedded chunks written with ``partition_by="product_category"`` add to a chunk store.
+    """
+    writer = df.writeStream.format("parquet").outputMode("append")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
     return (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", path)
+        writer.option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -47,6 +47,13 @@ def test_length_statistics_on_no_rows_and_equal_lengths(spark, raw):
     assert (row["mean"], row["std"], row["median"]) == (2.0, 0.0, 2.0)
 
 
+def test_describe_takes_the_nearest_observed_value(raw):
+    row = profile.length_describe(raw).first()
+    # Word counts 0, 1, 2, 2: places 0.75, 1.5 and 2.25 of the last place 3.
+    assert (row["count"], row["min"], row.p25, row.p50, row.p75, row["max"]) == (4, 0, 1, 2, 2, 2)
+    assert profile.length_describe(raw.limit(0)).first()["count"] == 0
+
+
 def test_cleaning_drops_what_becomes_empty_and_cleans_once(spark):
     df = spark.createDataFrame(
         [("Credit card", "XXXX"), ("Credit card", "Fee!"), ("Money transfers", None)],

@@ -8,6 +8,7 @@ from narrascope.plans.indexing import build_store
 from narrascope.plans.preprocess import cleaned_complaints, preprocess
 from narrascope.schema import CLEANED, COMPLAINT_COLUMNS, CORRUPT, NARRATIVE, RAW_SCHEMA
 from narrascope.sources import complaints as S
+from narrascope.sources.chunk_store import read_store
 from narrascope.streaming.complaint_stream import chunk_stream, read_complaint_stream, write_stream
 
 HEADER = ",".join(COMPLAINT_COLUMNS)
@@ -131,14 +132,14 @@ def test_stream_equals_batch(spark, tmp_path):
     rows.repartition(3).write.parquet(source)
     stream = chunk_stream(read_complaint_stream(spark, source, max_files=1), chunk_fixed, hashed_words)
     out, state = str(tmp_path / "out"), str(tmp_path / "state")
-    write_stream(stream, out, state).awaitTermination()
-    found = spark.read.parquet(out)
+    write_stream(stream, out, state, "product_category").awaitTermination()
+    found = read_store(spark, out)
     batch = chunk_fixed(cleaned_complaints(rows))
     assert sorted(r.chunk_id for r in found.collect()) == sorted(r.chunk_id for r in batch.collect())
     assert {len(r.embedding) for r in found.collect()} == {384}
     # Nothing new: a second run adds nothing.
     again = chunk_stream(read_complaint_stream(spark, source, max_files=1), chunk_fixed, hashed_words)
-    write_stream(again, out, state).awaitTermination()
+    write_stream(again, out, state, "product_category").awaitTermination()
     assert spark.read.parquet(out).count() == found.count()
 
 

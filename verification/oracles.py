@@ -298,7 +298,13 @@ ORACLES: dict[str, str] = {
                round(quantile_cont(n, 0.95), 6) AS p95, CAST(max(n) AS BIGINT) AS max
         FROM lengths WHERE n > 0""",
     "length_describe": f"""WITH {COMPLAINTS}, {LENGTHS}
-        SELECT {_SUMMARY}, CAST(max(n) AS BIGINT) AS max FROM lengths""",
+        SELECT count(*) AS count, CAST(0 AS BIGINT) AS null_count, round(avg(n), 6) AS mean,
+               round(stddev_samp(n), 6) AS std, CAST(min(n) AS BIGINT) AS min,
+               CAST(list_sort(list(n))[CAST(round(0.25 * (count(*) - 1)) AS BIGINT) + 1] AS BIGINT) AS p25,
+               CAST(list_sort(list(n))[CAST(round(0.5 * (count(*) - 1)) AS BIGINT) + 1] AS BIGINT) AS p50,
+               CAST(list_sort(list(n))[CAST(round(0.75 * (count(*) - 1)) AS BIGINT) + 1] AS BIGINT) AS p75,
+               CAST(max(n) AS BIGINT) AS max
+        FROM lengths""",
     "length_histogram": f"""WITH {COMPLAINTS}, {LENGTHS},
         bounds AS (SELECT min(n) AS low, (max(n) - min(n)) / 60.0::DOUBLE AS width
                    FROM lengths WHERE n > 0),

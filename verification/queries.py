@@ -185,10 +185,10 @@ def length_summary(spark, sf_dir):
 
 
 def length_describe(spark, sf_dir):
-    row = profile.length_summary(complaints(spark, sf_dir), with_empty=True)
+    row = profile.length_describe(complaints(spark, sf_dir))
     return row.select(
-        big("count"), rounded("mean"), rounded("std"), big("min"), rounded("p25"),
-        rounded("median"), rounded("p75"), big("max"),
+        big("count"), big("null_count"), rounded("mean"), rounded("std"), big("min"), big("p25"),
+        big("p50"), big("p75"), big("max"),
     )
 
 
