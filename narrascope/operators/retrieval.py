@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -49,19 +50,31 @@ def cosine_distance(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), distance)
 
 
-def _matrix(vectors: pa.ListArray, dim: int | None) -> tuple[np.ndarray, np.ndarray]:
-    """Unit rows of the usable vectors and their positions; others cannot be near anything."""
+def _usable(vectors: pa.ListArray, dim: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the vectors that have a direction and the wanted length, and their places."""
     lengths = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy(zero_copy_only=False)
     if dim is None:
         dim = int(lengths.max(initial=0))
     keep = np.flatnonzero(lengths == dim)
     if dim == 0 or not len(keep):
         return np.zeros((0, dim)), keep[:0]
-    flat = vectors.take(pa.array(keep)).flatten()
-    rows = np.asarray(flat.to_numpy(zero_copy_only=False), np.float64).reshape(-1, dim)
-    norms = np.sqrt((rows * rows).sum(axis=1))
-    usable = np.isfinite(norms) & (norms > 0)
-    return rows[usable] / norms[usable, None], keep[usable]
+    if len(keep) < len(lengths):
+        vectors = vectors.take(pa.array(keep))
+    rows = vectors.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    squares = np.einsum("ij,ij->i", rows, rows)
+    usable = np.isfinite(squares) & (squares > 0)
+    if not usable.all():
+        # Very small and very large numbers leave the range of single precision.
+        odd = np.flatnonzero(~usable)
+        norms = np.linalg.norm(rows[odd].astype(np.float64), axis=1)
+        usable[odd] = np.isfinite(norms) & (norms > 0)
+        rows, keep = rows[usable], keep[usable]
+    return rows, keep
+
+
+def _unit(rows: np.ndarray) -> np.ndarray:
+    rows = rows.astype(np.float64)
+    return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
 def _column(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
@@ -83,13 +96,13 @@ class _Questions:
 
     @classmethod
     def of(cls, table: pa.Table) -> _Questions:
-        vectors, kept = _matrix(_column(table, "question_vector"), None)
+        rows, kept = _usable(_column(table, "question_vector"), None)
         kept = pa.array(kept)
         categories = _column(table, "wanted_category").take(kept)
         return cls(
             _column(table, "question_id").take(kept),
             np.asarray(categories.to_pylist(), dtype=object),
-            vectors,
+            _unit(rows),
         )
 
     def groups(self) -> Iterator[tuple[str | None, np.ndarray]]:
@@ -97,6 +110,36 @@ class _Questions:
             yield category, np.flatnonzero(self.categories == category)
 
 
+class _Chunks:
+    """Usable chunks of one batch, at unit length in the precision that is asked for."""
+
+    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+        self.ids, self.rows = ids, rows
+
+    def __len__(self) -> int:
+        return len(self.ids)
+
+    def take(self, places: np.ndarray) -> _Chunks:
+        return _Chunks(self.ids[places], self.rows[places])
+
+    @cached_property
+    def double(self) -> np.ndarray:
+        return _unit(self.rows)
+
+    @cached_property
+    def single(self) -> np.ndarray:
+        squares = np.einsum("ij,ij->i", self.rows, self.rows)
+        if np.isfinite(squares).all() and (squares > 1e-30).all():
+            return (self.rows / np.sqrt(squares)[:, None]).astype(np.float32)
+        return self.double.astype(np.float32)
+
+    @cached_property
+    def id_order(self) -> np.ndarray:
+        order = np.empty(len(self), np.int64)
+        order[np.argsort(self.ids, kind="stable")] = np.arange(len(self))
+        return order
+
+
 class _Best:
     """The k best chunks per question seen so far by one task.
 
@@ -105,19 +148,36 @@ class _Best:
     that can still enter the ranking are looked at further.
     """
 
-    def __init__(self, questions: int, k: int):
+    def __init__(self, questions: _Questions, k: int):
         self.k = k
+        self.questions = questions
+        self.single = questions.vectors.astype(np.float32)
         self.rows: pd.DataFrame | None = None
-        self.worst = np.full(questions, np.inf)
+        self.worst = np.full(len(questions.vectors), np.inf)
 
-    def add(self, asked: np.ndarray, vectors: np.ndarray, ids: np.ndarray, unit: np.ndarray):
-        """Offer chunks, given in ascending order of id, to the questions at these positions."""
-        if not len(ids) or not len(asked):
+    def offer(self, batch: pa.Table | pa.RecordBatch):
+        rows, kept = _usable(_column(batch, "chunk_vector"), self.single.shape[1])
+        if not len(kept):
             return
-        step = max(1, _SCORES_AT_ONCE // len(ids))
+        kept = pa.array(kept)
+        ids = _column(batch, "chunk_id").take(kept).to_pylist()
+        chunks, held = _Chunks(np.asarray(ids, dtype=object), rows), None
+        for category, asked in self.questions.groups():
+            if category is None:
+                self._add(asked, chunks)
+                continue
+            if held is None:
+                held = _column(batch, "chunk_category").take(kept).to_pylist()
+                held = np.asarray(held, dtype=object)
+            self._add(asked, chunks.take(np.flatnonzero(held == category)))
+
+    def _add(self, asked: np.ndarray, chunks: _Chunks):
+        """Rank chunks for the questions at these positions."""
+        if not len(chunks) or not len(asked):
+            return
+        step = max(1, _SCORES_AT_ONCE // len(chunks))
         found = [
-            self._candidates(asked[at : at + step], vectors, ids, unit)
-            for at in range(0, len(asked), step)
+            self._candidates(asked[at : at + step], chunks) for at in range(0, len(asked), step)
         ]
         found = [rows for rows in found if len(rows)]
         if not found:
@@ -129,24 +189,28 @@ class _Best:
         last = ranked[place == self.k - 1]
         self.worst[last["question"]] = last["distance"]
 
-    def _candidates(self, asked, vectors, ids, unit) -> pd.DataFrame:
-        row, column = self._near(asked, vectors, unit)
+    def _candidates(self, asked: np.ndarray, chunks: _Chunks) -> pd.DataFrame:
+        vectors = self.questions.vectors
+        row, column = self._near(asked, chunks)
         if row is not None:
-            similar = np.einsum("ij,ij->i", vectors[asked[row]], unit[column])
+            similar = np.einsum("ij,ij->i", vectors[asked[row]], _unit(chunks.rows[column]))
         else:
-            every = vectors[asked] @ unit.T
+            every = vectors[asked] @ chunks.double.T
             # Distance and id in one integer: no ties, however many copies a chunk has.
-            n = len(ids)
-            order = _places(every) * n + np.arange(n)
-            k = min(self.k, n)
+            order = _places(every) * len(chunks) + chunks.id_order
+            k = min(self.k, len(chunks))
             column = np.argpartition(order, k - 1, axis=1)[:, :k].ravel()
             row = np.repeat(np.arange(len(asked)), k)
             similar = every[row, column]
         return pd.DataFrame(
-            {"question": asked[row], "distance": _places(similar), "chunk_id": ids[column]}
+            {
+                "question": asked[row],
+                "distance": _places(similar),
+                "chunk_id": chunks.ids[column],
+            }
         )
 
-    def _near(self, asked, vectors, unit):
+    def _near(self, asked: np.ndarray, chunks: _Chunks):
         """Pairs that can still be ranked, or nothing when they are not few.
 
         A product in single precision decides, with slack for rounding and for its error;
@@ -155,37 +219,21 @@ class _Best:
         worst = self.worst[asked]
         if np.isinf(worst).any():
             return None, None
-        slack = 1.0 / 10**PLACES + vectors.shape[1] * np.finfo(np.float32).eps
+        slack = 1.0 / 10**PLACES + 2 * self.single.shape[1] * np.finfo(np.float32).eps
         floor = (1.0 - worst / 10**PLACES - slack).astype(np.float32)
-        near = vectors[asked].astype(np.float32) @ unit.astype(np.float32).T >= floor[:, None]
+        near = self.single[asked] @ chunks.single.T >= floor[:, None]
         if np.count_nonzero(near) > _CANDIDATES * self.k * len(asked):
             return None, None
         return np.nonzero(near)
 
-    def offer(self, questions: _Questions, chunks: pa.Table | pa.RecordBatch):
-        unit, kept = _matrix(_column(chunks, "chunk_vector"), questions.vectors.shape[1])
-        if not len(kept):
-            return
-        ids = np.asarray(_column(chunks, "chunk_id").take(pa.array(kept)).to_pylist(), dtype=object)
-        by_id = np.argsort(ids, kind="stable")
-        ids, unit = ids[by_id], unit[by_id]
-        categories = None
-        for category, asked in questions.groups():
-            if category is None:
-                self.add(asked, questions.vectors, ids, unit)
-                continue
-            if categories is None:
-                held = _column(chunks, "chunk_category").take(pa.array(kept)).to_pylist()
-                categories = np.asarray(held, dtype=object)[by_id]
-            match = np.flatnonzero(categories == category)
-            self.add(asked, questions.vectors, ids[match], unit[match])
-
-    def table(self, questions: _Questions, id_type: pa.DataType) -> pa.Table | None:
+    def table(self, id_type: pa.DataType) -> pa.Table | None:
         if self.rows is None or self.rows.empty:
             return None
         return pa.table(
             {
-                "question_id": questions.ids.take(pa.array(self.rows["question"].to_numpy())),
+                "question_id": self.questions.ids.take(
+                    pa.array(self.rows["question"].to_numpy())
+                ),
                 "chunk_id": pa.array(self.rows["chunk_id"].tolist(), id_type),
                 "distance": pa.array(self.rows["distance"].to_numpy() / 10**PLACES),
             }
@@ -277,11 +325,11 @@ def _score_resident(resident: pa.Table, asked: DataFrame, held: DataFrame, k: in
     block = _Questions.of(resident)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, id_type = _Best(len(block.vectors), k), pa.string()
+        best, id_type = _Best(block, k), pa.string()
         for batch in batches:
             id_type = batch.schema.field("chunk_id").type
-            best.offer(block, batch)
-        answer = best.table(block, id_type)
+            best.offer(batch)
+        answer = best.table(id_type)
         if answer is not None:
             yield from answer.to_batches()
 
@@ -332,11 +380,10 @@ def _score_blocks(asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         answer = None
         if left.num_rows and right.num_rows:
-            block = _Questions.of(left)
-            best = _Best(len(block.vectors), k)
+            best = _Best(_Questions.of(left), k)
             for batch in right.to_batches(max_chunksize=8192):
-                best.offer(block, batch)
-            answer = best.table(block, right.schema.field("chunk_id").type)
+                best.offer(batch)
+            answer = best.table(right.schema.field("chunk_id").type)
         return answer if answer is not None else pa.table(
             {
                 "question_id": pa.array([], left.schema.field("question_id").type),
@@ -414,9 +461,9 @@ def _nearest_cells(vector: Column, model: KMeansModel, probes: int) -> Column:
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def nearest(vectors: pa.Array) -> pa.Array:
-        unit, kept = _matrix(vectors, centres.shape[1])
+        rows, kept = _usable(vectors, centres.shape[1])
         # For one question the squared distance to a centre grows with this.
-        far = (centres * centres).sum(axis=1) - 2.0 * unit @ centres.T
+        far = (centres * centres).sum(axis=1) - 2.0 * _unit(rows) @ centres.T
         found = np.argsort(far, axis=1, kind="stable")[:, :probes].astype(np.int32)
         lengths = np.zeros(len(vectors), np.int32)
         lengths[kept] = probes

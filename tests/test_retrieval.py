@@ -40,6 +40,8 @@ def data():
     ]
     # A third of the store is copies of one vector; some vectors cannot be used.
     store += [(f"d{i:03}", "x", store[0][2]) for i in range(60)]
+    # Squares of these leave the range of single precision.
+    store += [(f"s{p}", "x", (v * 10.0**p).tolist()) for p, v in zip((-25, 25), vectors(2, 3))]
     store += [("zero", "x", [0.0] * DIM), ("short", "x", [1.0]), ("none", "x", None)]
     asked = [(i, [None, "x", "y", "", "nothing"][i % 5], v.tolist()) for i, v in enumerate(vectors(23, 1))]
     asked += [(98, None, store[0][2]), (99, None, [0.0] * DIM)]
