@@ -36,9 +36,15 @@ def chunk_stream(
     complaints: DataFrame,
     chunker: Callable[..., DataFrame] = chunk_recursive,
     factory: Callable[[], Encoder] | None = None,
+    tasks: int | None = None,
     **options,
 ) -> DataFrame:
-    """Chunks of arriving complaints, with vectors when an encoder is given."""
+    """Chunks of arriving complaints, with vectors when an encoder is given.
+
+    ``tasks`` deals complaints out first, for a stream of few large files.
+    """
+    if tasks:
+        complaints = complaints.repartition(tasks)
     chunks = chunker(cleaned_complaints(complaints), **options)
     return chunks if factory is None else with_embeddings(chunks, factory)
 

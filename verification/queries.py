@@ -499,7 +499,8 @@ def stream_clean_chunk(spark, sf_dir):
         spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
     )
     rows = derive(arriving, DOCUMENT_COMPLAINTS, "documents")
-    chunks = chunk_stream(rows, chunking.chunk_fixed)
+    cores = spark.sparkContext.defaultParallelism
+    chunks = chunk_stream(rows, chunking.chunk_fixed, tasks=cores)
     path = shared_path(spark, "stream")
     write_stream(chunks, path, shared_path(spark, "stream-state")).awaitTermination()
     return chunk_rows(spark.read.schema(chunks.schema).parquet(path))
