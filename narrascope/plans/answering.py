@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from narrascope.functions.bounds import pinned
 from narrascope.functions.embedding import Encoder, embed, hashed_words
 from narrascope.operators.grounding import (
-    NO_SOURCES,
     REPORT_QUESTIONS,
     Answerer,
     answers,
@@ -37,7 +36,9 @@ def retrieve(
 ) -> DataFrame:
     """Ranked chunks with text and metadata for questions that may name a category."""
     vectors = questions.select(
-        "question_id", F.col(CATEGORY).alias("wanted"), embed(F.col("question"), factory).alias("embedding")
+        "question_id",
+        F.col(CATEGORY).alias("wanted"),
+        embed(F.col("question"), factory).alias("embedding"),
     )
     hits = nearest_chunks(vectors, store, k, question_category="wanted")
     return with_chunk_columns(hits, store)
@@ -69,7 +70,7 @@ def answer_with_cards(
 ) -> DataFrame:
     """What a chat page shows: question, answer and readable sources."""
     answered, hits = answer_questions(questions, store, answerer, **options)
-    return source_cards(answered, hits).withColumn("cards", F.coalesce("cards", F.lit(NO_SOURCES)))
+    return source_cards(answered, hits)
 
 
 def evaluate(

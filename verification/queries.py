@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import shared_path
-from narrascope.functions.text import excerpt, has_text, normalise
+from narrascope.functions.text import excerpt
 from narrascope.operators import chunking, cleaning, grounding, profile, retrieval, sampling
 from narrascope.plans.answering import (
     answer_questions,
@@ -28,7 +28,6 @@ from narrascope.schema import (
     CATEGORY,
     CHUNK_METADATA,
     CLEANED,
-    COMPLAINT_COLUMNS,
     COMPLAINT_ID,
     NARRATIVE,
     PRODUCT,
