@@ -48,16 +48,29 @@ def spread(df: DataFrame) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under the folder all executors share (``spark.checkpoint.dir``).
 
-    Only a session without that setting, as in tests, falls back to a temporary folder.
+    A session on one machine without that setting, as in tests, uses a temporary folder. On
+    a cluster that would scatter the files over the executors' disks, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not _on_one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="narrascope-")
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+def _on_one_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def pinned(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder, for results that are used several times."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, path: str) -> None:
+    """Delete a folder under the shared folder whose rows are no longer needed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
