@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -69,6 +70,22 @@ def texts_of(column: pa.Array) -> list[str]:
     return pc.fill_null(column, "").to_pylist()
 
 
+_GAP = re.compile(rb"[\x20\x09-\x0d]")
+
+
+def word_blocks(data: bytes, overlap: int, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words of a text in lists of bounded size; each list begins with the last ``overlap``
+    words before it, so that every window of ``overlap + 1`` words lies in one list."""
+    at, words = 0, []
+    while at < len(data):
+        gap = _GAP.search(data, at + size)
+        end = gap.start() if gap else len(data)
+        words = words[max(0, len(words) - overlap) :] if overlap else []
+        words += data[at:end].split()
+        yield words
+        at = end
+
+
 def lists_of(values: np.ndarray, lengths, kind: pa.DataType) -> pa.Array:
     """A list column from its flat values and the length of each row."""
     offsets = np.zeros(len(lengths) + 1, np.int32)

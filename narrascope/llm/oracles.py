@@ -12,3 +12,22 @@ SELECT doc_id,
 FROM normal
 WINDOW same AS (PARTITION BY body)
 """
+
+LINE_DEDUP = r"""
+WITH split AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+    FROM documents),
+keyed AS (
+    SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line_key
+    FROM split),
+held AS (
+    SELECT line_key, max(doc_id) AS owner FROM keyed WHERE length(line_key) >= 20
+    GROUP BY line_key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+    SELECT keyed.*, coalesce(doc_id <> owner, false) AS gone FROM keyed LEFT JOIN held USING (line_key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrascope.llm.exact_dedup import exact_dedup, normal_text
+from narrascope.llm.line_dedup import line_dedup
+from narrascope.llm.simhash import simhash_groups
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,3 +21,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_documents(spark, sf_dir)).select(
+        F.col("row_key").alias("doc_id"), "n_lines", "n_dropped",
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(_documents(spark, sf_dir)).select(
+        F.col("id").alias("doc_id"),
+        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )

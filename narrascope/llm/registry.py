@@ -4,8 +4,11 @@ from narrascope.llm import oracles, queries
 
 LLM_QUERIES = {
     "op1_exact_dedup": queries.op1_exact_dedup,
+    "op2_line_dedup": queries.op2_line_dedup,
+    "op9_simhash_near_dedup": queries.op9_simhash_near_dedup,
 }
 
 LLM_ORACLES = {
     "op1_exact_dedup": oracles.EXACT_DEDUP,
+    "op2_line_dedup": oracles.LINE_DEDUP,
 }
