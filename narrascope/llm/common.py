@@ -65,6 +65,30 @@ def in_batches(
     return df.mapInArrow(run, schema)
 
 
+def slices(batch: pa.RecordBatch, column: int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+    """A batch in parts whose texts have about ``most`` bytes, or one row where it has more."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(edges, edges[1:]):
+        if end > start:
+            yield batch.slice(start, end - start)
+
+
+def in_slices(
+    df: DataFrame, make_step: Callable[[], Callable], schema: str, column: int
+) -> DataFrame:
+    """Apply a step made once per task to batches cut by the bytes of one text column."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = make_step()
+        for batch in batches:
+            for part in slices(batch, column):
+                yield step(part)
+
+    return df.mapInArrow(run, schema)
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings, null as the empty text."""
     return pc.fill_null(column, "").to_pylist()

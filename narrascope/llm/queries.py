@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from narrascope.functions.bounds import shared_path
+from narrascope.llm.bpe import encode_decode
 from narrascope.llm.exact_dedup import exact_dedup, normal_text
 from narrascope.llm.line_dedup import line_dedup
+from narrascope.llm.packing import pack_documents
 from narrascope.llm.simhash import simhash_groups
+from narrascope.llm.token_counts import token_counts
+from narrascope.llm.token_files import token_index, write_token_files
+
+_BYTES, _WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,3 +44,31 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), public_tokenizers.path(_BYTES)).select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_documents(spark, sf_dir), public_tokenizers.path(_BYTES)).select(
+        F.col("row_key").alias("doc_id"), "n_bytes", "n_tokens",
+        (F.col("n_tokens") > 512).alias("over_limit"),
+    )
+
+
+def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(_documents(spark, sf_dir), public_tokenizers.path(_WORDS)).select(
+        F.col("row_key").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "token-files")
+    write_token_files(_documents(spark, sf_dir), public_tokenizers.path(_BYTES), path)
+    return token_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
