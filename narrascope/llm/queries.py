@@ -12,6 +12,7 @@ from narrascope.llm.exact_dedup import exact_dedup, normal_text
 from narrascope.llm.line_dedup import line_dedup
 from narrascope.llm.packing import pack_documents
 from narrascope.llm.simhash import simhash_groups
+from narrascope.llm.substring_dedup import substring_dedup
 from narrascope.llm.token_counts import token_counts
 from narrascope.llm.token_files import token_index, write_token_files
 
@@ -72,3 +73,9 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "token-files")
     write_token_files(_documents(spark, sf_dir), public_tokenizers.path(_BYTES), path)
     return token_index(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    rest, spans = substring_dedup(docs)
+    return rest.select("doc_id", F.size(spans).alias("n_passages"), F.col(spans).alias("spans"), "text")

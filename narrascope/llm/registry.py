@@ -5,6 +5,7 @@ from narrascope.llm import oracles, queries
 LLM_QUERIES = {
     "op1_exact_dedup": queries.op1_exact_dedup,
     "op2_line_dedup": queries.op2_line_dedup,
+    "op3_substring_dedup": queries.op3_substring_dedup,
     "op4_best_fit_packing": queries.op4_best_fit_packing,
     "op5_token_counts": queries.op5_token_counts,
     "op6_bpe_encode_decode": queries.op6_bpe_encode_decode,
