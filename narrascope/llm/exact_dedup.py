@@ -26,7 +26,7 @@ from narrascope.llm.common import col, keep_rows, keyed
 
 BLOCK_BYTES = 8192
 #: Numbers are ``bucket * 2^43 + rank``: a sort of each bucket names the blocks in it.
-_BUCKETS, _RANKS = 1 << 20, 1 << 43
+_BUCKETS, _RANKS, _SALTS = 1 << 20, 1 << 43, 64
 #: A block with fewer copies is named where it lies. At most so many others are set apart.
 _FREQUENT, _MOST_FREQUENT = 512, 100_000
 _NONE = -(1 << 62)
@@ -34,7 +34,9 @@ _NONE = -(1 << 62)
 
 def normal_text(text: Column) -> Column:
     """Null as empty, each run of ASCII white space as one space."""
-    return F.regexp_replace(F.coalesce(text, F.lit("")), "[ \\t\\n\\x0B\\f\\r]+", " ")
+    # Single spaces are already as they should be and are not matched.
+    runs = "[\\t\\n\\x0B\\f\\r][ \\t\\n\\x0B\\f\\r]*| [ \\t\\n\\x0B\\f\\r]+"
+    return F.regexp_replace(F.coalesce(text, F.lit("")), runs, " ")
 
 
 def _blocks(body: Column, size: int) -> Column:
@@ -53,21 +55,34 @@ def _named(df: DataFrame, digest: Column, *value: str) -> DataFrame:
 
 
 def _block_names(pieces: DataFrame) -> DataFrame:
-    """One row (row, n, pos, name, head) for each block."""
+    """One row (row, n, pos, name, head) for each block, written once.
+
+    Frequent blocks are dealt over salts and named in each. The first row of each such name
+    keeps its block, from which all names of a block are brought to a common one, below zero.
+    """
     often = pieces.groupBy("digest").count().filter(F.col("count") >= _FREQUENT)
     often = often.orderBy(F.desc("count")).limit(_MOST_FREQUENT).select("digest")
     frequent = small_rows(often, _MOST_FREQUENT)
-    kept = ["row", "n", "pos", "name", "head"]
-    if not frequent.num_rows:
-        return _named(pieces, F.col("digest"), "block").select(*kept)
     # At most _MOST_FREQUENT whole numbers.
-    frequent = F.broadcast(pieces.sparkSession.createDataFrame(frequent, often.schema))
-    rare = pieces.join(frequent, "digest", "left_anti")
-    hot = pieces.join(frequent, "digest", "left_semi")
-    names = _named(hot.select("digest", "block").distinct(), F.col("digest"), "block")
-    below_zero = (-F.col("name")).alias("name")
-    hot = hot.join(names.select("digest", "block", below_zero), ["digest", "block"])
-    return _named(rare, F.col("digest"), "block").select(*kept).unionByName(hot.select(*kept))
+    frequent = F.broadcast(pieces.sparkSession.createDataFrame(frequent, "digest long"))
+    dealt = pieces.join(frequent.withColumn("hot", F.lit(True)), "digest", "left").withColumns({
+        "bucket": F.pmod("digest", F.lit(_BUCKETS)),
+        "salt": F.when(F.col("hot"), F.pmod(F.xxhash64("row", "pos"), F.lit(_SALTS - 1)) + 1).otherwise(0),
+    })
+    order = Window.partitionBy("bucket", "salt").orderBy("block")
+    name = F.col("bucket") * _RANKS + F.col("salt") * (_RANKS // _SALTS) + F.dense_rank().over(order)
+    first = (F.rank().over(order) == F.row_number().over(order)) & F.col("hot")
+    named = dealt.select(
+        "row", "n", "pos", "head", "hot", name.alias("name"), F.when(first, F.col("block")).alias("block")
+    )
+    named = pinned(named, "block-names")
+    kept = ["row", "n", "pos", "name", "head"]
+    salted = named.filter("block IS NOT NULL").select("block", "name")
+    common = _named(salted.select("block").distinct(), F.xxhash64("block"), "block")
+    common = common.select("block", (-F.col("name")).alias("common"))
+    common = salted.join(common, "block").select("name", "common")
+    hot = named.filter("hot").join(common, "name").drop("name").withColumnRenamed("common", "name")
+    return named.filter("hot IS NULL").select(*kept).unionByName(hot.select(*kept))
 
 
 def _pair_names(level: DataFrame) -> DataFrame:
@@ -106,7 +121,7 @@ def exact_dedup(
     ).select("row", F.size("blocks").alias("n"), "head", F.posexplode("blocks").alias("pos", "block"))
     pieces = pieces.withColumn("head", F.when(F.col("pos") == 0, F.col("head")))
     pieces = pieces.withColumn("digest", F.xxhash64("block"))
-    first = pinned(_block_names(pieces), "block-names")
+    first = _block_names(pieces)
 
     longest = first.agg(F.max("n")).head()[0] or 1
     level = first.filter("n > 1").select("row", "n", "pos", "name")
@@ -124,12 +139,15 @@ def exact_dedup(
 
     order = F.struct(F.col("head.doc").isNull(), "head.doc", "row")
     groups = whole.groupBy("n", "name").agg(F.min(order).alias("first"), F.count("*").alias("size"))
-    return whole.join(groups, ["n", "name"]).select(
+    # Written, so that the join reads both sides by their own shuffle and can split a large group.
+    groups = pinned(groups.filter("size > 1"), "copies")
+    alone = F.col("size").isNull()
+    return whole.join(groups, ["n", "name"], "left").select(
         F.col("row").alias("row_key"),
         F.col("head.doc").alias("id"),
-        F.col("first.doc").alias("keep_id"),
-        F.col("size").alias("group_size"),
-        (F.col("row") == F.col("first.row")).alias("kept"),
+        F.when(alone, F.col("head.doc")).otherwise(F.col("first.doc")).alias("keep_id"),
+        F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
+        (alone | (F.col("row") == F.col("first.row"))).alias("kept"),
         *[F.col(f"head.{name}").alias(name) for name in carry],
     )
 
