@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import shared_path
 from narrascope.llm.bpe import encode_decode
+from narrascope.llm.classifier import score_documents, train_classifier
 from narrascope.llm.exact_dedup import exact_dedup, normal_text
 from narrascope.llm.line_dedup import line_dedup
 from narrascope.llm.packing import pack_documents
+from narrascope.llm.quality_rules import quality_rules
 from narrascope.llm.simhash import simhash_groups
 from narrascope.llm.substring_dedup import substring_dedup
 from narrascope.llm.token_counts import token_counts
@@ -79,3 +81,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text")
     rest, spans = substring_dedup(docs)
     return rest.select("doc_id", F.size(spans).alias("n_passages"), F.col(spans).alias("spans"), "text")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_documents(spark, sf_dir)).withColumnRenamed("row_key", "doc_id")
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    docs = _documents(spark, sf_dir).select("doc_id", "text", "n_chars")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    machine = train_classifier(docs, labels, usable=fold != 0)
+    return score_documents(docs, machine).withColumnRenamed("row_key", "doc_id").select(
+        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )

@@ -1,5 +1,6 @@
 """Names of the corpus queries and their SQL."""
 
+import corpus_pipeline
 from narrascope.llm import oracles, queries
 
 LLM_QUERIES = {
@@ -9,8 +10,11 @@ LLM_QUERIES = {
     "op4_best_fit_packing": queries.op4_best_fit_packing,
     "op5_token_counts": queries.op5_token_counts,
     "op6_bpe_encode_decode": queries.op6_bpe_encode_decode,
+    "op7_quality_rules": queries.op7_quality_rules,
+    "op8_quality_classifier": queries.op8_quality_classifier,
     "op9_simhash_near_dedup": queries.op9_simhash_near_dedup,
     "op10_token_files": queries.op10_token_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES = {
