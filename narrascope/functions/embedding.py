@@ -64,6 +64,13 @@ def unit_rows(vectors: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
 
 
+def _rows_for(texts: list[str], encoder: Encoder) -> np.ndarray:
+    rows = unit_rows(encoder(texts))
+    if rows.ndim != 2 or len(rows) != len(texts):
+        raise ValueError(f"the encoder gives {rows.shape} for {len(texts)} texts")
+    return rows
+
+
 def embed(
     c: Column,
     factory: Callable[[], Encoder] = hashed_words,
@@ -81,9 +88,11 @@ def embed(
             texts = batch.to_pylist()
             present = [t for t in texts if t is not None]
             parts = [
-                unit_rows(encoder(present[i : i + batch_size]))
+                _rows_for(present[i : i + batch_size], encoder)
                 for i in range(0, len(present), batch_size)
             ]
+            if len({part.shape[1] for part in parts}) > 1:
+                raise ValueError("the encoder gives vectors of different lengths")
             flat = np.concatenate(parts) if parts else np.zeros((0, 0))
             lengths = np.fromiter(
                 (0 if t is None else flat.shape[1] for t in texts), np.int32, len(texts)

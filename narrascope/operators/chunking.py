@@ -85,8 +85,8 @@ def chunk_statistics(chunks: DataFrame) -> DataFrame:
 def trace_chunks(chunks: DataFrame, complaints: DataFrame) -> DataFrame:
     """Chunks with the columns of the complaint they were cut from.
 
-    Chunks of complaints without an id cannot be traced and are left out; were they
-    joined, each would meet every other complaint without an id.
+    Chunks of complaints without an id cannot be traced; they keep null in those columns.
+    They are not joined, as each would meet every other complaint without an id.
     """
     sources = complaints.select(
         *[
@@ -94,8 +94,11 @@ def trace_chunks(chunks: DataFrame, complaints: DataFrame) -> DataFrame:
             for c in complaints.columns
         ]
     )
-    sources = sources.where(F.col("source_id") != "")
-    return chunks.join(sources, F.col("complaint_id") == F.col("source_id")).drop("source_id")
+    known = F.coalesce(F.col("complaint_id"), F.lit("")) != ""
+    traced = chunks.where(known).join(
+        sources.where(F.col("source_id") != ""), F.col("complaint_id") == F.col("source_id"), "left"
+    )
+    return traced.drop("source_id").unionByName(chunks.where(~known), allowMissingColumns=True)
 
 
 def repeated_ids(chunks: DataFrame) -> DataFrame:

@@ -83,13 +83,23 @@ def _tag(separator: str) -> Column:
 def within_budget(hits: DataFrame, budget: int, length: Column | None = None) -> DataFrame:
     """The best-ranked hits of each question whose lengths add up to at most ``budget``.
 
-    ``length`` defaults to the characters of the text. Hits are kept whole and the
-    question is not counted, so a long context cannot push it out of the prompt.
+    ``length`` defaults to the characters of the text. Hits are kept whole, but for a first
+    hit that alone is longer: its text is cut to its share, so no question loses all it has.
+    The question is not counted, so a long context cannot push it out of the prompt.
     """
+    ranked = Window.partitionBy(ID).orderBy("rank")
     running = F.sum(F.length("text") if length is None else length).over(
-        Window.partitionBy(ID).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+        ranked.rowsBetween(Window.unboundedPreceding, 0)
+    )
+    over = F.col("used") > budget
+    share = F.floor(F.length("text") * F.lit(budget) / F.col("used")).cast("int")
+    numbered = hits.withColumns({"used": running, "_place": F.row_number().over(ranked)})
+    return (
+        numbered.where(~over | (F.col("_place") == 1))
+        .withColumn("text", F.when(over, F.substring("text", F.lit(1), share)).otherwise(F.col("text")))
+        .withColumn("used", F.least("used", F.lit(budget).cast("long")))
+        .drop("_place")
     )
-    return hits.withColumn("used", running).where(F.col("used") <= budget)
 
 
 def contexts(hits: DataFrame) -> DataFrame:
@@ -116,7 +126,8 @@ def prompt(context: Column, question: Column, company: str = "the company") -> C
 def generate(c: Column, factory: Callable[[], Answerer], batch_size: int = 16) -> Column:
     """Answer of a caller's model to each prompt; a null prompt never reaches the model.
 
-    ``factory()`` runs once per task and returns ``answer(list[str]) -> list[str]``.
+    ``factory()`` runs once per task and returns ``answer(list[str]) -> list[str]``, one
+    reply for each prompt; another number of replies is an error.
     """
 
     @F.arrow_udf(T.StringType())
@@ -124,13 +135,14 @@ def generate(c: Column, factory: Callable[[], Answerer], batch_size: int = 16) -
         model = factory()
         for batch in batches:
             prompts = [p for p in batch.to_pylist() if p is not None]
-            replies = iter(
-                [
-                    reply.strip()
-                    for i in range(0, len(prompts), batch_size)
-                    for reply in model(prompts[i : i + batch_size])
-                ]
-            )
+            given = []
+            for i in range(0, len(prompts), batch_size):
+                asked = prompts[i : i + batch_size]
+                answered = list(model(asked))
+                if len(answered) != len(asked):
+                    raise ValueError(f"{len(answered)} replies to {len(asked)} prompts")
+                given += [reply.strip() for reply in answered]
+            replies = iter(given)
             yield pa.array(
                 [next(replies) if known else None for known in batch.is_valid().to_pylist()],
                 pa.string(),

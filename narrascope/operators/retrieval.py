@@ -6,33 +6,32 @@ on the order of additions; equal distances are ranked by chunk id.
 ``nearest_chunks`` keeps a question table of checked size resident in every task and
 scans the store once, where it lies. A task scores Arrow batches as matrix products and
 keeps k rows per question, so only partial answers are shuffled. More questions than the
-bound are cut into blocks and matched block by block, each pair of blocks in its own
-bounded task. ``nearest_chunks_by_cell`` looks only into the cells nearest to a question.
+bound are cut into blocks, with one such scan for each, so no chunk vector ever moves. ``nearest_chunks_by_cell`` looks only into the cells nearest to a question.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from narrascope.functions.bounds import small_rows, small_side
+from narrascope.functions.bounds import pinned, small_rows
 from narrascope.schema import CATEGORY, TOP_K
 
 PLACES = 6
 RESIDENT_QUESTIONS = 16_384
-BLOCK_QUESTIONS = 32_768
-BLOCK_CHUNKS = 16_384
+CELL_TRAINING_ROWS = 1_000_000
 _CANDIDATES = 4
 _SCORES_AT_ONCE = 1 << 22
 _FEW_HITS = 100_000
@@ -96,7 +95,10 @@ class _Questions:
 
     @classmethod
     def of(cls, table: pa.Table) -> _Questions:
-        rows, kept = _usable(_column(table, "question_vector"), None)
+        vectors = _column(table, "question_vector")
+        lengths = pc.min_max(pc.list_value_length(vectors)).as_py()
+        _one_length((lengths["min"], lengths["max"]))
+        rows, kept = _usable(vectors, None)
         kept = pa.array(kept)
         categories = _column(table, "wanted_category").take(kept)
         return cls(
@@ -305,16 +307,48 @@ def nearest_chunks(
 
     ``question_category`` names a question column; where it holds a value, only chunks of
     that category are ranked. No ``k``, or zero, means the default. Zero vectors, null
-    vectors and vectors of another length are never returned.
+    vectors and vectors of another length are never returned. Question vectors of different
+    lengths are an error.
+
+    Up to ``resident_limit`` questions are kept in every task and the store is scanned once;
+    more are taken in blocks of that size, with a scan for each. Results are the same.
     """
     k = k or TOP_K
     asked = _ask(questions, question_id, question_vector, question_category)
     held = _hold(store, chunk_id, chunk_vector, chunk_category if question_category else None)
-    resident = small_rows(asked, resident_limit)
-    if resident is None:
-        cell = F.lit(0).alias("cell")
-        return _top(_score_cells(asked.select("*", cell), held.select("*", cell), k), k)
-    return _few(_top(_score_resident(resident, asked, held, k), k), resident.num_rows, k)
+    partial, questions = _score(asked, held, k, resident_limit)
+    return _few(_top(partial, k), questions, k)
+
+
+def _score(asked: DataFrame, held: DataFrame, k: int, limit: int) -> tuple[DataFrame, int]:
+    """Partial answers, from one scan of the chunks for each ``limit`` questions, and their number."""
+    resident = small_rows(asked, limit)
+    if resident is not None:
+        return _score_resident(resident, asked, held, k), resident.num_rows
+    asked = pinned(asked, "questions")
+    return _score_question_blocks(asked, held, k, limit), asked.count()
+
+
+def _score_question_blocks(asked: DataFrame, held: DataFrame, k: int, size: int) -> DataFrame:
+    """Partial answers of any number of written questions, one scan of the store a block.
+
+    Blocks are drawn by hash of the row's place, so they are even whatever ids repeat. No
+    chunk vector is shuffled; a block is bounded by ``size`` but for the draw.
+    """
+    blocks = -(-asked.count() // size)
+    _one_length(asked.agg(F.min(F.size("question_vector")), F.max(F.size("question_vector"))).head())
+    drawn = asked.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    parts = [
+        _score_resident(drawn.where(F.col("block") == i).drop("block").toArrow(), asked, held, k)
+        for i in range(blocks)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _one_length(found) -> None:
+    """Question vectors have the length of the store's; two lengths are an error."""
+    if found[0] is not None and found[0] != found[1]:
+        raise ValueError(f"question vectors of different lengths, from {found[0]} to {found[1]}")
 
 
 def _score_resident(resident: pa.Table, asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
@@ -336,65 +370,10 @@ def _score_resident(resident: pa.Table, asked: DataFrame, held: DataFrame, k: in
     return held.mapInArrow(score, _partial_schema(asked, held))
 
 
-def _blocks(rows: Column, size: int) -> Column:
-    return F.ceil(rows / F.lit(size)).cast("long")
-
-
-def _score_cells(asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
-    """Partial answers of all questions and chunks that share a ``cell``.
-
-    A cell is cut into question blocks and chunk blocks, drawn by hash of the id and sized
-    by row counts. Each pair of blocks is one group, so however full a cell is, a task
-    holds one block of each side.
-    """
-    sizes = small_side(
-        asked.groupBy("cell")
-        .agg(_blocks(F.count("*"), BLOCK_QUESTIONS).alias("q_blocks"))
-        .join(
-            held.groupBy("cell").agg(_blocks(F.count("*"), BLOCK_CHUNKS).alias("c_blocks")), "cell"
-        )
-    )
-
-    def block_of(ident: str, blocks: str) -> Column:
-        return F.pmod(F.xxhash64(ident), F.col(blocks))
-
-    def every(blocks: str) -> Column:
-        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
-
-    questions = (
-        asked.join(sizes, "cell")
-        .withColumn("q_block", block_of("question_id", "q_blocks"))
-        .select(*asked.columns, "q_block", every("c_blocks").alias("c_block"))
-    )
-    chunks = (
-        held.join(sizes, "cell")
-        .withColumn("c_block", block_of("chunk_id", "c_blocks"))
-        .select(*held.columns, "c_block", every("q_blocks").alias("q_block"))
-    )
-    return _score_blocks(questions, chunks, k)
-
-
-def _score_blocks(asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
-    """Partial answers per pair of blocks, brought together by one shuffle of each side."""
-
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        answer = None
-        if left.num_rows and right.num_rows:
-            best = _Best(_Questions.of(left), k)
-            for batch in right.to_batches(max_chunksize=8192):
-                best.offer(batch)
-            answer = best.table(right.schema.field("chunk_id").type)
-        return answer if answer is not None else pa.table(
-            {
-                "question_id": pa.array([], left.schema.field("question_id").type),
-                "chunk_id": pa.array([], right.schema.field("chunk_id").type),
-                "distance": pa.array([], pa.float64()),
-            }
-        )
-
-    keys = ("cell", "q_block", "c_block")
-    pairs = asked.groupBy(*keys).cogroup(held.groupBy(*keys))
-    return pairs.applyInArrow(score, _partial_schema(asked, held))
+def _usable_vectors(vector: str) -> Column:
+    """Vectors with a direction: neither null nor zero, and every number finite."""
+    finite = F.forall(vector, lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
 def train_cells(
@@ -404,28 +383,39 @@ def train_cells(
     seed: int = 42,
     chunk_vector: str = "embedding",
     max_iter: int = 10,
-    share: float = 1.0,
-) -> KMeansModel:
-    """Centroids of the store, for search that visits only part of it.
+    most_rows: int = CELL_TRAINING_ROWS,
+) -> np.ndarray:
+    """Centres, one per row, of the directions of the store's vectors.
 
-    ``share`` of the vectors is enough to place centroids in a very large store; every
-    chunk is assigned to a cell whatever the share.
+    At most about ``most_rows`` vectors, drawn at random, place them; every chunk is
+    assigned to a cell whatever was drawn. Vectors without a direction, or not of the length
+    that most have, are left out.
     """
-    drawn = store if share >= 1.0 else store.sample(share, seed=seed)
-    vectors = drawn.select(array_to_vector(F.col(chunk_vector)).alias("features"))
-    return KMeans(k=cells, seed=seed, maxIter=max_iter).fit(vectors)
-
-
-def assign_cells(store: DataFrame, model: KMeansModel, *, chunk_vector: str = "embedding") -> DataFrame:
-    """The store with the ``cell`` of each chunk; write it partitioned by that column."""
-    featured = store.withColumn("features", array_to_vector(F.col(chunk_vector)))
-    return model.transform(featured).withColumnRenamed("prediction", "cell").drop("features")
+    usable = store.where(_usable_vectors(chunk_vector))
+    length = F.size(chunk_vector)
+    common = usable.groupBy(length.alias("dim")).count().orderBy(F.desc("count"), "dim").head()
+    usable = usable.where(length == common["dim"])
+    if common["count"] > most_rows:
+        usable = usable.sample(most_rows / common["count"], seed=seed)
+    vectors = usable.select(array_to_vector(F.col(chunk_vector)).alias("raw"))
+    unit = Normalizer(inputCol="raw", outputCol="features").transform(vectors)
+    model = KMeans(k=cells, seed=seed, maxIter=max_iter).fit(unit)
+    return np.asarray(model.clusterCenters())
+
+
+def assign_cells(store: DataFrame, centres: np.ndarray, *, chunk_vector: str = "embedding") -> DataFrame:
+    """The store with the ``cell`` of each chunk, that of the nearest centre.
+
+    Vectors without a direction or of another length have no cell and are in -1.
+    """
+    nearest = _nearest_cells(F.col(chunk_vector), centres, 1)
+    return store.withColumn("cell", F.coalesce(F.get(nearest, F.lit(0)), F.lit(-1)))
 
 
 def nearest_chunks_by_cell(
     questions: DataFrame,
     store: DataFrame,
-    model: KMeansModel,
+    centres: np.ndarray,
     k: int | None = TOP_K,
     probes: int = 4,
     *,
@@ -435,28 +425,41 @@ def nearest_chunks_by_cell(
     chunk_id: str = "chunk_id",
     chunk_vector: str = "embedding",
     chunk_category: str = CATEGORY,
+    resident_limit: int = RESIDENT_QUESTIONS,
 ) -> DataFrame:
     """Approximate top ``k`` from the ``probes`` cells nearest to each question.
 
-    Probing every cell gives the exact answer. A cell of any size is split into parts of
-    bounded size, and the questions that probe it go to each of its parts.
+    Probing every cell gives the exact answer. A question and a cell together are asked
+    like a question about a category, so chunks are scored where they lie and only cells
+    that some question probes are read.
     """
     k = k or TOP_K
-    asked = _ask(questions, question_id, question_vector, question_category).withColumn(
-        "cell", F.explode(_nearest_cells(F.col("question_vector"), model, probes))
-    )
-    held = _hold(
-        store, chunk_id, chunk_vector, chunk_category if question_category else None, "cell"
+    asked = _ask(questions, question_id, question_vector, question_category)
+    asked = pinned(
+        asked.withColumn("cell", F.explode(_nearest_cells(F.col("question_vector"), centres, probes))),
+        "visits",
     )
-    # There are no more probed cells than centroids, which the driver holds anyway.
-    visits = asked.groupBy("cell").agg(F.count("*").alias("questions")).collect()
-    held = held.where(F.col("cell").isin([row.cell for row in visits]))
-    hits = _top(_score_cells(asked, held, k), k)
-    return _few(hits, sum(row.questions for row in visits), k)
-
-
-def _nearest_cells(vector: Column, model: KMeansModel, probes: int) -> Column:
-    centres = np.asarray(model.clusterCenters())
+    category = chunk_category if question_category else None
+    held = _hold(store, chunk_id, chunk_vector, category, "cell")
+    # There are no more probed cells than centres, which the driver holds anyway.
+    visited = [row.cell for row in asked.select("cell").distinct().collect()]
+    held = held.where(F.col("cell").isin(visited))
+    parts, visits = [], 0
+    for open_to_all in (True, False) if question_category else (True,):
+        own = asked.where(F.col("wanted_category").isNull() == F.lit(open_to_all))
+        names = [F.col("cell").cast("string")], [F.col("cell").cast("string")]
+        if not open_to_all:
+            names[0].append(F.col("wanted_category"))
+            names[1].append(F.coalesce("chunk_category", F.lit("")))
+        asking = own.withColumn("wanted_category", F.concat_ws(" ", *names[0])).drop("cell")
+        holding = held.withColumn("chunk_category", F.concat_ws(" ", *names[1])).drop("cell")
+        partial, number = _score(asking, holding, k, resident_limit)
+        parts.append(partial)
+        visits += number
+    return _few(_top(reduce(DataFrame.unionByName, parts), k), visits, k)
+
+
+def _nearest_cells(vector: Column, centres: np.ndarray, probes: int) -> Column:
     probes = min(probes, len(centres))
 
     @F.arrow_udf(T.ArrayType(T.IntegerType()))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,8 +18,9 @@ from narrascope.operators.grounding import (
     source_cards,
     validated,
     with_chunk_columns,
+    within_budget,
 )
-from narrascope.operators.retrieval import nearest_chunks
+from narrascope.operators.retrieval import nearest_chunks, nearest_chunks_by_cell
 from narrascope.schema import CATEGORY, QUESTION_SCHEMA, TOP_K
 
 
@@ -33,14 +35,23 @@ def retrieve(
     store: DataFrame,
     k: int | None = TOP_K,
     factory: Callable[[], Encoder] = hashed_words,
+    centres: np.ndarray | None = None,
+    probes: int = 4,
 ) -> DataFrame:
-    """Ranked chunks with text and metadata for questions that may name a category."""
+    """Ranked chunks with text and metadata for questions that may name a category.
+
+    With ``centres``, of a store opened by ``read_cells``, only the ``probes`` cells
+    nearest to a question are searched.
+    """
     vectors = questions.select(
         "question_id",
         F.col(CATEGORY).alias("wanted"),
         embed(F.col("question"), factory).alias("embedding"),
     )
-    hits = nearest_chunks(vectors, store, k, question_category="wanted")
+    if centres is None:
+        hits = nearest_chunks(vectors, store, k, question_category="wanted")
+    else:
+        hits = nearest_chunks_by_cell(vectors, store, centres, k, probes, question_category="wanted")
     return with_chunk_columns(hits, store)
 
 
@@ -53,11 +64,20 @@ def answer_questions(
     factory: Callable[[], Encoder] = hashed_words,
     company: str = "the company",
     tasks: int | None = None,
+    budget: int | None = None,
+    centres: np.ndarray | None = None,
+    probes: int = 4,
 ) -> tuple[DataFrame, DataFrame]:
-    """Answers and the hits they rest on. Blank questions are answered with a request."""
+    """Answers and the hits they rest on. Blank questions are answered with a request.
+
+    At most ``budget`` characters of chunk text go into a prompt where a budget is given.
+    """
     checked = validated(questions)
     good = checked.where("problem IS NULL").drop("problem")
-    hits = pinned(retrieve(good, store, k, factory), "hits")
+    found = retrieve(good, store, k, factory, centres, probes)
+    if budget is not None:
+        found = within_budget(found, budget).drop("used")
+    hits = pinned(found, "hits")
     answered = answers(good, hits, answerer, company, tasks)
     rejected = checked.where("problem IS NOT NULL").select(
         *good.columns, F.lit(None).cast("string").alias("context"), F.col("problem").alias("answer")

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from narrascope.functions.bounds import pinned
 from narrascope.functions.embedding import Encoder, hashed_words
 from narrascope.operators.chunking import chunk_recursive
-from narrascope.operators.sampling import sample_quotas, stratified_sample
+from narrascope.operators.sampling import stratified_sample
 from narrascope.schema import CHUNK_OVERLAP, CHUNK_SIZE, SAMPLE_SEED, SAMPLE_SIZE
-from narrascope.sources.chunk_store import read_store, write_store
+from narrascope.sources.chunk_store import write_store
 from narrascope.sources.complaints import load_cleaned
 
 
@@ -29,20 +30,22 @@ def build_store(
 ) -> DataFrame:
     """Write a store from a written cleaned table and return one row of run statistics."""
     cleaned = load_cleaned(spark, cleaned_path)
-    sample = stratified_sample(cleaned, sample_size, seed)
-    indexed = write_store(chunker(sample, chunk_size, chunk_overlap), store_path, factory)
-    return run_statistics(
-        sample_quotas(cleaned, sample_size), read_store(spark, store_path), indexed, store_path
-    )
+    # Chunks are written before they are embedded, as they are counted, checked and stored.
+    drawn = Observation("drawn")
+    sample = stratified_sample(cleaned, sample_size, seed).observe(drawn, F.count("*").alias("n"))
+    chunks = pinned(chunker(sample, chunk_size, chunk_overlap), "chunks")
+    indexed = write_store(chunks, store_path, factory)
+    return run_statistics(spark, drawn.get["n"], chunks.count(), indexed, store_path)
 
 
 def run_statistics(
-    quotas: DataFrame, store: DataFrame, indexed: int, store_path: str
+    spark: SparkSession, sampled: int, chunks: int, indexed: int, store_path: str
 ) -> DataFrame:
-    """Sampled complaints, chunks, indexed rows and place of a store, from what was written."""
-    return store.agg(F.count("*").alias("chunks")).select(
-        quotas.agg(F.sum("quota")).scalar().alias("sampled_complaints"),
-        "chunks",
-        F.lit(indexed).cast("long").alias("indexed"),
-        F.lit(store_path).alias("persist_dir"),
+    """Rows drawn, chunks cut from them, rows read back from the store, and its place.
+
+    Each number is counted where its rows are made, so that a loss between two steps shows.
+    """
+    return spark.createDataFrame(
+        [(sampled, chunks, indexed, store_path)],
+        "sampled_complaints long, chunks long, indexed long, persist_dir string",
     )

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrascope.functions.embedding import Encoder, embed, hashed_words
 from narrascope.operators.chunking import repeated_ids
+from narrascope.operators.retrieval import assign_cells
 from narrascope.schema import CATEGORY, EMBED_BATCH, STORE_SCHEMA
 
 # An empty partition value cannot be told from a missing one when it is read back.
@@ -41,19 +43,23 @@ def write_store(
     partitions are merged and large ones split, a category of any weight is spread over
     many tasks, long documents do not hold one task back, and vectors, several times the
     size of the texts, are written by the task that computes them.
-    Repeated chunk ids are an error; first chunks alone show them.
+    Repeated chunk ids are an error, found before an older store is touched; first chunks
+    alone show them.
     """
     spark = chunks.sparkSession
+    _unique(chunks.where(F.col("chunk_index") == 0))
     named = F.when(F.col(CATEGORY) == "", F.lit(_EMPTY_CATEGORY)).otherwise(F.col(CATEGORY))
     salt = F.pmod(F.xxhash64("chunk_id"), F.lit(_SALTS))
     even = chunks.withColumns({CATEGORY: named, "_salt": salt}).hint("rebalance", CATEGORY, "_salt")
     stored = with_embeddings(even.drop("_salt"), factory, batch_size)
     stored.write.mode("overwrite").partitionBy(CATEGORY).parquet(path)
-    stored = read_store(spark, path)
-    repeated = repeated_ids(stored.where(F.col("chunk_index") == 0)).limit(5).collect()
+    return read_store(spark, path).count()
+
+
+def _unique(chunks: DataFrame) -> None:
+    repeated = repeated_ids(chunks).limit(5).collect()
     if repeated:
         raise ValueError(f"chunk ids occur more than once, e.g. {[r.chunk_id for r in repeated]}")
-    return stored.count()
 
 
 def read_store(spark: SparkSession, path: str, schema: T.StructType = STORE_SCHEMA) -> DataFrame:
@@ -82,8 +88,13 @@ def read_prebuilt(spark: SparkSession, path: str, schema: T.StructType = STORE_S
 def join_vectors(
     chunks: DataFrame, vectors: DataFrame, chunk_id: str = "chunk_id", vector_id: str = "chunk_id"
 ) -> DataFrame:
-    """Chunks with vectors from a table of their own, matched by id."""
+    """Chunks with vectors from a table of their own, matched by id.
+
+    Ids that occur more than once on either side would multiply and are an error.
+    """
+    _unique(chunks.select(F.col(chunk_id).alias("chunk_id")))
     named = vectors.select(F.col(vector_id).alias(chunk_id), "embedding")
+    _unique(named.select(F.col(chunk_id).alias("chunk_id")))
     return chunks.join(named, chunk_id)
 
 
@@ -94,3 +105,24 @@ def check_dimension(store: DataFrame, dim: int) -> DataFrame:
         .agg(F.count("*").alias("rows"))
         .where(F.col("dim") != dim)
     )
+
+
+def write_cells(store: DataFrame, centres: np.ndarray, path: str) -> None:
+    """Write a store as an index: its chunks by cell, and the centres beside them.
+
+    Chunks are rebalanced by cell and a salt, so a full cell is written by many tasks and
+    a small one by one.
+    """
+    spark = store.sparkSession
+    salt = F.pmod(F.xxhash64("chunk_id"), F.lit(_SALTS))
+    celled = assign_cells(store, centres).withColumn("_salt", salt).hint("rebalance", "cell", "_salt")
+    celled.drop("_salt").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/chunks")
+    rows = [(i, c) for i, c in enumerate(np.asarray(centres, float).tolist())]
+    table = spark.createDataFrame(rows, "cell int, centre array<double>")
+    table.write.mode("overwrite").parquet(f"{path}/centres")
+
+
+def read_cells(spark: SparkSession, path: str) -> tuple[DataFrame, np.ndarray]:
+    """The chunks of an index, with their cells, and its centres."""
+    centres = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+    return spark.read.parquet(f"{path}/chunks"), np.array([row.centre for row in centres])

@@ -100,6 +100,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(file_system.exists(hadoop_path))
 
 
+def _finished(spark: SparkSession, parquet_path: str) -> bool:
+    """A cache of one file, or a directory whose writing came to its end."""
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(parquet_path)
+    file_system = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    one_file = file_system.exists(jvm_path) and file_system.getFileStatus(jvm_path).isFile()
+    return bool(one_file) or _exists(spark, f"{parquet_path.rstrip('/')}/_SUCCESS")
+
+
 def cache_as_parquet(
     spark: SparkSession,
     csv_path: str,
@@ -109,11 +117,11 @@ def cache_as_parquet(
 ) -> str:
     """Convert a CSV export to Parquet once and return the Parquet path.
 
-    A finished cache is left alone unless ``overwrite`` is set; a directory without a
-    success marker is an interrupted run and is written again. The caller names the
+    A finished cache, a single file too, is left alone unless ``overwrite`` is set; a
+    directory without a success marker is an interrupted run and is written again. The caller names the
     cache, one per export.
     """
-    if overwrite or not _exists(spark, f"{parquet_path.rstrip('/')}/_SUCCESS"):
+    if overwrite or not _finished(spark, parquet_path):
         rows = read_large_csv(spark, csv_path, schema or header_schema(spark, csv_path))
         rows.write.mode("overwrite").parquet(parquet_path)
     return parquet_path

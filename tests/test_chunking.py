@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -109,6 +110,9 @@ def test_statistics_trace_and_repeats(spark):
     assert (row.chunks, row.complaints, row.chunks_per_complaint) == (2, 1, 2.0)
     traced = chunking.trace_chunks(chunks, complaint(spark, "y").select("Complaint ID", CLEANED))
     assert {r[CLEANED] for r in traced.collect()} == {"y"}
+    blank = chunks.withColumn("complaint_id", F.lit("")).unionByName(chunks)
+    traced = chunking.trace_chunks(blank, complaint(spark, "y").select("Complaint ID", CLEANED))
+    assert sorted(str(r[CLEANED]) for r in traced.collect()) == ["None", "None", "y", "y"]
     assert chunking.repeated_ids(chunks).count() == 0
     assert chunking.repeated_ids(chunks.unionByName(chunks)).count() == 2
 

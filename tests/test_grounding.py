@@ -44,9 +44,17 @@ def test_prompt(spark):
     assert row.p.endswith("Answer:")
 
 
-def test_budget_keeps_whole_hits(hits):
-    kept = G.within_budget(hits, 20).collect()
-    assert [(r.question_id, r["rank"]) for r in kept] == [(1, 1)]
+def test_budget_keeps_whole_hits_and_cuts_a_long_first_one(hits):
+    kept = {(r.question_id, r["rank"]): r for r in G.within_budget(hits, 20).collect()}
+    assert set(kept) == {(1, 1), (2, 1)}
+    assert kept[1, 1].text == "late fee charged" and kept[1, 1].used == 16
+    assert kept[2, 1].text == "100% of {question} |" and kept[2, 1].used == 20
+
+
+def test_another_number_of_replies_is_an_error(spark, hits):
+    asked = questions(spark, (1, "fees?", None), (2, "why?", None)).coalesce(1)
+    with pytest.raises(Exception, match="replies to"):
+        G.answers(asked, hits, lambda: lambda prompts: prompts + ["more"]).collect()
 
 
 def test_answers_fall_back_without_calling_the_model(spark, hits):
@@ -119,7 +127,10 @@ def test_whole_flow(spark, tmp_path):
     assert found[3].answer == G.NO_ANSWER and found[3].cards == G.NO_SOURCES
     assert found[4].answer == G.NO_QUESTION and found[4].cards == G.NO_SOURCES
     with pytest.raises(ValueError, match="more than once"):
-        chunk_store.write_store(chunks.unionByName(chunks), str(tmp_path / "twice"))
+        chunk_store.write_store(chunks.unionByName(chunks), path)
+    assert chunk_store.read_store(spark, path).count() == 3  # as it was
+    with pytest.raises(ValueError, match="more than once"):
+        chunk_store.join_vectors(chunks, chunk_store.with_embeddings(chunks.unionByName(chunks)))
 
 
 def test_default_questions_and_foreign_store(spark, tmp_path):

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from narrascope.operators import retrieval
+from narrascope.sources import chunk_store
 from narrascope.schema import CATEGORY
 
 DIM = 8
@@ -48,11 +49,9 @@ def data():
     return asked, store
 
 
-@pytest.mark.parametrize("limit", [1000, 0], ids=["resident", "blocks"])
+@pytest.mark.parametrize("limit", [1000, 7], ids=["resident", "blocks"])
 @pytest.mark.parametrize("parts", [1, 5])
-def test_exact_search(spark, data, limit, parts, monkeypatch):
-    monkeypatch.setattr(retrieval, "BLOCK_QUESTIONS", 7)
-    monkeypatch.setattr(retrieval, "BLOCK_CHUNKS", 40)
+def test_exact_search(spark, data, limit, parts):
     asked, store = data
     found = retrieval.nearest_chunks(
         spark.createDataFrame(asked, ASKED),
@@ -92,21 +91,32 @@ def test_sql_distance_agrees(spark, data):
     assert {r.chunk_id: abs(r.d) for r in found.collect() if r.d is not None} == wanted
 
 
-def test_cells(spark, data, monkeypatch):
-    monkeypatch.setattr(retrieval, "BLOCK_CHUNKS", 20)
+@pytest.mark.parametrize("limit", [1000, 20])
+def test_cells(spark, data, limit, tmp_path):
     asked, store = data
-    usable = spark.createDataFrame(store[:180], STORE)
+    chunks = spark.createDataFrame(store, STORE)
     questions = spark.createDataFrame(asked, ASKED)
-    model = retrieval.train_cells(usable, 6)
-    celled = retrieval.assign_cells(usable, model)
-    every = retrieval.nearest_chunks_by_cell(questions, celled, model, 4, 6, question_category="wanted")
-    assert rows(every) == brute(asked, store[:180], 4)
-    some = rows(retrieval.nearest_chunks_by_cell(questions, celled, model, 4, 3))
-    exact = brute([(q, None, v) for q, _, v in asked], store[:180], 4)
+    centres = retrieval.train_cells(chunks, 6)
+    chunk_store.write_cells(chunks, centres, str(tmp_path / "index"))
+    celled, read = chunk_store.read_cells(spark, str(tmp_path / "index"))
+    assert np.array_equal(read, centres) and celled.where("cell = -1").count() == 3
+    every = retrieval.nearest_chunks_by_cell(
+        questions, celled, centres, 4, 6, question_category="wanted", resident_limit=limit
+    )
+    assert rows(every) == brute(asked, store, 4)
+    some = rows(retrieval.nearest_chunks_by_cell(questions, celled, centres, 4, 3))
+    exact = brute([(q, None, v) for q, _, v in asked], store, 4)
     recall = len({(q, c) for q, _, c, _ in some} & {(q, c) for q, _, c, _ in exact}) / len(exact)
     assert 0.5 < recall <= 1
 
 
+@pytest.mark.parametrize("limit", [1000, 1])
+def test_questions_of_different_lengths_are_an_error(spark, data, limit):
+    asked = spark.createDataFrame([(1, None, [1.0] * DIM), (2, None, [1.0])], ASKED)
+    with pytest.raises(ValueError, match="different lengths"):
+        retrieval.nearest_chunks(asked, spark.createDataFrame(data[1], STORE), 2, resident_limit=limit)
+
+
 def test_category_prunes_partitions(spark, data, tmp_path):
     asked, store = data
     path = str(tmp_path / "store")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from narrascope.functions.text import BOILERPLATE
 from narrascope.operators.grounding import PROMPT, REPORT_QUESTIONS
 from narrascope.schema import CATEGORY_OF_PRODUCT, CHUNK_METADATA, COMPLAINT_COLUMNS
-from verification.queries import BUDGET, SAMPLE
+from verification.queries import BUDGET, CELLS, SAMPLE, SMALL_BUDGET
 from verification.tables import (
     DOCUMENT_COMPLAINTS,
     ORDER_COMPLAINTS,
@@ -351,6 +351,9 @@ ORACLES: dict[str, str] = {
     "stratified_sample_by_label": f"""WITH {COMPLAINTS},
         {_sample('complaints', '"Product"', SAMPLE, 7)}
         SELECT {_ID} AS complaint_id, "Product" AS product FROM sampled""",
+    "sample_all_rows": f"""WITH {BASE} SELECT {_ID} AS complaint_id, product_category FROM cleaned""",
+    "sample_ordered": f"""WITH {BASE}, {_sample('cleaned', 'product_category', SAMPLE, 42)}
+        SELECT {_ID} AS complaint_id, product_category, draw AS place FROM sampled""",
     "sample_balance": f"""WITH {BASE}, {_sample('cleaned', 'product_category', SAMPLE, 42)}
         SELECT 'before' AS stage, product_category, count(*) AS complaints,
                round(count(*) / (SELECT count(*) FROM cleaned), 6) AS share
@@ -383,6 +386,13 @@ ORACLES: dict[str, str] = {
     "knn_exact": f"WITH {_knn(5)} {_HITS}",
     "knn_blocks": f"WITH {_knn(5)} {_HITS}",
     "knn_ivf_all_cells": f"WITH {_knn(5)} {_HITS}",
+    "knn_ivf_trained": f"WITH {_knn(5)} {_HITS}",
+    "knn_ivf": f"""WITH near AS (
+            SELECT v.vec_id, c.vec_id AS cell, row_number() OVER (PARTITION BY v.vec_id ORDER BY
+                       list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) DESC,
+                       c.vec_id) AS place
+            FROM embeddings v JOIN embeddings c ON c.vec_id < {CELLS}),
+        {_knn(5, "EXISTS (SELECT 1 FROM near a JOIN near b ON a.cell = b.cell WHERE a.vec_id = q.vec_id AND a.place <= 4 AND b.vec_id = c.vec_id AND b.place = 1)")} {_HITS}""",
     "knn_filtered": f"WITH {_knn(3, 'q.label = c.label')} {_HITS}",
     "knn_join_text": f"""WITH {_knn(2)}
         SELECT question_id, rank, chunk_id, source, text FROM hits JOIN documents ON doc_id = chunk_id""",
@@ -405,6 +415,19 @@ ORACLES: dict[str, str] = {
     "answer_fallback": f"""WITH RECURSIVE {RETRIEVED}, {_CONTEXTS}
         SELECT question_id, question, coalesce(problem, {_ANSWER}) AS answer
         FROM validated LEFT JOIN contexts USING (question_id)""",
+    "answer_within_budget": f"""WITH RECURSIVE {RETRIEVED},
+        running AS (SELECT *, sum(length(text)) OVER (PARTITION BY question_id ORDER BY rank) AS used FROM hits),
+        fitting AS (SELECT * REPLACE (CASE WHEN used > {SMALL_BUDGET}
+                        THEN substr(text, 1, CAST(floor(length(text) * {SMALL_BUDGET} / used) AS INT)) ELSE text END AS text)
+                    FROM running WHERE used <= {SMALL_BUDGET} OR rank = 1),
+        {_CONTEXTS.replace('FROM hits', 'FROM fitting')}
+        SELECT question_id, question, coalesce(problem, {_ANSWER}) AS answer
+        FROM validated LEFT JOIN contexts USING (question_id)""",
+    "context_missing_metadata": f"""WITH RECURSIVE {RETRIEVED}
+        SELECT question_id, string_agg(concat(rank, '. [',
+                   CASE WHEN length(chunk_id) % 2 = 0 THEN '?' ELSE product_category END, ' | ',
+                   CASE WHEN length(chunk_id) % 2 = 0 THEN issue ELSE '?' END, '] ', text),
+                   E'\\n' ORDER BY rank) AS context FROM hits GROUP BY 1""",
     "source_cards": f"""WITH RECURSIVE {RETRIEVED}, {_CONTEXTS},
         cards AS (SELECT question_id, string_agg(concat(
             '**Source ', rank, '** — ', product_category, ' · ', issue, ' · ', company, ' (', state,
@@ -427,6 +450,8 @@ ORACLES: dict[str, str] = {
         {_recursive('sampled', 'cleaned_narrative')}
         SELECT (SELECT count(*) FROM sampled) AS sampled_complaints, count(*) AS chunks,
                count(*) AS indexed, true AS persisted FROM chunks""",
+    "preprocess_job": f"""WITH {BASE}
+        SELECT {_ID} AS complaint_id, product_category, cleaned_narrative FROM cleaned""",
     "parquet_cache_roundtrip": f"""WITH {COMPLAINTS}
         SELECT {_columns(*COMPLAINT_COLUMNS)} FROM complaints""",
     "cleaned_csv_roundtrip": f"""WITH {BASE}

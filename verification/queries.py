@@ -8,10 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import shared_path
+from narrascope.functions.embedding import unit_rows
 from narrascope.functions.text import excerpt
 from narrascope.operators import chunking, cleaning, grounding, profile, retrieval, sampling
 from narrascope.plans.answering import (
@@ -23,7 +25,7 @@ from narrascope.plans.answering import (
     save_report,
 )
 from narrascope.plans.indexing import build_store
-from narrascope.plans.preprocess import cleaned_complaints
+from narrascope.plans.preprocess import cleaned_complaints, preprocess
 from narrascope.schema import (
     CATEGORY,
     CHUNK_METADATA,
@@ -35,6 +37,8 @@ from narrascope.schema import (
     WORDS,
 )
 from narrascope.sources.chunk_store import (
+    read_cells,
+    write_cells,
     join_vectors,
     read_prebuilt,
     read_store,
@@ -64,6 +68,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SAMPLE = 500
 CELLS = 16
 BUDGET = 1500
+SMALL_BUDGET = 300
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -251,6 +256,20 @@ def stratified_sample_by_label(spark, sf_dir):
     return rows.select(F.col(COMPLAINT_ID).alias("complaint_id"), F.col(PRODUCT).alias("product"))
 
 
+def sample_all_rows(spark, sf_dir):
+    """More rows wanted than there are: all of them are drawn."""
+    rows = sampling.stratified_sample(cleaned(spark, sf_dir), 1 << 40)
+    return rows.select(F.col(COMPLAINT_ID).alias("complaint_id"), CATEGORY)
+
+
+def sample_ordered(spark, sf_dir):
+    """The sample with each row's place in the order of drawing."""
+    rows = sampling.stratified_sample(cleaned(spark, sf_dir), SAMPLE)
+    drawn = F.md5(F.concat(F.lit("42:"), F.col(COMPLAINT_ID)))
+    place = F.row_number().over(Window.partitionBy(CATEGORY).orderBy(drawn))
+    return rows.select(F.col(COMPLAINT_ID).alias("complaint_id"), CATEGORY, place.cast("bigint").alias("place"))
+
+
 def sample_balance(spark, sf_dir):
     before = cleaned(spark, sf_dir)
     rows = sampling.sample_balance(before, sampling.stratified_sample(before, SAMPLE))
@@ -355,7 +374,7 @@ def knn_blocks(spark, sf_dir):
     rows = _vectors(spark, sf_dir)
     return hit_rows(
         retrieval.nearest_chunks(
-            rows, rows, 5, question_id="vec_id", chunk_id="vec_id", resident_limit=0
+            rows, rows, 5, question_id="vec_id", chunk_id="vec_id", resident_limit=64
         )
     )
 
@@ -380,32 +399,42 @@ def knn_join_text(spark, sf_dir):
     return joined.select("question_id", big("rank"), "chunk_id", "source", "text")
 
 
-def _trained(spark, sf_dir):
+def _index(spark, sf_dir):
+    """The vectors as an index whose centres are the first of them."""
     rows = _vectors(spark, sf_dir)
-    model = retrieval.train_cells(rows, CELLS)
-    path = _once(
-        spark, sf_dir, "cells",
-        lambda p: retrieval.assign_cells(rows, model).write.partitionBy("cell").parquet(p),
-    )
-    return rows, spark.read.parquet(path), model
 
+    def write(path):
+        first = rows.where(F.col("vec_id") < CELLS).orderBy("vec_id").select("embedding").collect()
+        centres = unit_rows(np.array([row.embedding for row in first]))
+        write_cells(rows.withColumn("chunk_id", F.col("vec_id")), centres, path)
 
-def knn_ivf(spark, sf_dir):
-    rows, celled, model = _trained(spark, sf_dir)
+    return rows, *read_cells(spark, _once(spark, sf_dir, "cells", write))
+
+
+def _by_cell(spark, sf_dir, probes):
+    rows, celled, centres = _index(spark, sf_dir)
     return hit_rows(
-        retrieval.nearest_chunks_by_cell(
-            rows, celled, model, 5, 4, question_id="vec_id", chunk_id="vec_id"
-        )
+        retrieval.nearest_chunks_by_cell(rows, celled, centres, 5, probes, question_id="vec_id")
     )
 
 
+def knn_ivf(spark, sf_dir):
+    """The four cells nearest to each question; centres are given, so this can be checked."""
+    return _by_cell(spark, sf_dir, 4)
+
+
 def knn_ivf_all_cells(spark, sf_dir):
     """Every cell probed, which must equal the exact search."""
-    rows, celled, model = _trained(spark, sf_dir)
+    return _by_cell(spark, sf_dir, CELLS)
+
+
+def knn_ivf_trained(spark, sf_dir):
+    """Centres trained on the vectors, every cell probed: exact again."""
+    rows = _vectors(spark, sf_dir)
+    centres = retrieval.train_cells(rows, CELLS)
+    celled = retrieval.assign_cells(rows, centres)
     return hit_rows(
-        retrieval.nearest_chunks_by_cell(
-            rows, celled, model, 5, CELLS, question_id="vec_id", chunk_id="vec_id"
-        )
+        retrieval.nearest_chunks_by_cell(rows, celled, centres, 5, CELLS, question_id="vec_id", chunk_id="vec_id")
     )
 
 
@@ -453,6 +482,23 @@ def answer_fallback(spark, sf_dir):
     return rows.select("question_id", "question", "answer")
 
 
+def answer_within_budget(spark, sf_dir):
+    """Answers over contexts of few characters: a longer first chunk is cut, later ones go."""
+    rows, _ = answer_questions(
+        questions(spark, sf_dir), store(spark, sf_dir), length_model, budget=SMALL_BUDGET
+    )
+    return rows.select("question_id", "question", "answer")
+
+
+def context_missing_metadata(spark, sf_dir):
+    """Contexts from a foreign table whose chunks name no issue or no product."""
+    odd = F.length("chunk_id") % 2 == 0
+    bare = hits(spark, sf_dir).withColumns({
+        "issue": F.when(odd, F.col("issue")), CATEGORY: F.when(~odd, F.col(CATEGORY)),
+    })
+    return grounding.contexts(bare)
+
+
 def source_cards(spark, sf_dir):
     rows = answer_with_cards(questions(spark, sf_dir), store(spark, sf_dir), length_model)
     return rows.select("question_id", "answer", "cards")
@@ -478,6 +524,13 @@ def run_stats(spark, sf_dir):
     )
 
 
+def preprocess_job(spark, sf_dir):
+    """The whole job: a CSV export is cached, filtered, cleaned, written and read back."""
+    raw = save_csv(complaints(spark, sf_dir), shared_path(spark, "raw"))
+    rows = preprocess(spark, raw, shared_path(spark, "job"), shared_path(spark, "job-cache") + ".parquet")
+    return rows.select(F.col(COMPLAINT_ID).alias("complaint_id"), CATEGORY, CLEANED)
+
+
 def parquet_cache_roundtrip(spark, sf_dir):
     """Complaints to CSV, cached as Parquet, scanned: every row and column as before."""
     raw = save_csv(complaints(spark, sf_dir), shared_path(spark, "raw"))
@@ -513,12 +566,12 @@ QUERIES: dict[str, Query] = {
         length_histogram, length_bands,
         filter_complaints, clean_narratives, clean_documents, clean_preview, stage_counts,
         sample_quotas, sample_quotas_by_label, stratified_sample, stratified_sample_by_label,
-        sample_balance,
+        sample_balance, sample_all_rows, sample_ordered,
         chunk_fixed, chunk_recursive, chunk_recursive_lines, chunk_metadata, chunk_stats, chunk_trace,
         embed_index, prebuilt_store, knn_exact, knn_blocks, knn_filtered, knn_join_text, knn_ivf,
-        knn_ivf_all_cells,
+        knn_ivf_all_cells, knn_ivf_trained,
         retrieve_chunks, validated_questions, context_block, prompt, context_budget,
-        question_sources, answer_fallback, source_cards, eval_report,
-        run_stats, parquet_cache_roundtrip, cleaned_csv_roundtrip, stream_clean_chunk,
+        question_sources, answer_fallback, answer_within_budget, context_missing_metadata, source_cards, eval_report,
+        run_stats, preprocess_job, parquet_cache_roundtrip, cleaned_csv_roundtrip, stream_clean_chunk,
     )
 }
