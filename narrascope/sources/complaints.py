@@ -12,8 +12,6 @@ from narrascope.sources.csv_blocks import csv_records, text_lines
 # A character no export holds: with it an empty field reads as null and a quoted empty
 # field as an empty string, and both survive a round trip.
 _NULL_MARK = "\u0000"
-_MOST_BLOCKS = 1_000_000
-_SPLITS_PER_FILE = 4
 
 
 def _with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -40,37 +38,16 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header, every column a string, quotes doubled, line breaks in quotes.
 
-    ``schema`` gives the file's columns in their order. A record that does not parse is
-    kept: with ``keep_corrupt`` its text is in the corrupt-record column. A file is read
-    by one task, so this suits exports of many files; see ``read_large_csv``.
+    ``schema`` gives the columns in their order, as every file's header has to. Files of any
+    size are read by as many tasks as they have splits, with the same rows for any splits.
+    A record that does not parse is kept: with ``keep_corrupt`` its text is in the
+    corrupt-record column. A quote that is never closed makes its own record corrupt and
+    takes no other.
     """
-    rows = (
-        spark.read.schema(_with_corrupt_column(schema))
-        .options(header=True, enforceSchema=True, **_csv_options())
-        .csv(path)
-    )
-    return rows if keep_corrupt else rows.drop(CORRUPT)
-
-
-def read_large_csv(
-    spark: SparkSession,
-    path: str | list[str],
-    schema: T.StructType = RAW_SCHEMA,
-    keep_corrupt: bool = False,
-) -> DataFrame:
-    """The rows of ``read_csv``, with each file read by as many tasks as it has blocks.
-
-    It reads the text twice, so it is chosen only where it brings several tasks per file.
-    Many small files, compressed files, and more blocks than their states could be
-    broadcast for, are read by ``read_csv``, file by file.
-    """
-    lines = text_lines(spark, path)
-    splits = lines.rdd.getNumPartitions()
-    if splits > _MOST_BLOCKS or splits < _SPLITS_PER_FILE * len(lines.inputFiles()):
-        return read_csv(spark, path, schema, keep_corrupt)
     full = _with_corrupt_column(schema)
     ddl = ", ".join(f"`{f.name}` STRING" for f in full)
-    parsed = csv_records(lines).select(F.from_csv("record", ddl, _csv_options()).alias("row"))
+    records = csv_records(text_lines(spark, path), schema.fieldNames())
+    parsed = records.select(F.from_csv("record", ddl, _csv_options()).alias("row"))
     # As a generator the parsed row is computed once and not once per column.
     rows = parsed.select(F.inline(F.array("row")))
     return rows if keep_corrupt else rows.drop(CORRUPT)
@@ -78,7 +55,8 @@ def read_large_csv(
 
 def header_schema(spark: SparkSession, path: str) -> T.StructType:
     """All-string schema from the header of a CSV export; one line is read."""
-    head = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    options = {"header": True, "inferSchema": False, "quote": '"', "escape": '"'}
+    head = spark.read.options(**options).csv(path)
     return T.StructType([T.StructField(c, T.StringType()) for c in head.columns])
 
 
@@ -118,15 +96,24 @@ def cache_as_parquet(
     """Convert a CSV export to Parquet once and return the Parquet path.
 
     A finished cache, a single file too, is left alone unless ``overwrite`` is set; a
-    directory without a success marker is an interrupted run and is written again. The caller names the
+    directory without a success marker is an interrupted run and is written again. Records
+    that do not parse are in it too, with their text in the corrupt-record column, where
+    ``corrupt_rows`` counts them. The caller names the
     cache, one per export.
     """
     if overwrite or not _finished(spark, parquet_path):
-        rows = read_large_csv(spark, csv_path, schema or header_schema(spark, csv_path))
+        rows = read_csv(
+            spark, csv_path, schema or header_schema(spark, csv_path), keep_corrupt=True
+        )
         rows.write.mode("overwrite").parquet(parquet_path)
     return parquet_path
 
 
+def corrupt_rows(cached: DataFrame) -> int:
+    """Records of a cache that did not parse as the export's columns."""
+    return cached.where(F.col(CORRUPT).isNotNull()).count() if CORRUPT in cached.columns else 0
+
+
 def save_cleaned(df: DataFrame, path: str) -> str:
     """Write the cleaned table, replacing an older one, and return the path."""
     df.write.mode("overwrite").parquet(path)

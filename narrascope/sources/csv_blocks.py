@@ -1,22 +1,26 @@
-"""Reading one large quoted CSV file with all cores.
+"""Reading quoted CSV files of any size with all cores.
 
 A line break inside quotes does not end a record, so a reader that starts in the middle
-of a file cannot tell where the next record begins, and Spark reads a ``multiLine`` file
-in one task. Whether a block of the file starts inside quotes follows from the blocks
-before it, so two passes over ordinary text splits are enough:
-
-1. each block is followed under both assumptions, which gives one small row: the state at
-   its end for each assumption, and the unfinished text at its borders;
-2. the true state at the start of every block follows by a window over those rows, and
-   each block then joins its lines into whole records.
-
-Records across block borders are put together from the border texts alone. Fields are
-parsed by Spark's own ``from_csv``. Inside tasks, only lines that hold a quote are looked
-at one by one; everything else works on Arrow arrays.
+of a file cannot tell where the next record begins. Whether a block of the file starts
+inside quotes follows from the blocks before it:
+
+1. each block is followed under both assumptions, which gives one small row without text:
+   the state at its end, whether a record starts in it, and where a quote last opened;
+2. the true state at the start of every block follows by a window over those rows;
+3. each block joins its lines into records. Only records that cross a border are put
+   together by a shuffle, keyed by the block that they start in.
+
+A quote that is still open when the file ends is taken as an ordinary character: its record
+ends with its line, which makes it a corrupt one, and the lines after it are read as if it
+were not there. Such places are found by the first step, which is repeated with them known.
+
+Fields are parsed by Spark's own ``from_csv``. Inside tasks, only lines that hold a quote
+are looked at one by one; everything else works on Arrow arrays.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,8 +39,11 @@ _FIELD = rf'(?:"{_INSIDE}"(?:[^",][^,]*)?|[^",][^,]*|)'
 _OPENS = rf'(?s)^(?:{_FIELD},)*"{_INSIDE}$'
 _STAYS_OPEN = rf'(?s)^{_INSIDE}(?:"(?:[^",][^,]*)?,(?:{_FIELD},)*"{_INSIDE})?$'
 
-_BLOCK_SCHEMA = """file long, block long, out_ends_open boolean, in_ends_open boolean,
-                   head string, out_tail string, in_tail string"""
+#: Lines of a block after which an open quote is known to be never closed.
+_Known = dict[tuple[int, int], list[int]]
+
+_BLOCK = ("file long, block long, out_ends_open boolean, out_starts boolean, out_last int, "
+          "in_ends_open boolean, in_starts boolean, in_last int")
 
 
 def _states(lines: pa.Array, is_open: bool) -> tuple[np.ndarray, bool]:
@@ -59,58 +66,31 @@ def _states(lines: pa.Array, is_open: bool) -> tuple[np.ndarray, bool]:
     return np.repeat(after, runs), bool(after[-1])
 
 
-def _joined(parts: list[pa.Array]) -> str | None:
-    lines = [line for part in parts for line in part.to_pylist()]
-    return "\n".join(lines) if lines else None
-
-
-class _Block:
-    """Lines of one block, followed from one assumed state at its start."""
-
-    def __init__(self, starts_open: bool, keep_records: bool):
-        self.is_open = self.in_head = starts_open
-        self.keep_records = keep_records
-        self.head: str | None = None
-        self.unfinished: list[pa.Array] = []
-
-    def add(self, lines: pa.Array) -> list[pa.Array]:
-        """Take the next lines and give the records they complete."""
-        before, self.is_open = _states(lines, self.is_open)
-        starts = np.flatnonzero(~before)
-        if not len(starts):
-            self.unfinished.append(lines)
-            return []
-        self.unfinished.append(lines[: starts[0]])
-        done = self._close()
-        ends = np.append(starts[1:], len(lines))
-        if self.is_open:
-            self.unfinished = [lines[starts[-1] :]]
-            starts, ends = starts[:-1], ends[:-1]
-        if self.keep_records and len(starts):
-            offsets = pa.array(np.append(starts, ends[-1]).astype(np.int32))
-            done.append(pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n"))
-        return done
-
-    def _close(self) -> list[pa.Array]:
-        text, self.unfinished = _joined(self.unfinished), []
-        if self.in_head:
-            self.head, self.in_head = text, False
-            return []
-        return [] if text is None else [pa.array([text])]
-
-    def finish(self) -> list[pa.Array]:
-        """End of the block: what is complete is a record, the rest stays unfinished."""
-        if not self.is_open:
-            return self._close()
-        if self.in_head:
-            self.head, self.unfinished = _joined(self.unfinished), []
-        return []
-
-    def tail(self) -> str | None:
-        return _joined(self.unfinished)
-
-    def between_records(self) -> bool:
-        return not (self.is_open or self.in_head or self.unfinished)
+class _Follower:
+    """The state along the lines of one block, from an assumed state at its start."""
+
+    def __init__(self, is_open: bool, never_closed: list[int]):
+        self.is_open, self.never_closed = is_open, sorted(never_closed)
+        self.starts, self.last, self.read = False, -1, 0
+
+    def add(self, lines: pa.Array) -> np.ndarray:
+        """State before each of the next lines."""
+        parts, at = [], 0
+        ends = [n - self.read + 1 for n in self.never_closed if self.read <= n < self.read + len(lines)]
+        for end in [*ends, len(lines)]:
+            if end > at:
+                before, self.is_open = _states(lines[at:end], self.is_open)
+                parts.append(before)
+            if end in ends:
+                self.is_open = False
+            at = end
+        before = np.concatenate(parts) if parts else np.empty(0, bool)
+        opening = np.flatnonzero(~before & np.append(before[1:], self.is_open))
+        self.starts |= not before.all()
+        if len(opening):
+            self.last = self.read + int(opening[-1])
+        self.read += len(lines)
+        return before
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
@@ -124,82 +104,42 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.Rec
                 yield (int(file[a]), int(block[a])), batch.slice(a, b - a)
 
 
-def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pass one: a row per block, followed from both states until they agree."""
-    key, out, inside, head, rows = None, None, None, None, []
-
-    def close():
-        out.finish()
-        inside.finish()
-        rows.append(
-            {
-                "file": key[0], "block": key[1],
-                "out_ends_open": out.is_open, "in_ends_open": inside.is_open,
-                "head": head if inside is out else inside.head, "out_tail": out.tail(), "in_tail": inside.tail(),
-            }
-        )
-
-    for found, batch in _segments(batches):
-        if found != key:
-            if key is not None:
-                close()
-            key, head = found, None
-            out, inside = _Block(False, False), _Block(True, False)
-        out.add(batch.column("value"))
-        if inside is not out:
-            inside.add(batch.column("value"))
-            if out.between_records() and inside.between_records():
-                head, inside = inside.head, out
-    if key is not None:
-        close()
-        yield from pa.Table.from_pylist(rows, _ARROW_BLOCKS).to_batches()
-
-
-_ARROW_BLOCKS = pa.schema(
-    [
-        ("file", pa.int64()), ("block", pa.int64()),
-        ("out_ends_open", pa.bool_()), ("in_ends_open", pa.bool_()),
-        ("head", pa.string()), ("out_tail", pa.string()), ("in_tail", pa.string()),
-    ]
-)
-
-
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pass two: the records that lie within one block, without the header."""
-    key, block, header = None, None, False
-
-    def records(parts: list[pa.Array]) -> Iterator[pa.RecordBatch]:
-        nonlocal header
-        for part in parts:
-            if header and len(part):
-                part, header = part[1:], False
-            if len(part):
-                yield pa.RecordBatch.from_arrays([part], ["record"])
-
-    for found, batch in _segments(batches):
-        if found != key:
-            if key is not None:
-                yield from records(block.finish())
-            key, block = found, _Block(batch.column("starts_open")[0].as_py(), True)
-            header = found[1] == 0
-        yield from records(block.add(batch.column("value")))
-    if key is not None:
-        yield from records(block.finish())
+def _describe(known: _Known):
+    """A row per block, followed from both states until they agree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, both, rows = None, [], []
+
+        def close():
+            rows.append([*key, *(v for f in both for v in (f.is_open, f.starts, f.last))])
+
+        for found, batch in _segments(batches):
+            if found != key:
+                if key is not None:
+                    close()
+                key = found
+                both = [_Follower(is_open, known.get(key, [])) for is_open in (False, True)]
+            for follower in both:
+                follower.add(batch.column("value"))
+        if key is not None:
+            close()
+            kinds = [pa.int64(), pa.int64(), *[pa.bool_(), pa.bool_(), pa.int32()] * 2]
+            names = [field.split()[0] for field in _BLOCK.split(", ")]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return run
 
 
 def _start_states(blocks: DataFrame) -> DataFrame:
-    """True state at the start of every block of a file.
+    """True state at the start of every block of a file, and the block its open record is from.
 
     A block either ends in the same state whatever the start, keeps the state, or flips
     it. So the state is that of the last block of the first kind, flipped once for each
     flipping block since; a file starts outside quotes.
     """
-    so_far = Window.partitionBy("file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    through = Window.partitionBy("file").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
+    order = Window.partitionBy("file").orderBy("block")
+    so_far = order.rowsBetween(Window.unboundedPreceding, -1)
+    through = order.rowsBetween(Window.unboundedPreceding, 0)
     flips = ~F.col("in_ends_open") & F.col("out_ends_open")
     fixed = F.col("in_ends_open") == F.col("out_ends_open")
     parity = F.sum(flips.cast("int")).over(through) % 2
@@ -207,37 +147,102 @@ def _start_states(blocks: DataFrame) -> DataFrame:
     origin = F.when(fixed, (F.col("out_ends_open").cast("int") + F.col("parity")) % 2)
     last = F.coalesce(F.last("origin", ignorenulls=True).over(so_far), F.lit(0))
     flipped = F.coalesce(F.last("parity").over(so_far), F.lit(0))
-    return (
-        blocks.withColumn("parity", parity)
-        .withColumn("origin", origin)
-        .withColumn("starts_open", (last + flipped) % 2 == 1)
-        .drop("parity", "origin")
+    states = blocks.withColumn("parity", parity).withColumn("origin", origin)
+    states = states.withColumn("starts_open", (last + flipped) % 2 == 1)
+    for name in ("ends_open", "starts", "last"):
+        true = F.when(F.col("starts_open"), F.col(f"in_{name}")).otherwise(F.col(f"out_{name}"))
+        states = states.withColumn(name, true)
+    opened = F.last(F.when(F.col("starts"), F.col("block")), ignorenulls=True).over(so_far)
+    return states.withColumn("opened", opened).select(
+        "file", "block", "starts_open", "ends_open", "last", "opened"
     )
 
 
-def _across_borders(blocks: DataFrame) -> DataFrame:
-    """Records that begin in one block and end in a later one."""
-    tail = F.when(F.col("starts_open"), F.col("in_tail")).otherwise(F.col("out_tail"))
-    head = F.when(F.col("starts_open"), F.col("head"))
-    parts = blocks.select(
-        "file",
-        "block",
-        F.posexplode(F.array(F.struct(head.alias("text")), F.struct(tail.alias("text")))),
-    ).select("file", "block", F.col("pos").alias("place"), "col.text")
-    begun = F.sum("place").over(
-        Window.partitionBy("file").orderBy("block", "place").rowsBetween(
-            Window.unboundedPreceding, 0
-        )
-    )
-    grouped = (
-        parts.where("text IS NOT NULL")
-        .withColumn("begun", begun)
-        .groupBy("file", "begun")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "place", "text"))).alias("parts"))
-    )
-    return grouped.select(
-        F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("record")
+def _never_closed(states: DataFrame) -> list:
+    """Of each file that ends inside quotes, the line on which they open: a row a file."""
+    ends = states.groupBy("file").agg(F.max_by("ends_open", "block").alias("open"))
+    places = states.where("last >= 0").groupBy("file").agg(
+        F.max("block").alias("block"), F.max_by("last", "block").alias("last")
     )
+    return ends.where("open").join(places, "file").select("file", "block", "last").collect()
+
+
+_PART = "text string, file long, opened long, block long"
+
+
+def _assemble(names: list[str] | None, known: _Known):
+    """Records of each block, and parts of records that cross its borders (``opened`` is set).
+
+    The first record of a file is its header, which has to give ``names``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key = follower = opened = None
+        waiting: list[pa.Array] = []
+        in_head = header = False
+
+        def part(texts: list[str], start) -> pa.RecordBatch:
+            n = len(texts)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()), pa.array([key[0]] * n, pa.int64()),
+                 pa.array([start] * n, pa.int64()), pa.array([key[1]] * n, pa.int64())],
+                ["text", "file", "opened", "block"],
+            )
+
+        def whole(text: str):
+            nonlocal header
+            if header:
+                header = False
+                found = next(csv.reader([text.removesuffix("\r")]), [])
+                if names is not None and found != names:
+                    raise ValueError(f"a file begins with the columns {found}, not {names}")
+                return []
+            return [text]
+
+        def joined() -> str:
+            lines = [line for lines in waiting for line in lines.to_pylist()]
+            waiting.clear()
+            return "\n".join(lines)
+
+        def close(at_end: bool) -> Iterator[pa.RecordBatch]:
+            """What waits is the head of the block, a whole record, or the block's open tail."""
+            nonlocal in_head
+            if not any(map(len, waiting)):
+                return
+            text = joined()
+            if in_head:
+                in_head = False
+                yield part([text], opened)
+            elif at_end and follower.is_open:
+                yield part([text], key[1])
+            else:
+                yield part(whole(text), None)
+
+        for found, batch in _segments(batches):
+            if found != key:
+                if key is not None:
+                    yield from close(True)
+                key, header = found, found[1] == 0
+                in_head = batch.column("starts_open")[0].as_py()
+                opened = batch.column("opened")[0].as_py()
+                follower = _Follower(in_head, known.get(key, []))
+            lines = batch.column("value")
+            starts = np.flatnonzero(~follower.add(lines))
+            if not len(starts):
+                waiting.append(lines)
+                continue
+            waiting.append(lines[: starts[0]])
+            yield from close(False)
+            # Whole records but the last, which may go on in the next lines.
+            if len(starts) > 1:
+                offsets = pa.array(starts.astype(np.int32))
+                records = pc.binary_join(pa.ListArray.from_arrays(offsets, lines), "\n").to_pylist()
+                yield part(whole(records[0]) + records[1:], None)
+            waiting.append(lines[starts[-1] :])
+        if key is not None:
+            yield from close(True)
+
+    return run
 
 
 def text_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -255,12 +260,23 @@ def _unix_breaks(record: Column) -> Column:
     return F.when(F.endswith(record, F.lit("\r")), plain).otherwise(record)
 
 
-def csv_records(lines: DataFrame) -> DataFrame:
-    """One row per CSV record, its text whole, headers left out."""
-    described = lines.mapInArrow(_describe, _BLOCK_SCHEMA)
-    blocks = pinned(_start_states(pinned(described, "csv-blocks")), "csv-states")
-    # One row of 17 bytes per block of some hundred megabytes.
-    states = F.broadcast(blocks.select("file", "block", "starts_open"))
-    within = lines.join(states, ["file", "block"]).mapInArrow(_assemble, "record string")
-    records = within.unionByName(_across_borders(blocks))
+def csv_records(lines: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """One row per CSV record, its text whole, without headers, which must be ``names``."""
+    known: _Known = {}
+    while True:
+        described = pinned(lines.mapInArrow(_describe(known), _BLOCK), "csv-blocks")
+        states = pinned(_start_states(described), "csv-states")
+        found = _never_closed(states)
+        if not found:
+            break
+        for row in found:
+            known.setdefault((row.file, row.block), []).append(row.last)
+    # A few numbers per block of some hundred megabytes.
+    states = F.broadcast(states.select("file", "block", "starts_open", "opened"))
+    parts = lines.join(states, ["file", "block"]).mapInArrow(_assemble(names, known), _PART)
+    across = parts.where("opened IS NOT NULL").groupBy("file", "opened").agg(
+        F.array_sort(F.collect_list(F.struct("block", "text"))).alias("parts")
+    )
+    across = across.select(F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("record"))
+    records = parts.where("opened IS NULL").select(F.col("text").alias("record")).unionByName(across)
     return records.where(F.col("record") != "").select(_unix_breaks(F.col("record")).alias("record"))

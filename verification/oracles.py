@@ -454,6 +454,8 @@ ORACLES: dict[str, str] = {
         SELECT {_ID} AS complaint_id, product_category, cleaned_narrative FROM cleaned""",
     "parquet_cache_roundtrip": f"""WITH {COMPLAINTS}
         SELECT {_columns(*COMPLAINT_COLUMNS)} FROM complaints""",
+    "large_csv_scan": f"""WITH {COMPLAINTS}
+        SELECT {_columns(*COMPLAINT_COLUMNS)} FROM complaints""",
     "cleaned_csv_roundtrip": f"""WITH {BASE}
         SELECT {_columns(*COMPLAINT_COLUMNS, 'product_category', 'cleaned_narrative')} FROM cleaned""",
     "stream_clean_chunk": f"{_DOCUMENT_CHUNKS} {_CHUNK_ROWS}",

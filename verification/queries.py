@@ -538,6 +538,13 @@ def parquet_cache_roundtrip(spark, sf_dir):
     return snake(cleaning.keep_columns(scan_complaints(spark, cache)))
 
 
+def large_csv_scan(spark, sf_dir):
+    """All complaints as one CSV file, read by as many tasks as it has splits."""
+    path = save_csv(complaints(spark, sf_dir).coalesce(1), shared_path(spark, "one-file"))
+    rows = scan_complaints(spark, path)
+    return snake(rows)
+
+
 def cleaned_csv_roundtrip(spark, sf_dir):
     """The cleaned table through its CSV form."""
     path = save_csv(cleaned_complaints(complaints(spark, sf_dir)), shared_path(spark, "filtered"))
@@ -572,6 +579,6 @@ QUERIES: dict[str, Query] = {
         knn_ivf_all_cells, knn_ivf_trained,
         retrieve_chunks, validated_questions, context_block, prompt, context_budget,
         question_sources, answer_fallback, answer_within_budget, context_missing_metadata, source_cards, eval_report,
-        run_stats, preprocess_job, parquet_cache_roundtrip, cleaned_csv_roundtrip, stream_clean_chunk,
+        run_stats, preprocess_job, parquet_cache_roundtrip, large_csv_scan, cleaned_csv_roundtrip, stream_clean_chunk,
     )
 }
