@@ -21,6 +21,7 @@ from narrascope.schema import CATEGORY, EMBED_BATCH, STORE_SCHEMA
 # An empty partition value cannot be told from a missing one when it is read back.
 _EMPTY_CATEGORY = "(empty)"
 _SALTS = 16
+_IDENTITY = "encoder string, dim int"
 
 
 def with_embeddings(
@@ -53,9 +54,33 @@ def write_store(
     even = chunks.withColumns({CATEGORY: named, "_salt": salt}).hint("rebalance", CATEGORY, "_salt")
     stored = with_embeddings(even.drop("_salt"), factory, batch_size)
     stored.write.mode("overwrite").partitionBy(CATEGORY).parquet(path)
+    # Readers of the store pass over names that begin with an underscore.
+    identity = _identity(spark, factory)
+    spark.createDataFrame([identity], _IDENTITY).write.parquet(f"{path}/_identity")
     return read_store(spark, path).count()
 
 
+def _identity(spark: SparkSession, factory: Callable[[], Encoder]) -> tuple[str, int]:
+    """Name of an encoder and the length of its vectors, from one text encoded in a task."""
+    name = getattr(factory, "name", None) or getattr(factory, "__qualname__", type(factory).__qualname__)
+    probe = spark.range(1).select(F.size(embed(F.lit("a"), factory)).alias("dim"))
+    return name, probe.head().dim
+
+
+def open_store(
+    spark: SparkSession, path: str, factory: Callable[[], Encoder] = hashed_words
+) -> DataFrame:
+    """``read_store`` for questions to be embedded by ``factory``, which has to be the store's.
+
+    Encoders are told apart by ``factory.name``, or its qualified name, and vector length.
+    """
+    written = tuple(spark.read.schema(_IDENTITY).parquet(f"{path}/_identity").head())
+    asking = _identity(spark, factory)
+    if written != asking:
+        raise ValueError(f"the store was written by encoder {written}, questions come from {asking}")
+    return read_store(spark, path)
+
+
 def _unique(chunks: DataFrame) -> None:
     repeated = repeated_ids(chunks).limit(5).collect()
     if repeated:

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from narrascope.functions.embedding import hashed_words
 from narrascope.operators import grounding as G
 from narrascope.plans import answering
 from narrascope.schema import CATEGORY, QUESTION_SCHEMA
@@ -114,6 +115,9 @@ def test_whole_flow(spark, tmp_path):
     store = chunk_store.read_store(spark, path)
     assert sorted(r[CATEGORY] for r in store.collect()) == ["", "Credit Card", "Personal Loan"]
     assert chunk_store.check_dimension(store, 384).count() == 0
+    assert chunk_store.open_store(spark, path).count() == 3
+    with pytest.raises(ValueError, match="written by encoder"):
+        chunk_store.open_store(spark, path, lambda: hashed_words(8))
     asked = questions(
         spark, (1, "late fee", None), (2, "fee", "Personal Loan"), (3, "fee", "Mortgage"), (4, " ", None)
     )
