@@ -59,7 +59,7 @@ class WordEncoder:
     def encode(self, text: str) -> tuple[np.ndarray, str]:
         """Ids and decoded text; this tokenizer's decoder sets tokens apart by spaces."""
         words = text.encode().split()
-        self.words.add(words)
+        self.words.add(set(words))
         parts = list(map(self.words.__getitem__, words))
         ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int32)
         return ids, " ".join(p[1] for p in parts if p[1])

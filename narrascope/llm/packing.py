@@ -23,8 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import pinned
-from narrascope.llm.common import col, in_slices, keyed, texts_of
-from narrascope.llm.tokens import TextEncoder
+from narrascope.llm.common import col, in_slices, keyed
+from narrascope.llm.tokens import text_encoder
 
 CAPACITY = 1024
 END_ID = 2
@@ -37,14 +37,15 @@ _RESISTING = 16
 
 def _pieces(path: str, capacity: int, end_id: int):
     def make():
-        encoder = TextEncoder(path)
+        encoder = text_encoder(path)
         end = np.array([end_id], "<u4").tobytes()
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             out = []
-            packed = encoder.packed_many(texts_of(batch.column(1)))
-            for row, ids in zip(batch.column(0).to_pylist(), packed):
-                ids = memoryview(ids + end)
+            ids_of_all, counts = encoder.encode(batch.column(1))
+            edges = np.r_[0, np.cumsum(counts)].tolist()
+            for row, a, b in zip(batch.column(0).to_pylist(), edges, edges[1:]):
+                ids = memoryview(ids_of_all[a:b].tobytes() + end)
                 total, start = len(ids) // 4, 0
                 length = total % capacity or capacity
                 for piece in range(-(-total // capacity)):

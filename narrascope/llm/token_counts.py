@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import pinned
 from narrascope.llm.common import col, in_slices, keyed, texts_of
-from narrascope.llm.tokens import _EDGE, TextEncoder
+from narrascope.llm.tokens import _EDGE, text_encoder
 
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
@@ -30,10 +30,10 @@ OVERLAP_CHARS = 1 << 10
 
 def _whole_counts(path: str):
     def make():
-        encoder = TextEncoder(path)
+        encoder = text_encoder(path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            counts = [len(ids) // 4 for ids in encoder.packed_many(texts_of(batch.column(1)))]
+            _, counts = encoder.encode(batch.column(1))
             return pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["row", "n_tokens"])
 
         return step
@@ -70,7 +70,7 @@ def _places(path: str, overlap: int):
     """
 
     def make():
-        tokenizer = TextEncoder(path).tokenizer
+        tokenizer = text_encoder(path).tokenizer
         margin = max([1, *(len(t.content) for t in tokenizer.get_added_tokens_decoder().values())])
 
         def one(row, number, start, last, part):
@@ -137,7 +137,7 @@ def token_counts(
     docs, row = keyed(docs, id_col)
     texts = docs.select(col(row).cast("long").alias("row"), col(text_col).alias("text"))
     size, long = F.coalesce(F.length("text"), F.lit(0)), chunk + overlap
-    if not TextEncoder(tokenizer).cuttable:
+    if not text_encoder(tokenizer).cuttable:
         long = (1 << 31) - 1
     counted = in_slices(texts.filter(size <= long), _whole_counts(tokenizer), "row long, n_tokens long", 1)
     huge = texts.filter(size > long)

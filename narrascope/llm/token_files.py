@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from narrascope.llm.common import col, in_batches, in_slices, keyed, lists_of, texts_of
-from narrascope.llm.tokens import TextEncoder
+from narrascope.llm.common import col, in_batches, in_slices, keyed, lists_of
+from narrascope.llm.tokens import text_encoder
 
 END_ID = 2
 PIECE_IDS = 1 << 16
@@ -43,12 +43,14 @@ _POLYNOMIAL = 0xEDB88320
 
 def _encoded(path: str, end_id: int, piece_ids: int):
     def make():
-        encoder = TextEncoder(path)
+        encoder = text_encoder(path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             places, numbers, parts = [], [], []
-            for place, packed in enumerate(encoder.packed_many(texts_of(batch.column(2)))):
-                ids = np.append(np.frombuffer(packed, "<u4"), np.uint32(end_id))
+            ids_of_all, counts = encoder.encode(batch.column(2))
+            edges = np.r_[0, np.cumsum(counts)].tolist()
+            for place, (a, b) in enumerate(zip(edges, edges[1:])):
+                ids = np.append(ids_of_all[a:b], np.uint32(end_id))
                 for number, at in enumerate(range(0, ids.size, piece_ids)):
                     places.append(place)
                     numbers.append(number)

@@ -4,7 +4,8 @@ A byte-level BPE tokenizer never lets a token reach from a character that is not
 space to white space behind it: its split pattern ends every word and every run of signs
 there, and the special strings hold no white space. So a text can be cut in front of any
 white space that follows something else, each part encoded alone and the ids be joined.
-Parts are mostly single words, and common words are encoded once per task.
+Parts are mostly single words. Those of a batch are found and numbered as whole columns,
+each different one is encoded once, and a worker remembers the common ones.
 """
 
 from __future__ import annotations
@@ -12,20 +13,19 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections.abc import Iterator
-from itertools import chain
+from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Unicode's White_Space.
 _WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_PARTS = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
 _EDGE = re.compile(f"[^{_WHITE}](?=[{_WHITE}])")
 _AT_ONCE = 256
-_BLOCK_CHARS = 1 << 18
-_REMEMBERED_WORDS, _REMEMBERED_CHARS = 1 << 18, 1 << 23
+_REMEMBERED_WORDS, _REMEMBERED_CHARS = 1 << 18, 1 << 22
 
 
 def load_tokenizer(path: str):
@@ -54,29 +54,50 @@ def is_byte_level(tokenizer) -> bool:
     )
 
 
-def blocks(text: str, size: int = _BLOCK_CHARS) -> Iterator[str]:
-    """A text in parts of about ``size`` characters, cut in front of white space."""
-    at = 0
-    while at < len(text):
-        edge = _EDGE.search(text, at + size)
-        end = edge.end() if edge else len(text)
-        yield text[at:end]
-        at = end
+def _ends_white(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether white space beyond ASCII ends in front of places whose last byte is not ASCII."""
+    first, second, last = (data[np.maximum(at - back, 0)] for back in (3, 2, 1))
+    wide = (second == 0x80) & ((last <= 0x8A) | np.isin(last, (0xA8, 0xA9, 0xAF)))
+    return (
+        ((second == 0xC2) & np.isin(last, (0x85, 0xA0)))
+        | ((first == 0xE1) & (second == 0x9A) & (last == 0x80))
+        | ((first == 0xE2) & (wide | ((second == 0x81) & (last == 0x9F))))
+        | ((first == 0xE3) & (second == 0x80) & (last == 0x80))
+    )
+
+
+def _part_starts(data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+    """Where parts begin: with each text, and in front of ASCII white space behind another sign."""
+    white = (data == 32) | ((data >= 9) & (data <= 13))
+    first = np.zeros(data.size, bool)
+    first[1:] = white[1:] & ~white[:-1]
+    at = np.flatnonzero(first[1:] & (data[:-1] >= 0x80)) + 1
+    first[at[_ends_white(data, at)]] = False
+    first[text_starts[text_starts < data.size]] = True
+    return np.flatnonzero(first)
 
 
 class Remembered(dict):
-    """Word to encoded form; emptied when it has grown large."""
+    """Word to encoded form, in two generations.
+
+    When the young one is full it becomes the old one, and what is met again comes over, so
+    common words stay and rare ones go.
+    """
 
     def __init__(self, encode_words):
         super().__init__()
-        self.encode_words, self.chars = encode_words, 0
+        self.encode_words, self.old, self.chars = encode_words, {}, 0
 
     def add(self, words) -> None:
-        """Make sure that all of ``words`` are there."""
+        """Make sure that all of ``words``, which differ from each other, are there."""
         if len(self) > _REMEMBERED_WORDS or self.chars > _REMEMBERED_CHARS:
+            self.old, self.chars = dict(self), 0
             self.clear()
-            self.chars = 0
-        missing = [word for word in set(words) if word not in self]
+        missing = [word for word in words if word not in self]
+        if self.old:
+            back = {word: self.old[word] for word in missing if word in self.old}
+            self.update(back)
+            missing = [word for word in missing if word not in back]
         if missing:
             self.update(zip(missing, self.encode_words(missing)))
             self.chars += sum(map(len, missing))
@@ -92,12 +113,13 @@ class TextEncoder:
         self.mark, self.mark_id = min(((t.content, i) for i, t in added.items()), default=(None, None))
         self.words = Remembered(self._encode_words)
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, words: list[bytes]) -> list[bytes]:
         """The packed ids of each word.
 
         The library encodes what lies between special strings on its own, so many words go
         at a time with one of those strings between them.
         """
+        words = [word.decode() for word in words]
         if self.mark is None or any(self.mark in word for word in words):
             found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
             return [np.array(one.ids, "<u4").tobytes() for one in found]
@@ -111,29 +133,41 @@ class TextEncoder:
             out += [packed[a:b] for a, b in zip(starts, ends)]
         return out
 
-    def packed_many(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.cuttable:
-            return self._encode_words(texts)
-        parts = [_PARTS.findall(text) if len(text) <= _BLOCK_CHARS else None for text in texts]
-        self.words.add(chain.from_iterable(p for p in parts if p))
-        known = self.words.__getitem__
-        # Long texts come after the others, as new words may push out what is remembered.
-        out = [None if p is None else b"".join(map(known, p)) for p in parts]
-        for i, text in enumerate(texts):
-            if parts[i] is None:
-                out[i] = self.packed(text)
-        return out
-
-    def packed(self, text: str) -> bytes:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and how many each has; null as empty."""
+        texts = pc.fill_null(texts, "").cast(pa.large_binary())
         if not self.cuttable:
-            return self._encode_words([text])[0]
-        out = []
-        for block in blocks(text):
-            words = _PARTS.findall(block)
-            self.words.add(words)
-            out.append(b"".join(map(self.words.__getitem__, words)))
-        return b"".join(out)
+            parts = self._encode_words(texts.to_pylist())
+            return np.frombuffer(b"".join(parts), "<u4"), np.array([len(p) // 4 for p in parts], np.int64)
+        edges = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        if not len(texts) or edges[0] == edges[-1]:
+            return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[edges[0] : edges[-1]]
+        edges = edges - edges[0]
+        starts = _part_starts(data, edges[:-1])
+        places = pa.py_buffer(np.r_[starts, data.size].astype(np.int32))
+        parts = pa.Array.from_buffers(pa.binary(), starts.size, [None, places, pa.py_buffer(data)])
+        parts = parts.dictionary_encode()
+        words = parts.dictionary.to_pylist()
+        self.words.add(words)
+        packed = list(map(self.words.__getitem__, words))
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        kind = np.int32 if data.size < 1 << 29 else np.int64
+        sizes = np.fromiter(map(len, packed), kind, len(packed)) // 4
+        which = parts.indices.to_numpy()
+        counts = sizes[which]
+        ends = np.cumsum(counts, dtype=kind)
+        # Of each id its place among those of the different words.
+        shift = (np.cumsum(sizes, dtype=kind) - sizes)[which] - (ends - counts)
+        flat = ids[np.repeat(shift, counts) + np.arange(ends[-1], dtype=shift.dtype)]
+        before = np.r_[kind(0), ends][np.searchsorted(starts, edges)]
+        return flat, np.diff(before).astype(np.int64)
 
     def ids(self, text: str) -> np.ndarray:
-        return np.frombuffer(self.packed(text), "<u4")
+        return self.encode(pa.array([text], pa.string()))[0]
+
+
+@cache
+def text_encoder(path: str) -> TextEncoder:
+    """The encoder of a file, kept by a worker from task to task."""
+    return TextEncoder(path)
