@@ -67,8 +67,8 @@ def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for offset in range(_LOOK_BACK - 1):
         early = starts_of_texts + offset
         cut[early[early < data.size]] = False
-    bounds = np.union1d(np.flatnonzero(cut) + 1, ends)
-    bounds = bounds[bounds > 0]
+    cut[ends[ends > 0] - 1] = True
+    bounds = np.flatnonzero(cut) + 1
     starts = np.r_[0, bounds[:-1]]
     parts = -(-(bounds - starts) // MAX_CHUNK)
     which = np.repeat(np.arange(bounds.size), parts)
