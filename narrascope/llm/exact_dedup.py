@@ -17,6 +17,7 @@ exactly one stays; an empty table gives an empty result; other columns are not l
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -100,25 +101,29 @@ def exact_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    carry: dict[str, Column] | None = None,
+    carry: dict[str, Callable[[Column], Column]] | None = None,
     block_bytes: int = BLOCK_BYTES,
     row_col: str | None = None,
 ) -> DataFrame:
     """One row per document: row_key, id, keep_id, group_size, kept, and what ``carry`` adds.
 
     Texts are equal when they are after ``normal_text``. Of equal texts the row with the
-    smallest id stays. ``carry`` names further columns, as expressions over ``docs``, that
-    are computed in the one pass over the texts. ``row_key`` is the id where ids are unique,
+    smallest id stays. ``carry`` names further columns, as functions of the normalised text
+    in UTF-8, that are computed in the one pass over the texts. ``row_key`` is the id where ids are unique,
     or ``row_col``, a column known to tell rows apart.
     """
     docs, row = (docs, row_col) if row_col else keyed(docs, id_col)
     carry = carry or {}
-    head = F.struct(col(id_col).alias("doc"), *[c.alias(n) for n, c in carry.items()])
-    pieces = docs.select(
-        col(row).alias("row"),
-        _blocks(normal_text(col(text_col)).cast("binary"), block_bytes).alias("blocks"),
-        head.alias("head"),
-    ).select("row", F.size("blocks").alias("n"), "head", F.posexplode("blocks").alias("pos", "block"))
+    body = F.col("body")
+    head = F.struct("doc", *[make(body).alias(name) for name, make in carry.items()])
+    # A column of its own, as it is used several times and is costly. There is always a block;
+    # the outer form spares a filter on their number, which would make them once more.
+    texts = docs.select(
+        col(row).alias("row"), col(id_col).alias("doc"), normal_text(col(text_col)).cast("binary").alias("body")
+    )
+    pieces = texts.select("row", head.alias("head"), _blocks(body, block_bytes).alias("blocks")).select(
+        "row", F.size("blocks").alias("n"), "head", F.posexplode_outer("blocks").alias("pos", "block")
+    )
     pieces = pieces.withColumn("head", F.when(F.col("pos") == 0, F.col("head")))
     pieces = pieces.withColumn("digest", F.xxhash64("block"))
     first = _block_names(pieces)

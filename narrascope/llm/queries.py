@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from narrascope.functions.bounds import shared_path
 from narrascope.llm.bpe import encode_decode
 from narrascope.llm.classifier import score_documents, train_classifier
-from narrascope.llm.exact_dedup import exact_dedup, normal_text
+from narrascope.llm.exact_dedup import exact_dedup
 from narrascope.llm.line_dedup import line_dedup
 from narrascope.llm.packing import pack_documents
 from narrascope.llm.quality_rules import quality_rules
@@ -26,8 +26,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    digest = F.unhex(F.sha2(normal_text(F.col("text")), 256))
-    found = exact_dedup(_documents(spark, sf_dir), carry={"digest": digest})
+    carry = {"digest": lambda body: F.unhex(F.sha2(body, 256))}
+    found = exact_dedup(_documents(spark, sf_dir), carry=carry)
     return found.select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
