@@ -5,8 +5,8 @@ own. The rest is dealt at random into groups of bounded size. In a group pieces
 best-fit, largest first; then the least filled sequence is emptied into fuller ones by
 moves, one-for-one and two-for-one exchanges. Each step takes tokens from a sequence to one
 that ends up fuller than the first was, so the sum of squared fills only grows and the
-search ends. The least filled sequences of all groups are dealt again, level by level, until
-one group is left, so the last open sequences of many groups come together.
+search ends. The least filled sequences of all groups, at most half of each, are dealt again,
+level by level, until one group is left, so the last open sequences of many groups come together.
 
 Defined results: a null or empty text is its end token alone; every row is packed, also with
 a null or repeated id; an empty table gives no pieces; other columns are not looked at.
@@ -29,7 +29,8 @@ from narrascope.llm.tokens import text_encoder
 CAPACITY = 1024
 END_ID = 2
 GROUP_PIECES = 4096
-#: Of each group, as many of its least filled sequences are dealt again at the next level.
+#: Of each group, at most as many of its least filled sequences are dealt again at the next level,
+#: and at most half of them, so that every level places pieces for good.
 _REOPENED = 32
 #: A search ends when so many of the least filled sequences in turn cannot be emptied.
 _RESISTING = 16
@@ -158,11 +159,15 @@ class _Search:
             if able.any():
                 self.move(place, int(others[able][np.argmax(after[able])]))
                 return True
-        best = None
-        groups = [(i,) for i in mine]
-        groups += [(a, b) for n, a in enumerate(mine) for b in mine[n + 1 :]]
-        for group in groups:
-            given = int(self.sizes[list(group)].sum())
+        best, size = None, self.sizes[mine].tolist()
+        # Of groups that give the same, the first stands for all.
+        groups = {}
+        for given, place in zip(size, mine):
+            groups.setdefault(given, (place,))
+        for n, a in enumerate(mine):
+            for given, b in zip(size[n + 1 :], mine[n + 1 :]):
+                groups.setdefault(size[n] + given, (a, b))
+        for given, group in groups.items():
             target = self._target(1, given, home)
             if target is not None and (best is None or given - self.sizes[target] > best[0]):
                 best = (given - self.sizes[target], group, target)
@@ -177,13 +182,16 @@ class _Search:
 
     def _two_of_theirs(self, home: int, mine: list[int]) -> bool:
         """Exchange one piece of ``home`` for two smaller ones of another bin."""
+        firsts: dict[int, int] = {}  # of equal pieces one stands for all
+        for place in mine:
+            firsts.setdefault(int(self.sizes[place]), place)
         for there in np.unique(self.bin[self.open]):
             room = self.capacity - self.fill[there]
             if there == home or self.fill[there] == 0 or not room:
                 continue
             theirs = sorted((int(i) for i in self.open[self.bin[self.open] == there]), key=lambda i: self.sizes[i])
             sizes = [int(self.sizes[i]) for i in theirs]
-            for place in mine:
+            for place in firsts.values():
                 for i, size in enumerate(sizes):
                     # The second is the smallest that leaves no more gain than there is room.
                     j = max(i + 1, bisect_left(sizes, self.sizes[place] - size - room))
@@ -235,6 +243,7 @@ def _pack_group(capacity: int):
         rank = np.empty(fill.size, np.int64)
         rank[np.argsort(fill, kind="stable")] = np.arange(fill.size)
         rank -= np.count_nonzero(fill == 0)  # emptied bins
+        reopened = (rank < min(_REOPENED, np.count_nonzero(fill) // 2)) & (fill < capacity)
         order = np.argsort(bins, kind="stable")
         ends = np.cumsum(sizes[order])
         first = np.r_[True, np.diff(bins[order]) != 0]
@@ -244,13 +253,13 @@ def _pack_group(capacity: int):
         )
         return pa.table({
             "row": table["row"], "piece": table["piece"], "length": table["length"],
-            "grp": table["grp"], "bin": rank[bins], "offset": offsets, "bin_fill": fill[bins],
+            "grp": table["grp"], "bin": rank[bins], "offset": offsets, "reopened": reopened[bins],
         })
 
     return run
 
 
-_PACKED = "row long, piece int, length long, grp long, bin long, offset long, bin_fill long"
+_PACKED = "row long, piece int, length long, grp long, bin long, offset long, reopened boolean"
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
@@ -266,7 +275,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int =
         dealt = left.withColumn("grp", F.pmod(F.xxhash64(F.lit(level), number), F.lit(groups)))
         packed = pinned(dealt.groupBy("grp").applyInArrow(_pack_group(capacity), _PACKED), "packed")
         # The least filled sequences of each group come first and are opened again, unless full.
-        again = (F.col("bin") < _REOPENED) & (F.col("bin_fill") < capacity) if groups > 1 else F.lit(False)
+        again = F.col("reopened") if groups > 1 else F.lit(False)
         name = F.concat_ws("-", F.lit(str(level)), "grp", "bin")
         placed = placed.unionByName(packed.filter(~again).select("row", "piece", name.alias("sequence"), "offset"))
         if groups == 1:

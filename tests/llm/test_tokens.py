@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from narrascope.functions.bounds import pinned
 from narrascope.llm import bpe as bpe_module
 from narrascope.llm.bpe import WordEncoder, encode_decode
 from narrascope.llm.packing import best_fit, fewest_bins, pack, pack_documents
@@ -173,3 +175,27 @@ def test_groups_come_together(spark):
     assert len({r.sequence_id for r in got}) <= -(-sum(sizes) // 1024) * 1.01 + 1
 
 
+def test_levels_end_for_short_equal_texts(spark, monkeypatch):
+    from narrascope.llm import packing
+
+    levels = []
+
+    def counted(df, name):
+        levels.append(name)
+        assert len(levels) < 9, "levels place no pieces"
+        return pinned(df, name)
+
+    monkeypatch.setattr(packing, "pinned", counted)
+    rows = [(i, "a b") for i in range(10_000)]
+    got = pack_documents(frame(spark, rows), BYTES).collect()
+    length = got[0].length
+    assert len(got) == 10_000 and {r.length for r in got} == {length} and 1 < length < 8 and 1024 % length
+    sequences = defaultdict(set)
+    for r in got:
+        sequences[r.sequence_id].add(r.offset)
+    assert sum(map(len, sequences.values())) == 10_000
+    assert all(o % length == 0 and o + length <= 1024 for s in sequences.values() for o in s)
+    least = -(-10_000 // (1024 // length))
+    assert least <= len(sequences) <= least + 2
+
+
