@@ -3,18 +3,20 @@
 A gear hash rolls over the bytes of a text, and a chunk ends where its top bits are zero.
 The hash looks back sixteen bytes, so inside a repeated passage all texts are cut alike,
 whatever stands before it. Chunks are compared by digest; the first place of a digest, by
-document and offset, is its owner. Adjacent chunks owned elsewhere form a run. At either end
-the passage may reach into chunks that other text has changed: the bytes there are compared
-with those beside the owner's chunk, and the run is extended as far as they agree. What then
-covers ``min_words`` whole words is cut out. Owners come before what refers to them, so each
-passage is left in one place.
+document and offset, is its owner, and so is the first place in the text itself. Adjacent
+chunks that go on in one owner at one shift form a run. At either end the passage may reach into chunks that other text has changed or that have
+another owner: the bytes there are compared with those beside the owner's chunks, and the run
+is extended as far as they agree. Runs of one owner and shift that then touch are one. What
+covers ``min_words`` whole words in one owner is cut out; only then are spans merged. Owners
+come before what refers to them, so each passage is left in one place.
 
 Chunks are counted before they are shuffled and joined to the repeated ones; a digest that
 is everywhere is summed early, and its join can be split. Only the bytes beside owners are
 looked up again.
 
 Defined results: null texts stay null and have no spans; empty texts stay empty; repeats
-inside one document are cut too; every row is kept, with an empty text if all of it repeats;
+inside one document are cut too, but for stretches of one word or phrase repeated that have
+no natural cuts (figures in the README); every row is kept, with an empty text if all of it repeats;
 rows with equal or null ids are documents of their own; an empty table gives an empty
 result; other columns are passed on.
 """
@@ -41,7 +43,8 @@ _LOOK_BACK = 16
 _MASK = np.uint16(0xF800)
 #: A passage of 50 words has whole chunks of so many bytes but for rare cases.
 _MIN_RUN_BYTES = 48
-_ANCHORS = 6
+#: So far bytes beside a run are compared, more than most passages of 50 words have.
+_REACH = 512
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _GEAR = np.array([xxhash.xxh64_intdigest(bytes([i]), 0x9EA2) & 0xFFFF for i in range(256)], np.uint16)
@@ -96,56 +99,52 @@ def _chunks():
         order = np.lexsort((first, digests, text))
         new = np.ones(order.size, bool)
         new[1:] = (digests[order][1:] != digests[order][:-1]) | (text[order][1:] != text[order][:-1])
-        leads = np.empty(order.size, bool)
-        leads[order] = new
+        lead = np.maximum.accumulate(np.where(new, np.arange(order.size), 0))
+        own = np.empty(order.size, np.int64)
+        own[order] = starts[order][lead]
         return pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.int64()), pa.array(starts, pa.int32()), pa.array(last - first, pa.int32()),
-             pa.array(digests), pa.array(leads)],
-            ["row", "start", "size", "digest", "leads"],
+             pa.array(digests), pa.array(own, pa.int32())],
+            ["row", "start", "size", "digest", "own_start"],
         )
 
     return step
 
 
-_RUN = "row long, start int, end int, left_row long, left_at int, right_row long, right_at int"
+_RUN = "row long, start int, end int, owner_row long, shift int"
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of adjacent chunks (row, start, size, owner_row, owner_start), sorted by place.
-
-    The places beside a run's owner are told by the longest of the chunks near either end,
-    as short ones may be owned by any text.
-    """
-
-    def closed(run):
-        start, end = run[0][1], run[-1][1] + run[-1][2]
-        if end - start < _MIN_RUN_BYTES:
-            return []
-        left = max(run[:_ANCHORS], key=lambda c: c[2])
-        right = max(run[-_ANCHORS:], key=lambda c: c[2])
-        return [(run[0][0], start, end, left[3], left[4] - left[1] + start, right[3], right[4] - right[1] + end)]
-
-    head, tail = [], []
+    """Runs of adjacent chunks (row, start, size, owner_row, owner_start, own_start), sorted by
+    place, that go on in one owner, or earlier in their own text, at one shift. They are left out
+    where all adjacent chunks are too short."""
+    last, since, runs, going = None, 0, [], {}
     for batch in batches:
         out = []
-        for chunk in zip(*(c.to_pylist() for c in batch.columns)):
-            last = (tail or head)[-1] if head else None
-            if last and (last[0] != chunk[0] or last[1] + last[2] != chunk[1]):
-                out += closed(head + tail)
-                head, tail = [], []
-            # Of a long run only the chunks near its ends are needed.
-            if len(head) < _ANCHORS:
-                head.append(chunk)
-            else:
-                tail = [*tail[1 - _ANCHORS :], chunk]
+        for row, start, size, owner, at, own in zip(*(c.to_pylist() for c in batch.columns)):
+            if last != (row, start):
+                out += runs if last and last[1] - since >= _MIN_RUN_BYTES else []
+                since, runs, going = start, [], {}
+            elif len(runs) > 8 and start - since >= _MIN_RUN_BYTES:
+                out += [run for run in runs if run[2] < start]
+                runs = [run for run in runs if run[2] == start]
+            before, going = going, {}
+            for key in {(owner, start - at), (row, start - own)} - {(row, 0)}:
+                run = before.get(key)
+                if run is None:
+                    run = [row, start, start, *key]
+                    runs.append(run)
+                run[2] = start + size
+                going[key] = run
+            last = row, start + size
         yield _run_batch(out)
-    if head:
-        yield _run_batch(closed(head + tail))
+    if last and last[1] - since >= _MIN_RUN_BYTES:
+        yield _run_batch(runs)
 
 
 def _run_batch(rows) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-    columns = list(zip(*rows)) or [[]] * 7
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    columns = list(zip(*rows)) or [[]] * 5
     names = [field.split()[0] for field in _RUN.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -159,7 +158,7 @@ def _beside():
         for row, text, places in zip(batch.column(0).to_pylist(), texts.to_pylist(), batch.column(2).to_pylist()):
             for place in places:
                 at, side = place["at"], place["side"]
-                found = text[max(0, at) : max(0, at + MAX_CHUNK)] if side else text[max(0, at - MAX_CHUNK) : max(0, at)]
+                found = text[at : at + _REACH] if side else text[max(0, at - _REACH) : at]
                 out.append((row, at, side, found))
         kinds = [pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         columns = list(zip(*out)) or [[]] * 4
@@ -179,24 +178,30 @@ def _agree(a: bytes, b: bytes, from_end: bool) -> int:
 
 
 def passages(data: bytes, runs: list[dict], min_words: int) -> list[tuple[int, int]]:
-    """Byte spans of whole words to cut out, merged and in order."""
-    spans: list[list[int]] = []
+    """Byte spans of whole words to cut out, merged and in order.
+
+    Each is made of spans that alone cover ``min_words`` words of one owner, without a gap.
+    """
+    by_owner: dict[tuple[int, int], list[list[int]]] = {}
     for run in sorted(runs, key=lambda r: r["start"]):
         start, end = run["start"], run["end"]
-        start -= _agree(data[max(0, start - MAX_CHUNK) : start], run["before"] or b"", True)
-        end += _agree(data[end : end + MAX_CHUNK], run["behind"] or b"", False)
+        start -= _agree(data[max(0, start - _REACH) : start], run["before"] or b"", True)
+        end += _agree(data[end : end + _REACH], run["behind"] or b"", False)
+        spans = by_owner.setdefault((run["owner_row"], run["shift"]), [])
         if spans and start <= spans[-1][1]:
             spans[-1][1] = max(end, spans[-1][1])
         else:
             spans.append([start, end])
     white = lambda i: i < 0 or i >= len(data) or data[i] in b" \t\n\x0b\x0c\r"
-    out = []
-    for start, end in spans:
+    out: list[tuple[int, int]] = []
+    for start, end in sorted((a, b) for spans in by_owner.values() for a, b in spans):
         while start < end and not white(start) and not white(start - 1):
             start += 1
         while end > start and not white(end) and not white(end - 1):
             end -= 1
-        if len(data[start:end].split()) >= min_words:
+        if (not out or end > out[-1][1]) and len(data[start:end].split()) >= min_words:
+            if out and start <= out[-1][1]:
+                start = out.pop()[0]
             out.append((start, end))
     return out
 
@@ -238,33 +243,33 @@ def substring_dedup(
     spans_col, columns = unused(docs, "cut_spans"), docs.columns
     docs, row = keyed(docs, id_col)
     texts = docs.select(col(row).cast("long").alias("row"), col(text_col).alias("text"))
-    chunks = in_slices(texts, _chunks, "row long, start int, size int, digest long, leads boolean", 1)
+    chunks = in_slices(texts, _chunks, "row long, start int, size int, digest long, own_start int", 1)
     owners = chunks.groupBy("digest", "size").agg(
         F.count("*").alias("places"),
         F.min("row").alias("owner_row"),
-        F.expr("min_by(start, row) FILTER (WHERE leads)").alias("owner_start"),
+        F.expr("min_by(start, row) FILTER (WHERE own_start = start)").alias("owner_start"),
     ).filter("places > 1")
     repeats = chunks.join(owners, ["digest", "size"]).filter("row <> owner_row OR start <> owner_start")
-    repeats = repeats.select("row", "start", "size", "owner_row", "owner_start")
+    repeats = repeats.select("row", "start", "size", "owner_row", "owner_start", "own_start")
     runs = repeats.repartition("row").sortWithinPartitions("row", "start").mapInArrow(_runs, _RUN)
     runs = pinned(runs, "runs")
 
     places = [
-        runs.select(F.col(f"{side}_row").alias("row"), F.col(f"{side}_at").alias("at"), F.lit(i).alias("side"))
-        for i, side in enumerate(("left", "right"))
+        runs.select(F.col("owner_row").alias("row"), (F.col(edge) - F.col("shift")).alias("at"), F.lit(i).alias("side"))
+        for i, edge in enumerate(("start", "end"))
     ]
     wanted = places[0].unionByName(places[1]).distinct()
     wanted = wanted.groupBy("row").agg(F.collect_list(F.struct("at", "side")).alias("places"))
     beside = in_slices(texts.join(wanted, "row").select("row", "text", "places"), _beside,
                        "row long, at int, side int, beside binary", 1)
     beside = pinned(beside, "beside")
-    for i, (side, name) in enumerate((("left", "before"), ("right", "behind"))):
+    for i, (edge, name) in enumerate((("start", "before"), ("end", "behind"))):
         own = beside.filter(F.col("side") == i).select(
-            F.col("row").alias(f"{side}_row"), F.col("at").alias(f"{side}_at"), F.col("beside").alias(name)
+            F.col("row").alias("owner_row"), F.col("at").alias(f"{edge}_at"), F.col("beside").alias(name)
         )
-        runs = runs.join(own, [f"{side}_row", f"{side}_at"], "left")
+        runs = runs.withColumn(f"{edge}_at", F.col(edge) - F.col("shift")).join(own, ["owner_row", f"{edge}_at"], "left")
     found = runs.groupBy(F.col("row").alias(row)).agg(
-        F.collect_list(F.struct("start", "end", "before", "behind")).alias(spans_col)
+        F.collect_list(F.struct("start", "end", "owner_row", "shift", "before", "behind")).alias(spans_col)
     )
     joined = docs.join(found, row, "left").select(*[col(c) for c in columns], col(spans_col))
     kind = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))

@@ -76,3 +76,20 @@ def test_copies_repeated_rows_null_ids_and_empty_table(spark):
     got, _ = substring_dedup(frame(spark, [(1, f"{repeated} {words(rng, 20)} {repeated}")]))
     assert len(got.head().text.split()) == 90
     assert substring_dedup(spark.createDataFrame([], SCHEMA))[0].count() == 0
+
+
+def test_passages_of_too_few_words_stay_side_by_side(spark):
+    rng = random.Random(4)
+    a, b, c = words(rng, 40), words(rng, 40), words(rng, 60)
+    near = words(rng, 80).split()
+    rows = [(1, f"{words(rng, 30)} {a} {words(rng, 30)}"), (2, f"{words(rng, 30)} {b} {words(rng, 30)}"),
+            (3, " ".join(near)), (4, f"{words(rng, 20)} {a} {b} {words(rng, 20)}"),
+            (5, " ".join(near[:39] + near[40:])), (6, f"{words(rng, 20)} {a} {c} {words(rng, 20)}"),
+            (7, f"{words(rng, 20)} {c} {b} {words(rng, 20)}")]
+    # The parts of a passage stand elsewhere too.
+    parts = [" ".join(c.split()[i : i + 20]) for i in (0, 20, 40)]
+    rows += [(-1 - i, f"{words(rng, 30)} {part} {words(rng, 30)}") for i, part in enumerate(parts)]
+    got = {r.doc_id: r.text for r in substring_dedup(frame(spark, rows))[0].collect()}
+    want = dict(rows)
+    assert all(got[i] == t for i, t in want.items() if i != 7)
+    assert len(got[7].split()) in range(79, 82) and b in got[7] and c[20:-20] not in got[7]
