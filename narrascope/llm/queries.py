@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from narrascope.functions.bounds import shared_path
 from narrascope.llm.bpe import encode_decode
 from narrascope.llm.classifier import score_documents, train_classifier
+from narrascope.llm.common import col, keyed
 from narrascope.llm.exact_dedup import exact_dedup
 from narrascope.llm.line_dedup import line_dedup
 from narrascope.llm.packing import pack_documents
@@ -25,6 +28,18 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def _with_ids(docs: DataFrame, operator: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Rows of an operator, given documents and the name of their key, with the real ``doc_id``.
+
+    Where ids are not unique the keys are numbers of rows, and each row's id is joined to it.
+    """
+    docs, row = keyed(docs, "doc_id")
+    found = operator(docs, row)
+    if row == "doc_id":
+        return found.withColumnRenamed("row_key", "doc_id")
+    return found.join(docs.select(col(row).alias("row_key"), "doc_id"), "row_key").drop("row_key")
+
+
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     carry = {"digest": lambda body: F.unhex(F.sha2(body, 256))}
     found = exact_dedup(_documents(spark, sf_dir), carry=carry)
@@ -35,8 +50,8 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup(_documents(spark, sf_dir)).select(
-        F.col("row_key").alias("doc_id"), "n_lines", "n_dropped",
+    return _with_ids(_documents(spark, sf_dir), line_dedup).select(
+        "doc_id", "n_lines", "n_dropped",
         F.sha2("text", 256).alias("kept_sha256"),
     )
 
@@ -56,15 +71,17 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(_documents(spark, sf_dir), public_tokenizers.path(_BYTES)).select(
-        F.col("row_key").alias("doc_id"), "n_bytes", "n_tokens",
+    path = public_tokenizers.path(_BYTES)
+    return _with_ids(_documents(spark, sf_dir), lambda docs, row: token_counts(docs, path, row)).select(
+        "doc_id", "n_bytes", "n_tokens",
         (F.col("n_tokens") > 512).alias("over_limit"),
     )
 
 
 def op6_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_decode(_documents(spark, sf_dir), public_tokenizers.path(_WORDS)).select(
-        F.col("row_key").alias("doc_id"),
+    path = public_tokenizers.path(_WORDS)
+    return _with_ids(_documents(spark, sf_dir), lambda docs, row: encode_decode(docs, path, row)).select(
+        "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
@@ -84,7 +101,8 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(_documents(spark, sf_dir)).withColumnRenamed("row_key", "doc_id")
+    found = _with_ids(_documents(spark, sf_dir), quality_rules)
+    return found.select("doc_id", *[c for c in found.columns if c != "doc_id"])
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +110,8 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir).select("doc_id", "text", "n_chars")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     machine = train_classifier(docs, labels, usable=fold != 0)
-    return score_documents(docs, machine).withColumnRenamed("row_key", "doc_id").select(
-        "doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    scores = _with_ids(docs, lambda docs, row: score_documents(docs, machine, row))
+    # Rows without an id have no label, so they are never trained on.
+    return scores.select(
+        "doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
