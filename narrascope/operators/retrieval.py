@@ -32,6 +32,9 @@ from narrascope.schema import CATEGORY, TOP_K
 PLACES = 6
 RESIDENT_QUESTIONS = 16_384
 CELL_TRAINING_ROWS = 1_000_000
+#: Of the exact hits, so many are found by the cells that are probed.
+RECALL = 0.9
+RECALL_QUESTIONS = 1024
 _CANDIDATES = 4
 _SCORES_AT_ONCE = 1 << 22
 _FEW_HITS = 100_000
@@ -412,12 +415,58 @@ def assign_cells(store: DataFrame, centres: np.ndarray, *, chunk_vector: str = "
     return store.withColumn("cell", F.coalesce(F.get(nearest, F.lit(0)), F.lit(-1)))
 
 
+def enough_probes(
+    questions: DataFrame,
+    store: DataFrame,
+    centres: np.ndarray,
+    k: int | None = TOP_K,
+    recall: float = RECALL,
+    *,
+    question_id: str = "question_id",
+    question_vector: str = "embedding",
+    question_category: str | None = None,
+    chunk_id: str = "chunk_id",
+    chunk_vector: str = "embedding",
+    chunk_category: str = CATEGORY,
+    most_questions: int = RECALL_QUESTIONS,
+) -> tuple[int, float]:
+    """The fewest cells to probe for ``recall`` of the exact top ``k``, and the recall measured.
+
+    At most ``most_questions`` questions, drawn by hash, are asked exactly; each true hit
+    tells, by the place of its cell among those nearest to the question, from how many
+    probes on it is found. Ids of chunks are taken to be unique. Without hits, every cell.
+    """
+    asked = _ask(questions, question_id, question_vector, question_category)
+    asked = asked.orderBy(F.xxhash64("question_id", "question_vector")).limit(most_questions)
+    asked = pinned(asked.withColumn("number", F.monotonically_increasing_id()), "asked")
+    held = _hold(store, chunk_id, chunk_vector, chunk_category if question_category else None, "cell")
+    hits = nearest_chunks(
+        asked, held, k, question_id="number", question_vector="question_vector",
+        question_category="wanted_category", chunk_vector="chunk_vector", chunk_category="chunk_category",
+    )
+    cells = asked.select(
+        F.col("number").alias("question_id"),
+        _nearest_cells(F.col("question_vector"), centres, len(centres)).alias("cells"),
+    )
+    # Hits are few: k for each question asked.
+    found = held.select("chunk_id", "cell").join(F.broadcast(hits), "chunk_id").join(F.broadcast(cells), "question_id")
+    places = found.groupBy(F.array_position("cells", F.col("cell")).alias("place")).count().collect()
+    counts = np.zeros(len(centres) + 1)
+    for row in places:
+        counts[row["place"]] = row["count"]
+    if not counts.sum():
+        return len(centres), 1.0
+    reached = np.cumsum(counts[1:]) / counts.sum()
+    probes = min(int(np.searchsorted(reached, recall)) + 1, len(centres))
+    return probes, float(reached[probes - 1])
+
+
 def nearest_chunks_by_cell(
     questions: DataFrame,
     store: DataFrame,
     centres: np.ndarray,
     k: int | None = TOP_K,
-    probes: int = 4,
+    probes: int | None = None,
     *,
     question_id: str = "question_id",
     question_vector: str = "embedding",
@@ -429,11 +478,18 @@ def nearest_chunks_by_cell(
 ) -> DataFrame:
     """Approximate top ``k`` from the ``probes`` cells nearest to each question.
 
-    Probing every cell gives the exact answer. A question and a cell together are asked
+    Without ``probes``, as many as ``enough_probes`` measures. Probing every cell gives the
+    exact answer. A question and a cell together are asked
     like a question about a category, so chunks are scored where they lie and only cells
     that some question probes are read.
     """
     k = k or TOP_K
+    if probes is None:
+        probes, _ = enough_probes(
+            questions, store, centres, k, question_id=question_id, question_vector=question_vector,
+            question_category=question_category, chunk_id=chunk_id, chunk_vector=chunk_vector,
+            chunk_category=chunk_category,
+        )
     asked = _ask(questions, question_id, question_vector, question_category)
     asked = pinned(
         asked.withColumn("cell", F.explode(_nearest_cells(F.col("question_vector"), centres, probes))),

@@ -36,12 +36,13 @@ def retrieve(
     k: int | None = TOP_K,
     factory: Callable[[], Encoder] = hashed_words,
     centres: np.ndarray | None = None,
-    probes: int = 4,
+    probes: int | None = None,
 ) -> DataFrame:
     """Ranked chunks with text and metadata for questions that may name a category.
 
     With ``centres``, of a store opened by ``read_cells``, only the ``probes`` cells
-    nearest to a question are searched.
+    nearest to a question are searched; without a number, as many as are measured to give a
+    recall of 0.9 of the exact search.
     """
     vectors = questions.select(
         "question_id",
@@ -66,7 +67,7 @@ def answer_questions(
     tasks: int | None = None,
     budget: int | None = None,
     centres: np.ndarray | None = None,
-    probes: int = 4,
+    probes: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Answers and the hits they rest on. Blank questions are answered with a request.
 

@@ -126,3 +126,30 @@ def test_category_prunes_partitions(spark, data, tmp_path):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(product_category" in plan
     assert rows(hits) == brute([a for a in asked if a[1] == "x"], [s for s in store if s[1]], 2)
+
+
+@pytest.mark.parametrize("wanted", [None, "wanted"])
+def test_probes_are_chosen_by_recall(spark, data, wanted):
+    asked, store = data
+    chunks = spark.createDataFrame(store, STORE)
+    questions = spark.createDataFrame(asked, ASKED)
+    centres = retrieval.train_cells(chunks, 6)
+    celled = retrieval.assign_cells(chunks, centres)
+    exact = rows(retrieval.nearest_chunks(questions, chunks, 4, question_category=wanted))
+
+    def recall(found):
+        return len({(q, c) for q, _, c, _ in rows(found)} & {(q, c) for q, _, c, _ in exact}) / len(exact)
+
+    by_cell = lambda probes: retrieval.nearest_chunks_by_cell(questions, celled, centres, 4, probes, question_category=wanted)
+    probes, measured = retrieval.enough_probes(questions, celled, centres, 4, question_category=wanted)
+    assert measured >= 0.9 and recall(by_cell(None)) >= 0.9
+    assert abs(recall(by_cell(probes)) - measured) < 0.01
+    assert probes == 1 or recall(by_cell(probes - 1)) < 0.9
+
+
+def test_query_of_measured_probes_reaches_its_recall(spark):
+    from verification.queries import QUERIES
+
+    path = "/root/testdata/sf0.01"
+    pairs = [{(r[0], r[2]) for r in QUERIES[n](spark, path).collect()} for n in ("knn_ivf_measured", "knn_exact")]
+    assert len(pairs[0] & pairs[1]) >= 0.9 * len(pairs[1])
