@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from narrascope.functions.bounds import shared_path
 from narrascope.llm.bpe import encode_decode
 from narrascope.llm.classifier import score_documents, train_classifier
+from narrascope.llm.collocations import collocations
 from narrascope.llm.common import col, keyed
 from narrascope.llm.exact_dedup import exact_dedup
 from narrascope.llm.line_dedup import line_dedup
@@ -115,3 +116,7 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select(
         "doc_id", F.coalesce(fold == 0, F.lit(True)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_documents(spark, sf_dir))

@@ -14,10 +14,12 @@ LLM_QUERIES = {
     "op8_quality_classifier": queries.op8_quality_classifier,
     "op9_simhash_near_dedup": queries.op9_simhash_near_dedup,
     "op10_token_files": queries.op10_token_files,
+    "op13_phrase_collocations": queries.op13_phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }
 
 LLM_ORACLES = {
     "op1_exact_dedup": oracles.EXACT_DEDUP,
     "op2_line_dedup": oracles.LINE_DEDUP,
+    "op13_phrase_collocations": oracles.COLLOCATIONS,
 }
