@@ -39,7 +39,7 @@ TOP = 2000
 ABSORBED = 80
 #: Bytes of text in a block, and the most that the phrases of a hash partition may count.
 BLOCK_BYTES = 1 << 22
-PARTITION_MASS = 1 << 25
+PARTITION_MASS = 1 << 23
 #: Counters of a summary, as a multiple of mass over threshold. Beyond one, fewer phrases that
 #: are not frequent survive.
 COUNTERS = 4
