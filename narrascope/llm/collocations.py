@@ -19,6 +19,7 @@ phrases, gives an empty result; columns other than language and text are not loo
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,8 +50,20 @@ _KIND = np.zeros(256, np.uint8)  # of a byte: in a word, between words, between
 _KIND[list(b" \t")] = 1
 _KIND[list(b".,;:!?\n\x0b\x0c\r")] = 2
 
-_BLOCK = ("block long, langs array<string>, lang_words array<long>, words array<string>, "
-          "word_langs binary, ids binary, follows binary")
+#: Words, their languages' numbers, the text as their numbers and what follows what are packed.
+_BLOCK = ("block long, langs array<string>, lang_words array<long>, kinds int, size int, "
+          "words binary, word_langs binary, ids binary, follows binary")
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers below 2^32, packed with their first bytes together, their second bytes and so on."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _numbers(packed: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 4 * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, size).T).view("<u4").ravel()
 
 
 def _segments(text: bytes, most: int) -> Iterator[bytes]:
@@ -109,9 +122,12 @@ def _block(texts: pa.Array, langs: pa.Array) -> dict | None:
     return {
         "langs": names.dictionary.to_pylist(),
         "lang_words": np.bincount(lang, minlength=len(names.dictionary)).tolist(),
-        "words": words.dictionary.take(pa.array(which)).cast(pa.string()),
-        "word_langs": word_langs.astype(np.int32).tobytes(),
-        "ids": ids.astype(np.int32).tobytes(),
+        "kinds": kinds.size,
+        "size": ids.size,
+        # No word has a line break.
+        "words": zlib.compress(b"\n".join(words.dictionary.take(pa.array(which)).to_pylist()), 1),
+        "word_langs": _planes(word_langs),
+        "ids": _planes(ids),
         "follows": np.packbits(follows).tobytes(),
     }
 
@@ -133,12 +149,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for texts, langs in parts():
         found = _block(texts, langs)
         if found is not None:
-            words = pa.ListArray.from_arrays(pa.array([0, len(found["words"])], pa.int32()), found["words"])
+            kinds = [pa.list_(pa.string()), pa.list_(pa.int64()), pa.int32(), pa.int32(), *[pa.binary()] * 4]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([number]), pa.array([found["langs"]], pa.list_(pa.string())),
-                 pa.array([found["lang_words"]], pa.list_(pa.int64())), words,
-                 *[pa.array([found[c]], pa.binary()) for c in ("word_langs", "ids", "follows")]],
-                ["block", "langs", "lang_words", "words", "word_langs", "ids", "follows"],
+                [pa.array([number]), *[pa.array([v], k) for v, k in zip(found.values(), kinds)]], ["block", *found]
             )
             number += 1
 
@@ -157,13 +170,14 @@ class _Phrases:
     """
 
     def __init__(self, row: dict, partitions: int):
-        self.ids = np.frombuffer(row["ids"], np.int32)
+        self.ids = _numbers(row["ids"], row["size"]).astype(np.int32)
+        self.words = zlib.decompress(row["words"]).split(b"\n")
+        self.word_langs = _numbers(row["word_langs"], row["kinds"]).astype(np.int32)
         self.follows = np.unpackbits(np.frombuffer(row["follows"], np.uint8))[: self.ids.size].astype(bool)
         self.partitions = np.uint64(partitions)
         seeds = [xxhash.xxh64_intdigest(lang.encode()) for lang in row["langs"]]
-        langs = np.frombuffer(row["word_langs"], np.int32).tolist()
         digest = xxhash.xxh64_intdigest
-        hashes = [digest(word, seeds[lang]) for word, lang in zip(row["words"], langs)]
+        hashes = [digest(word, seeds[lang]) for word, lang in zip(self.words, self.word_langs.tolist())]
         self.hashes = np.array(hashes, np.uint64)[self.ids]
 
     def by_size(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -182,15 +196,11 @@ class _Phrases:
 
 def _packed(values: np.ndarray) -> bytes:
     """Numbers below 2^32, those of small difference to the one before in little room."""
-    steps = np.diff(values, prepend=values.dtype.type(0)).astype("<u4")
-    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 4).T)
-    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+    return _planes(np.diff(values, prepend=values.dtype.type(0)))
 
 
 def _unpacked(packed: bytes, size: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(packed, 4 * size, codec="zstd", asbytes=True), np.uint8)
-    steps = np.ascontiguousarray(planes.reshape(4, size).T).view("<u4").ravel()
-    return np.cumsum(steps, dtype=np.uint32)
+    return np.cumsum(_numbers(packed, size), dtype=np.uint32)
 
 
 _COUNTS = "part int, block long, size int, mass long, keys binary, counts binary"
@@ -198,15 +208,10 @@ _COUNT_NAMES = ["part", "block", "size", "mass", "keys", "counts"]
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows one at a time, as each may be large; words stay bytes."""
+    """Rows one at a time, as each may be large."""
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {name: batch.column(name)[i] for name in batch.schema.names}
-            words = row.pop("words", None)
-            out = {name: value.as_py() for name, value in row.items()}
-            if words is not None:
-                out["words"] = words.values.cast(pa.binary()).to_pylist()
-            yield out
+            yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
 
 
 def _counts(partitions: int):
@@ -311,8 +316,7 @@ def _exactly(partitions: int):
             kept = [np.uint64(s["part"] << 32) | _unpacked(s["keys"], s["size"]).astype(np.uint64) for s in row["survived"]]
             kept = np.sort(np.concatenate(kept))
             phrases = _Phrases(row, partitions)
-            words, langs = pa.array(row["words"], pa.binary()).cast(pa.string()), pa.array(row["langs"], pa.string())
-            word_langs = np.frombuffer(row["word_langs"], np.int32)
+            words, langs = pa.array(phrases.words, pa.binary()).cast(pa.string()), pa.array(row["langs"], pa.string())
             for size, at, places in phrases.by_size():
                 where = np.minimum(np.searchsorted(kept, places), kept.size - 1)
                 at = at[kept[where] == places]
@@ -325,7 +329,7 @@ def _exactly(partitions: int):
                 _, one, counts = np.unique(code, return_index=True, return_counts=True)
                 texts = [words.take(pa.array(column[one])) for column in columns]
                 yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(word_langs[columns[0][one]])), pa.array(np.full(one.size, size, np.int32)),
+                    [langs.take(pa.array(phrases.word_langs[columns[0][one]])), pa.array(np.full(one.size, size, np.int32)),
                      pc.binary_join_element_wise(*texts, " "), pa.array(counts)],
                     ["lang", "size", "phrase", "count"],
                 )
@@ -343,10 +347,10 @@ def frequent_phrases(
     each = blocks.select(F.explode(F.arrays_zip("langs", "lang_words")).alias("one"))
     totals = each.groupBy(F.col("one.langs").alias("lang")).agg(F.sum("one.lang_words").alias("n"))
     # A phrase of each length begins with a word at most.
-    words = blocks.agg(F.sum(F.octet_length("ids") / 4)).head()[0] or 0
+    words = blocks.agg(F.sum("size")).head()[0] or 0
     partitions = int(MOST_WORDS * words / PARTITION_MASS) + 1
 
-    wide = blocks.select("block", "langs", "words", "word_langs", "ids", "follows")
+    wide = blocks.drop("lang_words")
     counts = wide.mapInArrow(_counts(partitions), _COUNTS)
     by_part = counts.repartition(partitions, "part").sortWithinPartitions("part")
     survived = by_part.mapInArrow(_survivors(threshold), _SURVIVED)
