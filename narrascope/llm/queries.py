@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import shared_path
+from narrascope.llm.alignment import align_tokenizers
 from narrascope.llm.bpe import encode_decode
 from narrascope.llm.classifier import score_documents, train_classifier
 from narrascope.llm.collocations import collocations
@@ -22,7 +23,7 @@ from narrascope.llm.substring_dedup import substring_dedup
 from narrascope.llm.token_counts import token_counts
 from narrascope.llm.token_files import token_index, write_token_files
 
-_BYTES, _WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
+_BYTES, _WORDS, _PIECES = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,5 +119,13 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path(_BYTES), public_tokenizers.path(_PIECES)
+    aligned = lambda docs, row: align_tokenizers(docs, a, b, row, digest=True)[0]
+    return _with_ids(_documents(spark, sf_dir), aligned).select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_documents(spark, sf_dir))

@@ -133,6 +133,9 @@ class TextEncoder:
             out += [packed[a:b] for a, b in zip(starts, ends)]
         return out
 
+    def _starts(self, data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+        return _part_starts(data, text_starts)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and how many each has; null as empty."""
         texts = pc.fill_null(texts, "").cast(pa.large_binary())
@@ -144,7 +147,7 @@ class TextEncoder:
             return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
         data = np.frombuffer(texts.buffers()[2], np.uint8)[edges[0] : edges[-1]]
         edges = edges - edges[0]
-        starts = _part_starts(data, edges[:-1])
+        starts = self._starts(data, edges[:-1])
         places = pa.py_buffer(np.r_[starts, data.size].astype(np.int32))
         parts = pa.Array.from_buffers(pa.binary(), starts.size, [None, places, pa.py_buffer(data)])
         parts = parts.dictionary_encode()
