@@ -44,6 +44,7 @@ PARTITION_MASS = 1 << 23
 #: Counters of a summary, as a multiple of mass over threshold. Beyond one, fewer phrases that
 #: are not frequent survive.
 COUNTERS = 4
+_TOP_PARTS = 16
 
 _LOWER = np.frombuffer(bytes(range(256)).lower(), np.uint8)
 _KIND = np.zeros(256, np.uint8)  # of a byte: in a word, between words, between pieces
@@ -244,7 +245,8 @@ class MisraGries:
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Another summary with as many counters, or exact counts, of different keys."""
-        self._waiting.append((keys, counts.astype(np.int64)))
+        if keys.size:
+            self._waiting.append((keys, counts.astype(np.int64)))
         if sum(k.size for k, _ in self._waiting) >= max(self.counters, 1 << 20):
             self.merge()
 
@@ -308,18 +310,23 @@ def _survivors(threshold: int):
     return run
 
 
+_PHRASES = "part int, langs array<string>, size int, of_lang binary, phrases binary, counts binary"
+
+
 def _exactly(partitions: int):
-    """Counts in each block of the phrases that survived, by their words."""
+    """Counts in each block of the phrases that survived, by their words, one row per hash
+    partition, sorted and packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows_of(batches):
             kept = [np.uint64(s["part"] << 32) | _unpacked(s["keys"], s["size"]).astype(np.uint64) for s in row["survived"]]
             kept = np.sort(np.concatenate(kept))
-            phrases = _Phrases(row, partitions)
-            words, langs = pa.array(phrases.words, pa.binary()).cast(pa.string()), pa.array(row["langs"], pa.string())
+            phrases, found = _Phrases(row, partitions), []
+            words = pa.array(phrases.words, pa.binary())
             for size, at, places in phrases.by_size():
                 where = np.minimum(np.searchsorted(kept, places), kept.size - 1)
-                at = at[kept[where] == places]
+                stays = kept[where] == places
+                at, places = at[stays], places[stays]
                 if not at.size:
                     continue
                 columns = [phrases.ids[at + j].astype(np.int64) for j in range(size)]
@@ -327,12 +334,56 @@ def _exactly(partitions: int):
                 for column in columns[1:]:
                     _, code = np.unique(code * len(words) + column, return_inverse=True)
                 _, one, counts = np.unique(code, return_index=True, return_counts=True)
-                texts = [words.take(pa.array(column[one])) for column in columns]
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(phrases.word_langs[columns[0][one]])), pa.array(np.full(one.size, size, np.int32)),
-                     pc.binary_join_element_wise(*texts, " "), pa.array(counts)],
-                    ["lang", "size", "phrase", "count"],
-                )
+                texts = pc.binary_join_element_wise(*[words.take(pa.array(c[one])) for c in columns], b" ")
+                parts = (places[one] >> np.uint64(32)).astype(np.int32)
+                found.append(pa.table([parts, texts, phrases.word_langs[columns[0][one]], counts], ["part", "phrase", "lang", "count"]))
+            table = pa.concat_tables(found).sort_by([("part", "ascending"), ("phrase", "ascending")]).combine_chunks()
+            parts, texts, langs, counts = (table.column(c).combine_chunks() for c in range(4))
+            parts, langs, counts = (c.to_numpy() for c in (parts, langs, counts))
+            starts = np.flatnonzero(np.diff(parts, prepend=np.int32(-1)))
+            out = []
+            for a, b in zip(starts, [*starts[1:], parts.size]):
+                lines = zlib.compress(b"\n".join(texts[a:b].to_pylist()), 1)
+                out.append((int(parts[a]), row["langs"], int(b - a), _planes(langs[a:b]), lines, _planes(counts[a:b])))
+            kinds = [pa.int32(), pa.list_(pa.string()), pa.int32(), *[pa.binary()] * 3]
+            names = ["part", "langs", "size", "of_lang", "phrases", "counts"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)
+
+    return run
+
+
+def _added(tables: list[pa.Table]) -> list[pa.Table]:
+    """Counts of equal phrases of a language in one."""
+    whole = pa.concat_tables(tables).group_by(["lang", "phrase"]).aggregate([("count", "sum")])
+    return [whole.rename_columns({"count_sum": "count"}).select(["lang", "phrase", "count"])]
+
+
+def _summed(threshold: int):
+    """Frequent phrases with their count in all blocks. Rows come by hash partition."""
+
+    def close(tables: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+        found = _added(tables)[0]
+        found = found.filter(pc.greater_equal(found["count"], threshold))
+        phrases = found["phrase"].cast(pa.string())
+        sizes = pc.add(pc.count_substring(phrases, " "), 1).cast(pa.int32())
+        out = pa.table([found["lang"], sizes, phrases, found["count"]], ["lang", "size", "phrase", "count"])
+        yield from out.combine_chunks().to_batches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, tables = None, []
+        for row in _rows_of(batches):
+            if row["part"] != part:
+                if tables:
+                    yield from close(tables)
+                part, tables = row["part"], []
+            langs = pa.array(row["langs"], pa.string()).take(pa.array(_numbers(row["of_lang"], row["size"])))
+            phrases = pa.array(zlib.decompress(row["phrases"]).split(b"\n"), pa.binary())
+            counts = pa.array(_numbers(row["counts"], row["size"]).astype(np.int64))
+            tables.append(pa.table([langs, phrases, counts], ["lang", "phrase", "count"]))
+            if sum(t.num_rows for t in tables[1:]) > max(1 << 18, tables[0].num_rows):
+                tables = _added(tables)
+        if tables:
+            yield from close(tables)
 
     return run
 
@@ -355,10 +406,10 @@ def frequent_phrases(
     by_part = counts.repartition(partitions, "part").sortWithinPartitions("part")
     survived = by_part.mapInArrow(_survivors(threshold), _SURVIVED)
     back = survived.groupBy("block").agg(F.collect_list(F.struct("part", "size", "keys")).alias("survived"))
-    columns = "lang string, size int, phrase string, count long"
-    found = wide.join(back, "block").mapInArrow(_exactly(partitions), columns)
-    exact = found.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
-    return pinned(exact.filter(F.col("count") >= threshold), "frequent-phrases"), totals
+    again = wide.join(back, "block").mapInArrow(_exactly(partitions), _PHRASES)
+    again = again.repartition(partitions, "part").sortWithinPartitions("part")
+    exact = again.mapInArrow(_summed(threshold), "lang string, size int, phrase string, count long")
+    return pinned(exact, "frequent-phrases"), totals
 
 
 def _part_of(words: Column, start: int | Column, length: int | Column) -> Column:
@@ -404,8 +455,12 @@ def collocations(
     absorbed = F.col("longer").cast("decimal(19,0)") * 100 >= F.col("a").cast("decimal(19,0)") * ABSORBED
     stay = weakest.join(around, ["lang", "phrase"], "left").filter(~F.coalesce(absorbed, F.lit(False)))
 
-    order = Window.partitionBy("lang").orderBy(F.desc("cut.score"), F.desc("a"), "phrase")
-    best = stay.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+    # The best of each of some parts first, so that one task meets few for each language.
+    order = [F.desc("cut.score"), F.desc("a"), F.col("phrase")]
+    some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(_TOP_PARTS))).orderBy(*order)
+    best = stay.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top)
+    whole = Window.partitionBy("lang").orderBy(*order)
+    best = best.withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= top)
     return best.join(totals, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a",
         F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"),
