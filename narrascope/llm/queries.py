@@ -15,6 +15,7 @@ from narrascope.llm.classifier import score_documents, train_classifier
 from narrascope.llm.collocations import collocations
 from narrascope.llm.common import col, keyed
 from narrascope.llm.exact_dedup import exact_dedup
+from narrascope.llm.html_extract import extract_main_text
 from narrascope.llm.line_dedup import line_dedup
 from narrascope.llm.packing import pack_documents
 from narrascope.llm.quality_rules import quality_rules
@@ -127,5 +128,9 @@ def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"), ["page_id", "url"])
+
+
 def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_documents(spark, sf_dir))

@@ -15,6 +15,7 @@ LLM_QUERIES = {
     "op9_simhash_near_dedup": queries.op9_simhash_near_dedup,
     "op10_token_files": queries.op10_token_files,
     "op11_tokenizer_alignment": queries.op11_tokenizer_alignment,
+    "op12_html_extraction": queries.op12_html_extraction,
     "op13_phrase_collocations": queries.op13_phrase_collocations,
     "pipeline": corpus_pipeline.run,
 }
