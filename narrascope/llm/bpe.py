@@ -1,8 +1,8 @@
 """BPE encoding and decoding, long unsplit text by tree concatenation.
 
-Words of ordinary length are encoded by the library, once per task for each different word:
-ASCII white space separates words for good in tokenizers that drop white space, whatever
-they normalise. A longer run without white space is normalised and split as the library
+Words of ordinary length are encoded by the library, different ones once while a worker has
+them in mind: ASCII white space separates words for good in tokenizers that drop white space,
+whatever they normalise. A longer run without white space is normalised and split as the library
 does it, and a piece that is still long is cut into leaves that are encoded in different
 tasks. Level by level two neighbours are joined: a window around the join is encoded anew
 and grows until it has a token in common with either side, same place and same number. A
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import pinned
-from narrascope.llm.common import col, in_slices, keyed, lists_of, texts_of
-from narrascope.llm.tokens import Remembered, load_tokenizer
+from narrascope.llm.common import SPACES, col, in_slices, keyed, lists_of, texts_of
+from narrascope.llm.tokens import TextEncoder
 
 #: A run without ASCII white space that is longer is taken apart.
 LONG_CHARS = 1 << 12
@@ -34,35 +35,51 @@ LEAF_CHARS = 1 << 10
 _WINDOW_TOKENS = 8
 
 
-class WordEncoder:
+class WordEncoder(TextEncoder):
     """A tokenizer that drops white space, with what is needed to take long runs apart."""
 
     def __init__(self, path: str):
-        self.tokenizer = load_tokenizer(path)
+        super().__init__(path)
         told = json.loads(self.tokenizer.to_str())
-        self.decoder = told["decoder"]
-        special = sorted((t["content"] for t in told["added_tokens"]), key=len, reverse=True)
+        model, added = told["model"], told["added_tokens"]
         if (
-            told["model"]["type"] != "BPE" or told["post_processor"] is not None or self.decoder
-            or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in told["added_tokens"])
+            model["type"] != "BPE" or told["post_processor"] is not None or told["decoder"]
+            or model.get("dropout") or model.get("byte_fallback") or model.get("ignore_merges")
+            or any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in added)
+            or any(c in SPACES for t in added for c in t["content"])
             or self.tokenizer.encode(" a \n", add_special_tokens=False).ids
             != self.tokenizer.encode("a", add_special_tokens=False).ids
         ):
             raise ValueError("not a BPE tokenizer that drops white space")
+        special = sorted((t["content"] for t in added), key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.words = Remembered(self._encode_words)
-
-    def _encode_words(self, words: list[bytes]) -> list[tuple[np.ndarray, str]]:
-        found = self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)
-        return [(np.array(one.ids, np.int32), " ".join(one.tokens)) for one in found]
+        self.cuttable = True
+        self.mark, self.mark_id = min(((t["content"], t["id"]) for t in added), default=(None, None))
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        # This tokenizer's decoder sets tokens apart by spaces.
+        self.spaced = pa.array([f"{name} ".encode() for name in names], pa.large_binary())
+
+    def _starts(self, data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
+        """Parts are words with the ASCII white space behind them."""
+        white = (data == 32) | ((data >= 9) & (data <= 13))
+        first = np.zeros(data.size, bool)
+        first[1:] = ~white[1:] & white[:-1]
+        first[text_starts[text_starts < data.size]] = True
+        return np.flatnonzero(first)
+
+    encode_texts = TextEncoder.encode
 
     def encode(self, text: str) -> tuple[np.ndarray, str]:
-        """Ids and decoded text; this tokenizer's decoder sets tokens apart by spaces."""
-        words = text.encode().split()
-        self.words.add(set(words))
-        parts = list(map(self.words.__getitem__, words))
-        ids = np.concatenate([p[0] for p in parts]) if parts else np.empty(0, np.int32)
-        return ids, " ".join(p[1] for p in parts if p[1])
+        """Ids and decoded text of one text."""
+        ids, counts = self.encode_texts(pa.array([text], pa.string()))
+        return ids, self.decode(ids, counts)[0].decode()
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """Decoded texts, as UTF-8, of ids that lie in a row."""
+        joined = self.spaced.take(pa.array(ids))
+        edges = np.frombuffer(joined.buffers()[1], np.int64)[np.r_[0, np.cumsum(counts)]].tolist()
+        data = memoryview(joined.buffers()[2] or b"")
+        return [bytes(data[a : b - 1]) if b > a else b"" for a, b in zip(edges, edges[1:])]
 
     def pieces(self, run: str):
         """(ids, None) of what is ready and (None, piece) of long pieces, for a run in order."""
@@ -129,20 +146,27 @@ def _widths(ends, first: int = 0):
     return np.diff(ends, prepend=first)
 
 
+@cache
+def word_encoder(path: str) -> WordEncoder:
+    """The encoder of a file, kept by a worker from task to task."""
+    return WordEncoder(path)
+
+
 def _has_long_run(text):
-    return F.coalesce(text, F.lit("")).rlike("[^ \\t\\n\\x0B\\f\\r]{%d}" % (LONG_CHARS + 1))
+    """Few texts are long enough to look for such a run."""
+    run = "[^ \\t\\n\\x0B\\f\\r]{%d}" % (LONG_CHARS + 1)
+    return F.coalesce((F.length(text) > LONG_CHARS) & text.rlike(run), F.lit(False))
 
 
 def _encoded(path: str):
     def make():
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
-            found = [encoder.encode(t) for t in texts_of(batch.column(1))]
-            flat = np.concatenate([f[0] for f in found]) if found else np.empty(0, np.int32)
+            ids, counts = encoder.encode_texts(batch.column(1))
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), lists_of(flat, [f[0].size for f in found], pa.int32()),
-                 pa.array([f[1] for f in found], pa.string())],
+                [batch.column(0), lists_of(ids.astype(np.int32), counts, pa.int32()),
+                 pa.array(encoder.decode(ids, counts), pa.binary()).cast(pa.string())],
                 ["row_key", "ids", "decoded"],
             )
 
@@ -158,14 +182,14 @@ def _taken_apart(path: str):
     """Texts as numbered parts: ids that are ready, or one leaf of a long piece."""
 
     def make():
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
 
         def parts(text: str):
             ready: list[int] = []
             for run in text.encode().split():
                 if len(run) <= LONG_CHARS:
                     encoder.words.add([run])
-                    ready += encoder.words[run][0].tolist()
+                    ready += np.frombuffer(encoder.words[run], "<u4").tolist()
                     continue
                 for ids, piece in encoder.pieces(run.decode()):
                     if piece is None:
@@ -209,7 +233,7 @@ def _nodes(head, pieces, tokens) -> pa.RecordBatch:
 
 def _leaves(path: str):
     def make():
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             pieces = batch.column(4).to_pylist()
@@ -222,7 +246,7 @@ def _leaves(path: str):
 
 def _pairs(path: str):
     def make():
-        encoder = WordEncoder(path)
+        encoder = word_encoder(path)
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             pieces, tokens = [], []
@@ -243,7 +267,7 @@ def _pairs(path: str):
 
 def _decoded(path: str):
     def make():
-        tokenizer = WordEncoder(path).tokenizer
+        tokenizer = word_encoder(path).tokenizer
 
         def step(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids = batch.column(1).to_pylist()
