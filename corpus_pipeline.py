@@ -6,8 +6,8 @@ Parquet files of the one before.
 
 1. quality rules: documents that the combined rules reject go
 2. exact dedup: of equal texts the document with the smallest id stays
-3. near-dedup: of each component of documents that share 0.8 of their shingles of five words
-   the one with the smallest id stays
+3. SimHash near-dedup: of each component of documents whose fingerprints, of shingles of three
+   words, differ in at most three bits the one with the smallest id stays
 4. substring dedup: passages that stand elsewhere are cut out; documents stay, ``n_chars``
    (where there is such a column) is that of the text left
 5. best-fit packing: pieces of at most 1024 tokens and their places in sequences
@@ -26,7 +26,7 @@ from narrascope.functions.bounds import shared_path
 from narrascope.llm.exact_dedup import drop_exact_copies
 from narrascope.llm.packing import pack_documents
 from narrascope.llm.quality_rules import drop_low_quality
-from narrascope.llm.similar import drop_similar
+from narrascope.llm.simhash import drop_near_copies
 from narrascope.llm.substring_dedup import substring_dedup
 from narrascope.shipping import ship_packages
 
@@ -45,7 +45,7 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_packages(spark)
-    return drop_similar(docs)
+    return drop_near_copies(docs)
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ STAGES = [
     ("best_fit_packing", packing_stage),
 ]
 
-#: SQL cannot express the estimated rules, the minimum hashes, the chunks or the tokens.
+#: SQL cannot express the estimated rules, the fingerprints, the chunks or the tokens.
 ORACLE_SQL = None
 
 
