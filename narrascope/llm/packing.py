@@ -34,6 +34,8 @@ GROUP_PIECES = 4096
 _REOPENED = 32
 #: A search ends when so many of the least filled sequences in turn cannot be emptied.
 _RESISTING = 16
+#: Of a sequence's number, the bits for its group and for its place in the group.
+_GROUP_BITS, _BIN_BITS = 36, 21
 
 
 def _pieces(path: str, capacity: int, end_id: int):
@@ -239,6 +241,8 @@ def _pack_group(capacity: int):
         table = table.sort_by([("row", "ascending"), ("piece", "ascending")])
         sizes = table["length"].to_numpy()
         bins = pack(sizes.tolist(), capacity)
+        if bins.size and bins.max() >= 1 << _BIN_BITS:
+            raise ValueError("more sequences in a group than sequence numbers")
         fill = np.bincount(bins, weights=sizes).astype(np.int64)
         rank = np.empty(fill.size, np.int64)
         rank[np.argsort(fill, kind="stable")] = np.arange(fill.size)
@@ -265,23 +269,26 @@ _PACKED = "row long, piece int, length long, grp long, bin long, offset long, re
 def pack_pieces(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """(row, piece, sequence_id, offset) of pieces (row, piece, length)."""
     number = F.xxhash64("row", "piece")
+    # Numbers below zero for sequences of one full piece, level, group and bin for the others.
     full = pieces.filter(F.col("length") == capacity).select(
-        "row", "piece", F.concat_ws("-", F.lit("full"), "row", "piece").alias("sequence"), F.lit(0).cast("long").alias("offset")
+        "row", "piece", (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
     left = pieces.filter(F.col("length") < capacity).select("row", "piece", "length")
     placed, level = full, 0
     while True:
         groups = max(1, -(-left.count() // group_pieces))
+        if groups >= 1 << _GROUP_BITS or level >= 1 << 63 - _GROUP_BITS - _BIN_BITS:
+            raise ValueError("more groups of pieces than sequence numbers")
         dealt = left.withColumn("grp", F.pmod(F.xxhash64(F.lit(level), number), F.lit(groups)))
         packed = pinned(dealt.groupBy("grp").applyInArrow(_pack_group(capacity), _PACKED), "packed")
         # The least filled sequences of each group come first and are opened again, unless full.
         again = F.col("reopened") if groups > 1 else F.lit(False)
-        name = F.concat_ws("-", F.lit(str(level)), "grp", "bin")
-        placed = placed.unionByName(packed.filter(~again).select("row", "piece", name.alias("sequence"), "offset"))
+        sequence = (F.lit(level << _GROUP_BITS) + F.col("grp")) * (1 << _BIN_BITS) + F.col("bin")
+        placed = placed.unionByName(packed.filter(~again).select("row", "piece", sequence.alias("sequence_id"), "offset"))
         if groups == 1:
             break
         left, level = packed.filter(again).select("row", "piece", "length"), level + 1
-    return placed.withColumn("sequence_id", F.xxhash64("sequence")).drop("sequence")
+    return placed
 
 
 def pack_documents(

@@ -8,8 +8,8 @@ Hamming ball. Where two meet, the whole distance is verified.
 
 Meetings come out of one sort by segment value. Small groups are compared pair by pair; of
 larger ones only a spanning forest is given, found by searches that take every member once.
-A group beyond a size is filed again under the bytes of the other segment, of which two
-members that are linked have one in common, so no task holds it whole.
+A group beyond a size is filed again under four parts of the bits that are left, of which two
+members that are linked have one in common, and so on, so no task holds a large one whole.
 
 Defined results: a null or blank text has fingerprint zero, linked like any other; texts of
 one or two words have one shingle, the whole sequence; equal texts, repeated rows and rows
@@ -38,6 +38,10 @@ MOST_BITS = 3
 _BLOCK_BYTES = 1 << 18
 _PAIRWISE = 8
 _LARGEST_GROUP = 1 << 16
+#: Three bits that differ leave one of so many parts alone.
+_PARTS = MOST_BITS + 1
+#: The bits of the other segment, where the key is that of the lower and of the upper one.
+_OTHER = np.uint64(0xFFFFFFFF00000000), np.uint64(0x00000000FFFFFFFF)
 
 
 def _bit_counts(words: list[bytes], width: int) -> np.ndarray:
@@ -114,69 +118,86 @@ def _links_of(keys: np.ndarray, fps: np.ndarray) -> Iterator[tuple[np.ndarray, n
         yield from _spanning(fps[starts[at] : starts[at] + sizes[at]])
 
 
-def _meetings(largest: int | None):
-    """Links (a, b) of rows (key, fp) sorted by key; members of too large groups as (fp, null)."""
+def _meetings(largest: int):
+    """Links (a, b) of rows (key, fp, left) sorted by key; members of too large groups with
+    null for b. ``left`` marks the bits that the members of a group may differ in."""
 
-    def batch_of(key, a, b) -> pa.RecordBatch:
+    def batch_of(key, a, b, left) -> pa.RecordBatch:
         b = pa.nulls(len(a), pa.int64()) if b is None else pa.array(b.view(np.int64))
         return pa.RecordBatch.from_arrays(
-            [pa.array(key), pa.array(a.view(np.int64)), b], ["key", "a", "b"]
+            [pa.array(key), pa.array(a.view(np.int64)), b, pa.array(left.view(np.int64))], ["key", "a", "b", "left"]
         )
 
     def linked(keys, fps):
         found = list(_links_of(keys, fps))
         if found:
             a, b = (np.concatenate(side) for side in zip(*found))
-            yield batch_of(np.zeros(a.size, np.int64), a, b)
+            yield batch_of(np.zeros(a.size, np.int64), a, b, np.zeros(a.size, np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, fps, overflown = np.empty(0, np.int64), np.empty(0, np.uint64), None
+        keys, fps, rest, overflown = np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64), None
         for batch in batches:
-            keys = np.concatenate([keys, batch.column(0).to_numpy()])
+            new = batch.column(0).to_numpy()
+            left = batch.column(2).to_numpy().view(np.uint64) if batch.num_columns > 2 else np.where(new < 1 << 32, *_OTHER)
+            keys, rest = np.concatenate([keys, new]), np.concatenate([rest, left])
             fps = np.concatenate([fps, batch.column(1).to_numpy().view(np.uint64)])
             if overflown is not None:
                 same = int(np.searchsorted(keys, overflown, "right"))
-                yield batch_of(keys[:same], fps[:same], None)
-                keys, fps = keys[same:], fps[same:]
+                yield batch_of(keys[:same], fps[:same], None, rest[:same])
+                keys, fps, rest = keys[same:], fps[same:], rest[same:]
             if not keys.size:
                 continue
             last = int(np.searchsorted(keys, keys[-1]))
             if last:
                 yield from linked(keys[:last], fps[:last])
-                keys, fps = keys[last:], fps[last:]
+                keys, fps, rest = keys[last:], fps[last:], rest[last:]
             overflown = None
-            if largest and keys.size > largest:
+            if keys.size > largest and np.bitwise_count(rest[0]) >= _PARTS:
                 overflown = keys[-1]
-                yield batch_of(keys, fps, None)
-                keys, fps = keys[:0], fps[:0]
+                yield batch_of(keys, fps, None, rest)
+                keys, fps, rest = keys[:0], fps[:0], rest[:0]
         if keys.size:
             yield from linked(keys, fps)
 
     return run
 
 
-def _by_other_segment(large: DataFrame) -> DataFrame:
-    """Members of large groups, filed under each byte of the segment that the key is not."""
-    other = F.expr("shiftrightunsigned(a, CASE WHEN key < 4294967296 THEN 32 ELSE 0 END)")
-    keys = [F.xxhash64("key", F.lit(j), F.shiftright("other", 8 * j).bitwiseAND(F.lit(255))) for j in range(4)]
-    return large.withColumn("other", other).select(
-        F.explode(F.array(*keys)).alias("key"), F.col("a").alias("fp")
-    )
+def _parts_of(left: int) -> list[int]:
+    """The bits of a mask in four masks of nearly equal size."""
+    bits = [1 << i for i in range(64) if left >> i & 1]
+    return [sum(bits[i * len(bits) // _PARTS : (i + 1) * len(bits) // _PARTS]) for i in range(_PARTS)]
+
+
+def _filed_again(batch: pa.RecordBatch) -> pa.Table:
+    """Members of large groups (key, fp, left) under each part of the bits that are left."""
+    key, fps, left = (batch.column(c).to_numpy() for c in range(3))
+    out = []
+    for mask in np.unique(left):
+        these = left == mask
+        for number, part in enumerate(_parts_of(int(mask.astype(np.uint64)))):
+            value = fps[these].view(np.uint64) & np.uint64(part)
+            told = np.stack([key[these].view(np.uint64), value, np.full(value.size, number, np.uint64)], axis=1)
+            keys = [xxhash.xxh64_intdigest(row) for row in told.astype("<u8").reshape(-1).view("V24").tolist()]
+            rest = np.full(value.size, mask.astype(np.uint64) & ~np.uint64(part), np.uint64)
+            out.append((np.array(keys, np.uint64).view(np.int64), fps[these], rest.view(np.int64)))
+    columns = [np.concatenate(c) for c in zip(*out)] if out else [np.empty(0, np.int64)] * 3
+    return pa.table(columns, ["key", "fp", "left"])
 
 
-def _meet(filed: DataFrame, largest: int | None) -> DataFrame:
+def _meet(filed: DataFrame, largest: int) -> DataFrame:
     by_key = filed.repartition("key").sortWithinPartitions("key")
-    return by_key.mapInArrow(_meetings(largest), "key long, a long, b long")
+    return pinned(by_key.mapInArrow(_meetings(largest), "key long, a long, b long, left long"), "meetings")
 
 
 def near_links(fps: DataFrame, largest_group: int = _LARGEST_GROUP) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints (fp) differing in at most 3 bits."""
-    met = pinned(_meet(in_batches(fps.select("fp"), _filed, "key long, fp long"), largest_group), "meetings")
-    links = met.filter("b IS NOT NULL").select("a", "b")
-    large = met.filter("b IS NULL")
-    if large.head(1):
-        again = _meet(_by_other_segment(large), None)
-        links = links.unionByName(again.select("a", "b"))
+    filed, links = in_batches(fps.select("fp"), _filed, "key long, fp long"), None
+    while filed is not None:
+        met = _meet(filed, largest_group)
+        found = met.filter("b IS NOT NULL").select("a", "b")
+        links = found if links is None else links.unionByName(found)
+        large = met.filter("b IS NULL").select("key", F.col("a").alias("fp"), "left")
+        filed = in_batches(large, _filed_again, "key long, fp long, left long") if large.head(1) else None
     return links.distinct()
 
 
