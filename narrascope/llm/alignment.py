@@ -39,6 +39,8 @@ from narrascope.llm.tokens import Remembered, TextEncoder, load_tokenizer
 
 #: Token ends in a piece of a merge.
 PIECE_ENDS = 1 << 16
+#: Words that each tokenizer remembers, and bytes of text that are encoded and merged at a time.
+_WORDS, _BATCH_BYTES = 1 << 17, 1 << 21
 
 _SPACE = "▁"
 
@@ -58,7 +60,7 @@ class ByteTokens(TextEncoder):
         super().__init__(path)
         self.plain = load_tokenizer(path)
         self.plain.encode_special_tokens = True
-        self.words = Remembered(self._encode_plain)
+        self.words = Remembered(self._encode_plain, _WORDS)
         characters = _byte_characters()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         added = self.tokenizer.get_added_tokens_decoder()
@@ -105,7 +107,7 @@ class PieceTokens(TextEncoder):
             and not self.model.is_unknown(self.alone)
             and b"".join(self.bytes_of[i].as_py() for i in self.model.encode(probe)) == f" {probe}".encode()
         )
-        self.words = Remembered(self._encode_words)
+        self.words = Remembered(self._encode_words, _WORDS)
 
     def _starts(self, data: np.ndarray, text_starts: np.ndarray) -> np.ndarray:
         white = data == 32
@@ -321,7 +323,7 @@ def _aligned(a_path: str, b_path: str, piece_ends: int, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, block = _Aligner(a_path, b_path, piece_ends, digest), 2 * TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, _BATCH_BYTES):
                 yield from aligner.batch(part.column(0).to_numpy(), part.column(1), block)
                 block += 1
 

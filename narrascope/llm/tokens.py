@@ -84,13 +84,13 @@ class Remembered(dict):
     common words stay and rare ones go.
     """
 
-    def __init__(self, encode_words):
+    def __init__(self, encode_words, most: int = _REMEMBERED_WORDS):
         super().__init__()
-        self.encode_words, self.old, self.chars = encode_words, {}, 0
+        self.encode_words, self.most, self.old, self.chars = encode_words, most, {}, 0
 
     def add(self, words) -> None:
         """Make sure that all of ``words``, which differ from each other, are there."""
-        if len(self) > _REMEMBERED_WORDS or self.chars > _REMEMBERED_CHARS:
+        if len(self) > self.most or self.chars > _REMEMBERED_CHARS:
             self.old, self.chars = dict(self), 0
             self.clear()
         missing = [word for word in words if word not in self]
