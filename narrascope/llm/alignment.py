@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import pinned
 from narrascope.llm.common import col, keyed, slices
-from narrascope.llm.tokens import Remembered, TextEncoder, load_tokenizer
+from narrascope.llm.tokens import Remembered, TextEncoder
 
 #: Token ends in a piece of a merge.
 PIECE_ENDS = 1 << 16
 #: Words that each tokenizer remembers, and bytes of text that are encoded and merged at a time.
-_WORDS, _BATCH_BYTES = 1 << 17, 1 << 21
+_WORDS, _BATCH_BYTES = 1 << 16, 1 << 20
 
 _SPACE = "▁"
 
@@ -58,29 +58,30 @@ class ByteTokens(TextEncoder):
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.plain = load_tokenizer(path)
-        self.plain.encode_special_tokens = True
         self.words = Remembered(self._encode_plain, _WORDS)
         characters = _byte_characters()
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         added = self.tokenizer.get_added_tokens_decoder()
+        self.special = [token.content.encode() for token in added.values()]
         names = [added[i].content if i in added else self.tokenizer.id_to_token(i) or "" for i in range(size)]
         known = [i not in added and all(c in characters for c in name) for i, name in enumerate(names)]
         self.bytes_of = pa.array([bytes(map(characters.get, n)) if ok else n.encode() for n, ok in zip(names, known)], pa.binary())
 
-    def _encode_plain(self, words: list[bytes]) -> list[bytes]:
-        special = [t.content.encode() for t in self.plain.get_added_tokens_decoder().values()]
-        if any(s in word for word in words for s in special):
-            found = self.plain.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-            return [np.array(one.ids, "<u4").tobytes() for one in found]
-        return self._encode_words(words)
+    def _encode_plain(self, words: list) -> list[bytes]:
+        """Packed ids; special strings are known as such only to tell words apart."""
+        words = [word.encode() if isinstance(word, str) else word for word in words]
+        if self.cuttable and not any(special in word for special in self.special for word in words):
+            return self._encode_words(words)
+        self.tokenizer.encode_special_tokens = True
+        found = self.tokenizer.encode_batch_fast([word.decode() for word in words], add_special_tokens=False)
+        self.tokenizer.encode_special_tokens = False
+        return [np.array(one.ids, "<u4").tobytes() for one in found]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.cuttable:
             return super().encode(texts)
-        found = self.plain.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
-        counts = np.array([len(one.ids) for one in found], np.int64)
-        return np.concatenate([np.empty(0, "<u4"), *[np.array(one.ids, "<u4") for one in found]]), counts
+        parts = self._encode_plain(texts.to_pylist())
+        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(part) // 4 for part in parts], np.int64)
 
 
 class PieceTokens(TextEncoder):
