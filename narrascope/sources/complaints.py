@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrascope.schema import CLEANED_SCHEMA, CORRUPT, RAW_SCHEMA
-from narrascope.sources.csv_blocks import csv_records, text_lines
+from narrascope.sources.csv_blocks import csv_records, located, text_lines
 
 # A character no export holds: with it an empty field reads as null and a quoted empty
 # field as an empty string, and both survive a round trip.
@@ -40,22 +40,32 @@ def read_csv(
 
     ``schema`` gives the columns in their order, as every file's header has to. Files of any
     size are read by as many tasks as they have splits, with the same rows for any splits.
-    A record that does not parse is kept: with ``keep_corrupt`` its text is in the
-    corrupt-record column. A quote that is never closed makes its own record corrupt and
-    takes no other.
+    A record whose quotes or number of fields are broken is a row of nulls: with
+    ``keep_corrupt`` its text is in the corrupt-record column. It takes no other record along.
     """
-    full = _with_corrupt_column(schema)
-    ddl = ", ".join(f"`{f.name}` STRING" for f in full)
-    records = csv_records(text_lines(spark, path), schema.fieldNames())
-    parsed = records.select(F.from_csv("record", ddl, _csv_options()).alias("row"))
+    return _parsed(csv_records(text_lines(spark, path), schema.fieldNames()), schema, keep_corrupt)
+
+
+def read_csv_batch(lines: DataFrame, schema: T.StructType = RAW_SCHEMA, keep_corrupt: bool = True) -> DataFrame:
+    """``read_csv`` for lines of one batch of a stream (``csv_lines``), of whole files."""
+    return _parsed(csv_records(located(lines), schema.fieldNames()), schema, keep_corrupt)
+
+
+def _parsed(records: DataFrame, schema: T.StructType, keep_corrupt: bool) -> DataFrame:
+    ddl = ", ".join(f"`{f.name}` STRING" for f in _with_corrupt_column(schema))
+    whole = F.when(~F.col("broken"), F.col("record"))
+    parsed = records.select(F.from_csv(whole, ddl, _csv_options()).alias("row"), "record", "broken")
     # As a generator the parsed row is computed once and not once per column.
-    rows = parsed.select(F.inline(F.array("row")))
-    return rows if keep_corrupt else rows.drop(CORRUPT)
+    rows = parsed.select(F.inline(F.array("row")), F.when(F.col("broken"), F.col("record")).alias("_broken"))
+    if not keep_corrupt:
+        return rows.drop(CORRUPT, "_broken")
+    return rows.withColumn(CORRUPT, F.coalesce("_broken", CORRUPT)).drop("_broken")
 
 
 def header_schema(spark: SparkSession, path: str) -> T.StructType:
-    """All-string schema from the header of a CSV export; one line is read."""
-    options = {"header": True, "inferSchema": False, "quote": '"', "escape": '"'}
+    """All-string schema from the header of a CSV export, which may have line breaks in quotes;
+    only the beginning of a file is read."""
+    options = {"header": True, "inferSchema": False, "multiLine": True, "quote": '"', "escape": '"'}
     head = spark.read.options(**options).csv(path)
     return T.StructType([T.StructField(c, T.StringType()) for c in head.columns])
 
