@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrascope.functions.bounds import pinned
-from narrascope.llm.common import col, in_batches, keep_rows, keyed, texts_of, word_blocks
+from narrascope.llm.common import col, in_batches, in_slices, keep_rows, keyed, texts_of, word_blocks
 from narrascope.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -210,7 +210,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs, row = keyed(docs, id_col)
     kind = dict(docs.dtypes)[id_col]
     texts = docs.select(col(row).cast("long").alias("row"), col(id_col).alias("doc"), col(text_col).alias("text"))
-    marked = pinned(in_batches(texts, _fingerprints, f"row long, doc {kind}, fp long"), "fingerprints")
+    marked = pinned(in_slices(texts, lambda: _fingerprints, f"row long, doc {kind}, fp long", 2), "fingerprints")
     order = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
     distinct = pinned(marked.groupBy("fp").agg(F.min(order).alias("first")), "distinct")
     roots = components(near_links(distinct)).withColumnRenamed("vertex", "fp")
