@@ -5,7 +5,8 @@ A group here is the top k chunks of one question, so aggregates by question stay
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import re
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -19,7 +20,7 @@ from narrascope.functions.text import (
     shorten,
     strip,
 )
-from narrascope.schema import CATEGORY, NO_CATEGORY_FILTER
+from narrascope.schema import CATEGORY, NO_CATEGORY_FILTER, PROMPT_TOKENS
 
 # --- Fixed values -----------------------------------------------------------
 
@@ -123,25 +124,84 @@ def prompt(context: Column, question: Column, company: str = "the company") -> C
     )
 
 
-def generate(c: Column, factory: Callable[[], Answerer], batch_size: int = 16) -> Column:
+#: Gives the number of tokens of each text; made once per task like an answerer.
+Counter = Callable[[list[str]], Sequence[int]]
+_WORD = re.compile("[^ \t\n\x0b\f\r]+")
+
+
+def _longest_fitting(ends: list[int], fits: Callable[[int], bool]) -> int:
+    """The last of ``ends`` that fits, or zero; what fits still does with less."""
+    low, high = 0, len(ends)
+    while low < high:
+        middle = (low + high + 1) // 2
+        if fits(ends[middle - 1]):
+            low = middle
+        else:
+            high = middle - 1
+    return ends[low - 1] if low else 0
+
+
+def within_tokens(
+    context: Column, question: Column, counter: Callable[[], Counter], most_tokens: int, company: str = "the company"
+) -> Column:
+    """The context, cut behind a whole word so that its prompt has at most ``most_tokens`` tokens.
+
+    The question is never cut; one that leaves no room gets an empty context. A few counts per
+    prompt find the place, as more words are taken never to have fewer tokens. A null context
+    stays null.
+    """
+    head, rest = PROMPT.split("{context}")
+    middle, tail = rest.split("{question}")
+    head = head.replace("{company}", company)
+
+    @F.arrow_udf(T.StringType())
+    def cut(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        count = counter()
+        for texts, questions in batches:
+            out = []
+            for text, asked in zip(texts.to_pylist(), questions.to_pylist()):
+                if text is not None:
+                    fits = lambda end, t=text, q=asked: count([f"{head}{t[:end]}{middle}{q or ''}{tail}"])[0] <= most_tokens
+                    if not fits(len(text)):
+                        text = text[: _longest_fitting([m.end() for m in _WORD.finditer(text)], fits)]
+                out.append(text)
+            yield pa.array(out, pa.string())
+
+    return cut(context, question)
+
+
+def generate(
+    c: Column,
+    factory: Callable[[], Answerer],
+    batch_size: int = 16,
+    most_tokens: int | None = None,
+    counter: Callable[[], Counter] | None = None,
+) -> Column:
     """Answer of a caller's model to each prompt; a null prompt never reaches the model.
 
     ``factory()`` runs once per task and returns ``answer(list[str]) -> list[str]``, one
-    reply for each prompt; another number of replies is an error.
+    reply for each prompt; another number of replies is an error. With ``most_tokens`` the model
+    is called as ``answer(list[str], most_tokens)``, and with a ``counter`` too a longer reply
+    is cut behind a whole word.
     """
 
     @F.arrow_udf(T.StringType())
     def answer(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = factory()
+        model, count = factory(), counter() if counter else None
         for batch in batches:
             prompts = [p for p in batch.to_pylist() if p is not None]
             given = []
             for i in range(0, len(prompts), batch_size):
                 asked = prompts[i : i + batch_size]
-                answered = list(model(asked))
+                answered = list(model(asked) if most_tokens is None else model(asked, most_tokens))
                 if len(answered) != len(asked):
                     raise ValueError(f"{len(answered)} replies to {len(asked)} prompts")
                 given += [reply.strip() for reply in answered]
+            if count is not None and most_tokens is not None:
+                for i, (reply, tokens) in enumerate(zip(given, count(given))):
+                    if tokens > most_tokens:
+                        ends = [m.end() for m in _WORD.finditer(reply)]
+                        given[i] = reply[: _longest_fitting(ends, lambda end, r=reply: count([r[:end]])[0] <= most_tokens)]
             replies = iter(given)
             yield pa.array(
                 [next(replies) if known else None for known in batch.is_valid().to_pylist()],
@@ -179,20 +239,27 @@ def answers(
     factory: Callable[[], Answerer],
     company: str = "the company",
     tasks: int | None = None,
+    counter: Callable[[], Counter] | None = None,
+    prompt_tokens: int = PROMPT_TOKENS,
+    reply_tokens: int | None = None,
 ) -> DataFrame:
     """Questions with context and answer, the fixed refusal where nothing was found.
 
-    The model is by far the dearest step: ``tasks`` spreads the questions before it.
+    The model is by far the dearest step: ``tasks`` spreads the questions before it. With a
+    ``counter`` of tokens, contexts are cut so that prompts have at most ``prompt_tokens``;
+    ``reply_tokens`` is handed to the model.
     """
     asked = questions.join(contexts(hits), ID, "left")
     if tasks:
         asked = asked.repartition(tasks, ID)
+    if counter is not None:
+        asked = asked.withColumn("context", within_tokens(F.col("context"), F.col("question"), counter, prompt_tokens, company))
     grounded = F.when(
         F.col("context").isNotNull(), prompt(F.col("context"), F.col("question"), company)
     )
     return (
         asked.withColumn("prompt", grounded)
-        .withColumn("answer", F.coalesce(generate(F.col("prompt"), factory), F.lit(NO_ANSWER)))
+        .withColumn("answer", F.coalesce(generate(F.col("prompt"), factory, most_tokens=reply_tokens, counter=counter), F.lit(NO_ANSWER)))
         .drop("prompt")
     )
 

@@ -6,7 +6,9 @@ on the order of additions; equal distances are ranked by chunk id.
 ``nearest_chunks`` keeps a question table of checked size resident in every task and
 scans the store once, where it lies. A task scores Arrow batches as matrix products and
 keeps k rows per question, so only partial answers are shuffled. More questions than the
-bound are cut into blocks, with one such scan for each, so no chunk vector ever moves. ``nearest_chunks_by_cell`` looks only into the cells nearest to a question.
+bound are cut into blocks, asked one after the other, so no chunk vector ever moves.
+``nearest_chunks_by_cell`` looks only into the cells nearest to a question;
+``nearest_chunks_by_code`` scans codes of a few bytes and reads vectors of candidates only.
 """
 
 from __future__ import annotations
@@ -26,12 +28,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from narrascope.functions.bounds import pinned, small_rows
+from narrascope.functions.bounds import pinned, small_rows, small_side
 from narrascope.schema import CATEGORY, TOP_K
 
 PLACES = 6
 RESIDENT_QUESTIONS = 16_384
 CELL_TRAINING_ROWS = 1_000_000
+CODE_TRAINING_ROWS = 20_000
+#: Candidates by code for each answer wanted.
+CANDIDATES = 10
 #: Of the exact hits, so many are found by the cells that are probed.
 RECALL = 0.9
 RECALL_QUESTIONS = 1024
@@ -333,18 +338,22 @@ def _score(asked: DataFrame, held: DataFrame, k: int, limit: int) -> tuple[DataF
 
 
 def _score_question_blocks(asked: DataFrame, held: DataFrame, k: int, size: int) -> DataFrame:
-    """Partial answers of any number of written questions, one scan of the store a block.
+    """Answers of any number of written questions, one scan of the store a block.
 
-    Blocks are drawn by hash of the row's place, so they are even whatever ids repeat. No
-    chunk vector is shuffled; a block is bounded by ``size`` but for the draw.
+    Blocks are drawn by hash of the row's place, so they are even whatever ids repeat. One block
+    after the other is resident and its answers are written, so the driver and the tasks never
+    hold more than one. No chunk vector is shuffled; a block is bounded by ``size`` but for the
+    draw.
     """
     blocks = -(-asked.count() // size)
     _one_length(asked.agg(F.min(F.size("question_vector")), F.max(F.size("question_vector"))).head())
-    drawn = asked.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
-    parts = [
-        _score_resident(drawn.where(F.col("block") == i).drop("block").toArrow(), asked, held, k)
-        for i in range(blocks)
-    ]
+    numbered = asked.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
+    drawn = pinned(numbered, "question-blocks")
+    parts = []
+    for i in range(blocks):
+        block = drawn.where(F.col("block") == i).drop("block").toArrow()
+        best = _top(_score_resident(block, asked, held, k), k)
+        parts.append(pinned(best.drop("rank"), "block-answers"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -530,3 +539,126 @@ def _nearest_cells(vector: Column, centres: np.ndarray, probes: int) -> Column:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(found.ravel()))
 
     return nearest(vector)
+
+
+@dataclass
+class Codebooks:
+    """Centres of each part of a vector: (parts, 256 at most, numbers of a part)."""
+
+    centres: np.ndarray
+
+    @property
+    def dim(self) -> int:
+        return self.centres.shape[0] * self.centres.shape[2]
+
+    def encode(self, rows: np.ndarray) -> np.ndarray:
+        """The nearest centre of each part, a byte each."""
+        parts = rows.reshape(len(rows), self.centres.shape[0], -1)
+        codes = np.empty(parts.shape[:2], np.uint8)
+        for j, centres in enumerate(self.centres):
+            far = (centres * centres).sum(axis=1) - 2.0 * parts[:, j] @ centres.T
+            codes[:, j] = np.argmin(far, axis=1)
+        return codes
+
+    def decode(self, codes: np.ndarray) -> np.ndarray:
+        found = self.centres[np.arange(self.centres.shape[0]), codes]
+        return found.reshape(len(codes), self.dim).astype(np.float32)
+
+
+def train_codes(
+    store: DataFrame,
+    parts: int,
+    *,
+    seed: int = 42,
+    chunk_vector: str = "embedding",
+    most_rows: int = CODE_TRAINING_ROWS,
+    rounds: int = 12,
+) -> Codebooks:
+    """Codebooks of the directions of the store's vectors, cut into ``parts`` equal parts.
+
+    At most about ``most_rows`` vectors, drawn at random, are fetched to place the centres; every
+    vector gets its code whatever was drawn.
+    """
+    usable = store.where(_usable_vectors(chunk_vector))
+    dim, total = usable.agg(F.mode(F.size(chunk_vector)), F.count("*")).head()
+    if not total or dim % parts:
+        raise ValueError(f"{total} vectors of {dim} numbers cannot be cut into {parts} parts")
+    if total > most_rows:
+        usable = usable.sample(most_rows / total, seed=seed)
+    drawn = usable.where(F.size(chunk_vector) == dim).select(chunk_vector).limit(2 * most_rows).toArrow()
+    rows, _ = _usable(_column(drawn, chunk_vector), dim)
+    rows, rng = _unit(rows).reshape(-1, parts, dim // parts), np.random.default_rng(seed)
+    books = []
+    for j in range(parts):
+        part = rows[:, j]
+        centres = part[rng.choice(len(part), min(256, len(part)), replace=False)]
+        for _ in range(rounds):
+            near = np.argmin((centres * centres).sum(axis=1) - 2.0 * part @ centres.T, axis=1)
+            sums = np.zeros_like(centres)
+            np.add.at(sums, near, part)
+            sizes = np.bincount(near, minlength=len(centres))[:, None]
+            centres = np.where(sizes > 0, sums / np.maximum(sizes, 1), centres)
+        books.append(centres)
+    return Codebooks(np.stack(books))
+
+
+def vector_codes(vector: Column, books: Codebooks) -> Column:
+    """A vector's code, null without a direction or of another length."""
+
+    @F.arrow_udf(T.BinaryType())
+    def encode(vectors: pa.Array) -> pa.Array:
+        rows, kept = _usable(vectors, books.dim)
+        out = np.full(len(vectors), None, object)
+        out[kept] = [code.tobytes() for code in books.encode(_unit(rows))]
+        return pa.array(out.tolist(), pa.binary())
+
+    return encode(vector)
+
+
+def _decoded(code: Column, books: Codebooks) -> Column:
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def decode(codes: pa.Array) -> pa.Array:
+        present = codes.drop_null()
+        flat = np.frombuffer(b"".join(present.to_pylist()), np.uint8).reshape(len(present), -1)
+        lengths = np.where(codes.is_valid().to_numpy(zero_copy_only=False), books.dim, 0)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(books.decode(flat).ravel()))
+
+    return decode(code)
+
+
+def nearest_chunks_by_code(
+    questions: DataFrame,
+    codes: DataFrame,
+    store: DataFrame,
+    books: Codebooks,
+    k: int | None = TOP_K,
+    candidates: int | None = None,
+    *,
+    question_id: str = "question_id",
+    question_vector: str = "embedding",
+    question_category: str | None = None,
+    chunk_id: str = "chunk_id",
+    chunk_vector: str = "embedding",
+    chunk_category: str = CATEGORY,
+    resident_limit: int = RESIDENT_QUESTIONS,
+) -> DataFrame:
+    """Approximate top ``k``: the best ``candidates`` by ``codes`` (chunk id, ``code``, category),
+    ranked by their vectors in ``store``. Ids of chunks are taken to be unique.
+
+    Codes are a byte for each part, so a scan over them reads little; a code stands for the vector
+    of its centres. Without a number, ten candidates for each answer.
+    """
+    k = k or TOP_K
+    coded = codes.where("code IS NOT NULL").withColumn(chunk_vector, _decoded(F.col("code"), books))
+    near = nearest_chunks(
+        questions, coded, candidates or CANDIDATES * k, question_id=question_id, question_vector=question_vector,
+        question_category=question_category, chunk_id=chunk_id, chunk_vector=chunk_vector,
+        chunk_category=chunk_category, resident_limit=resident_limit,
+    ).select("question_id", "chunk_id")
+    asked = questions.select(F.col(question_id).alias("question_id"), F.col(question_vector).alias("question_vector"))
+    vectors = store.select(F.col(chunk_id).alias("chunk_id"), F.col(chunk_vector).alias("chunk_vector"))
+    scored = vectors.join(near, "chunk_id").join(small_side(asked, resident_limit), "question_id").select(
+        "question_id", "chunk_id", cosine_distance(F.col("question_vector"), F.col("chunk_vector")).alias("distance")
+    )
+    return _top(scored.where("distance IS NOT NULL"), k)

@@ -27,10 +27,11 @@ def sample_quotas(df: DataFrame, n: int = SAMPLE_SIZE, group: str = CATEGORY) ->
     windows see one row per stratum. A null stratum is a stratum.
     """
     sizes = df.groupBy(group).agg(F.count("*").alias("size"))
-    return _quotas(sizes, n, group)
+    return quotas_of(sizes, n, group)
 
 
-def _quotas(sizes: DataFrame, n: int, group: str) -> DataFrame:
+def quotas_of(sizes: DataFrame, n: int, group: str) -> DataFrame:
+    """``sample_quotas`` from the sizes of strata, one row each."""
     everything = Window.partitionBy()
     by_remainder = Window.partitionBy().orderBy(
         F.desc("remainder"), F.asc_nulls_first(group)
@@ -113,7 +114,7 @@ class _Edge(NamedTuple):
 
 def _wanted(slices: DataFrame, n: int, group: str) -> DataFrame:
     sizes = slices.groupBy(group).agg(F.sum("_rows").alias("size"))
-    return _quotas(sizes, n, group).select(
+    return quotas_of(sizes, n, group).select(
         F.col(group).alias("_group"), F.col("quota").alias("_wanted")
     )
 

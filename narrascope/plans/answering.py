@@ -13,6 +13,7 @@ from narrascope.functions.embedding import Encoder, embed, hashed_words
 from narrascope.operators.grounding import (
     REPORT_QUESTIONS,
     Answerer,
+    Counter,
     answers,
     report,
     source_cards,
@@ -21,7 +22,7 @@ from narrascope.operators.grounding import (
     within_budget,
 )
 from narrascope.operators.retrieval import nearest_chunks, nearest_chunks_by_cell
-from narrascope.schema import CATEGORY, QUESTION_SCHEMA, TOP_K
+from narrascope.schema import CATEGORY, PROMPT_TOKENS, QUESTION_SCHEMA, TOP_K
 
 
 def question_table(spark: SparkSession, questions: Sequence[str] = REPORT_QUESTIONS) -> DataFrame:
@@ -68,10 +69,15 @@ def answer_questions(
     budget: int | None = None,
     centres: np.ndarray | None = None,
     probes: int | None = None,
+    counter: Callable[[], Counter] | None = None,
+    prompt_tokens: int = PROMPT_TOKENS,
+    reply_tokens: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Answers and the hits they rest on. Blank questions are answered with a request.
 
-    At most ``budget`` characters of chunk text go into a prompt where a budget is given.
+    At most ``budget`` characters of chunk text go into a prompt where a budget is given. With a
+    ``counter`` of the model's tokens, contexts are cut so that a prompt has at most
+    ``prompt_tokens``; ``reply_tokens`` caps the reply.
     """
     checked = validated(questions)
     good = checked.where("problem IS NULL").drop("problem")
@@ -79,7 +85,7 @@ def answer_questions(
     if budget is not None:
         found = within_budget(found, budget).drop("used")
     hits = pinned(found, "hits")
-    answered = answers(good, hits, answerer, company, tasks)
+    answered = answers(good, hits, answerer, company, tasks, counter, prompt_tokens, reply_tokens)
     rejected = checked.where("problem IS NOT NULL").select(
         *good.columns, F.lit(None).cast("string").alias("context"), F.col("problem").alias("answer")
     )

@@ -58,6 +58,8 @@ CHUNK_SEPARATORS = ["\n\n", "\n", ". ", " ", ""]
 EMBEDDING_DIM = 384
 EMBED_BATCH = 512
 TOP_K = 5
+PROMPT_TOKENS = 1024
+REPLY_TOKENS = 192
 NO_CATEGORY_FILTER = "All products"
 
 # --- Schemas ----------------------------------------------------------------

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrascope.schema import CLEANED_SCHEMA, CORRUPT, RAW_SCHEMA
-from narrascope.sources.csv_blocks import csv_records, located, text_lines
+from narrascope.sources.csv_blocks import csv_records, text_lines
 
 # A character no export holds: with it an empty field reads as null and a quoted empty
 # field as an empty string, and both survive a round trip.
@@ -43,12 +43,12 @@ def read_csv(
     A record whose quotes or number of fields are broken is a row of nulls: with
     ``keep_corrupt`` its text is in the corrupt-record column. It takes no other record along.
     """
-    return _parsed(csv_records(text_lines(spark, path), schema.fieldNames()), schema, keep_corrupt)
+    return parsed_csv(text_lines(spark, path), schema, keep_corrupt)
 
 
-def read_csv_batch(lines: DataFrame, schema: T.StructType = RAW_SCHEMA, keep_corrupt: bool = True) -> DataFrame:
-    """``read_csv`` for lines of one batch of a stream (``csv_lines``), of whole files."""
-    return _parsed(csv_records(located(lines), schema.fieldNames()), schema, keep_corrupt)
+def parsed_csv(lines: DataFrame, schema: T.StructType = RAW_SCHEMA, keep_corrupt: bool = False) -> DataFrame:
+    """``read_csv`` for located lines of whole files, as those of one batch of a stream."""
+    return _parsed(csv_records(lines, schema.fieldNames()), schema, keep_corrupt)
 
 
 def _parsed(records: DataFrame, schema: T.StructType, keep_corrupt: bool) -> DataFrame:

@@ -5,7 +5,7 @@ file cannot tell where the next record begins. A block of a file starts either w
 inside quotes, and which of the two follows from the blocks before it:
 
 1. each block is cut into records as if one began with its first line. The same pass follows the
-   other case until both agree on where a whole record begins, which they soon do from the first
+   other case until both agree on where a record begins, which they soon do from the first
    quote on; all records behind that place are the same. One small row tells about each block;
 2. the true start of every block follows by a window over those small rows;
 3. only where a record goes on across a border are the lines around that border, up to the place
@@ -14,8 +14,8 @@ inside quotes, and which of the two follows from the blocks before it:
 Exports have broken quotes. A record is whole if every quote that opens a field is closed in
 front of a comma or the end of a line, and it has as many fields as the header. Another line is
 a corrupt record of its own; if it opens a quote, it takes the lines behind it along up to the
-next one where a whole record begins. So a stray quote costs its own record, and the rows do not
-depend on where blocks begin.
+next one where a whole record begins, or that has as many commas as the header. So a stray quote
+costs its own record, and the rows do not depend on where blocks begin.
 
 Fields are parsed by Spark's own ``from_csv``. Inside tasks lines that are whole records, nearly
 all, are found as columns; the others are looked at one by one.
@@ -58,6 +58,7 @@ class _Lines:
             self.alone[self.quoted] = fit.to_numpy(zero_copy_only=False)
         blank = pc.or_(pc.equal(texts, ""), pc.equal(texts, "\r")).to_numpy(zero_copy_only=False)
         self.alone &= ~blank
+        self.shaped = commas & ~blank  # with the header's number of commas
         self.others = np.flatnonzero(~self.alone)
         self.blank = set(np.flatnonzero(blank).tolist())
 
@@ -135,17 +136,19 @@ class _Lines:
         return text.startswith('"') or ',"' in text
 
     def resumed(self, at: int) -> tuple[int, int]:
-        """Where the next whole record begins behind a line whose quotes are broken."""
+        """Where the next record begins behind a line whose quotes are broken."""
         for there in range(at + 1, len(self)):
-            if there in self.blank:
-                continue
-            fate, _ = self.record(there)
-            if fate == _WHOLE:
-                return _BROKEN, there
-            if fate == _OPEN:
-                return _OPEN, len(self)
+            fate = self.begins(there)
+            if fate != _BROKEN:
+                return (_BROKEN, there) if fate == _WHOLE else (_OPEN, len(self))
         return _OPEN, len(self)
 
+    def begins(self, at: int) -> int:
+        """Whether a record begins with a line, for one whose own quotes are broken to end there."""
+        if self.alone[at] or self.shaped[at]:
+            return _WHOLE
+        return _BROKEN if at in self.blank else self.record(at)[0]
+
     def joined(self, start: int, end: int) -> str:
         return "\n".join(self.texts[start:end].to_pylist())
 
@@ -167,8 +170,8 @@ def _cut(lines: _Lines, at_end: bool) -> tuple[list[int], list[bool], int]:
         if fate == _OPEN and not at_end:
             return starts, broken, at
         if fate == _OPEN:
-            # No whole record with what is there: this line is broken, and the next that is not.
-            end = next((i for i in range(at + 1, total) if i not in lines.blank and lines.record(i)[0] == _WHOLE), total)
+            # Nothing closes it with what is there.
+            end = next((i for i in range(at + 1, total) if lines.begins(i) == _WHOLE), total)
         starts.append(at)
         broken.append(fate != _WHOLE)
         at = end
@@ -176,7 +179,7 @@ def _cut(lines: _Lines, at_end: bool) -> tuple[list[int], list[bool], int]:
 
 
 _ROW = "text string, broken boolean, file long, block long, n int, open boolean"
-_TOLD = "quotes boolean, common int, first_whole int, is_open boolean"
+_TOLD = "quotes boolean, common int, first_sure int, is_open boolean"
 _CUT = f"{_ROW}, {_TOLD}"
 _KINDS = [pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32(), pa.bool_()]
 _NAMES = [field.split()[0] for field in _CUT.split(", ")]
@@ -190,7 +193,8 @@ class _Block:
         self.waiting = pa.array([], pa.string())  # lines of what is not known yet
         self.n = self.seen = 0  # records given, and lines read
         self.quotes = False
-        self.first_whole: int | None = None  # its number, and that of the first that both cases have
+        # The first record that ends any broken one before it, and the first such in both cases.
+        self.first_sure: int | None = None
         self.common: int | None = None
         # To follow the other case: lines from the first with a quote on, and the line number
         # and record number of what begins there in the first case.
@@ -225,11 +229,12 @@ class _Block:
     def _rows(self, lines, starts, broken, end, first) -> pa.RecordBatch | None:
         if not starts:
             return None
-        whole = [i for i, (at, bad) in enumerate(zip(starts, broken)) if not bad and at not in lines.blank] if self.common is None else []
-        if whole and self.first_whole is None:
-            self.first_whole = self.n + whole[0]
-        if self.held:
-            self.begun.update((first + starts[i], self.n + i) for i in whole if first + starts[i] >= self.held_from)
+        if self.common is None:
+            sure = [i for i, (at, bad) in enumerate(zip(starts, broken)) if lines.shaped[at] or not (bad or at in lines.blank)]
+            if sure and self.first_sure is None:
+                self.first_sure = self.n + sure[0]
+            if self.held:
+                self.begun.update((first + starts[i], self.n + i) for i in sure if first + starts[i] >= self.held_from)
         offsets = pa.array([*starts, end], pa.int32())
         texts = pc.binary_join(pa.ListArray.from_arrays(offsets, lines.texts), "\n")
         out = self._batch(texts, broken, False)
@@ -243,14 +248,14 @@ class _Block:
         return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, _KINDS)], _NAMES)
 
     def _follow(self) -> None:
-        """Follow the case that the block starts inside quotes, until a whole record begins where
+        """Follow the case that the block starts inside quotes, until such a record begins where
         one does in the first case."""
         self.held = [pa.concat_arrays(self.held)]
         lines = _Lines(self.held[0], self.fields)
         fate, end = lines.inside()
         found = None
-        if fate == _BROKEN:  # no field ends so: what was open is broken off by the first whole record
-            found = self.first_whole
+        if fate == _BROKEN:  # no field ends so: what was open is broken off by the first sure record
+            found = self.first_sure
         at = end + 1 if fate == _WHOLE else len(lines)
         while found is None and at < len(lines) and fate != _OPEN:
             found = self.begun.get(at + self.held_from)
@@ -262,7 +267,7 @@ class _Block:
         is_open = len(self.waiting) > 0
         if is_open:
             yield self._batch(["\n".join(self.waiting.to_pylist())], [False], True)
-        yield self._batch([None], [None], False, (self.quotes, self.common, self.first_whole, is_open))
+        yield self._batch([None], [None], False, (self.quotes, self.common, self.first_sure, is_open))
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, pa.RecordBatch]]:
@@ -305,7 +310,7 @@ def _resolved(told: DataFrame) -> DataFrame:
     so_far = order.rowsBetween(Window.unboundedPreceding, -1)
     to_end = order.rowsBetween(0, Window.unboundedFollowing)
     last_quote = ~F.max("quotes").over(to_end)
-    states = told.withColumn("common", F.coalesce("common", F.when(last_quote, F.col("first_whole"))))
+    states = told.withColumn("common", F.coalesce("common", F.when(last_quote, F.col("first_sure"))))
     decides = F.when(F.col("is_open") | F.col("common").isNotNull(), F.col("is_open"))
     states = states.withColumn("inside", F.coalesce(F.last(decides, ignorenulls=True).over(so_far), F.lit(False)))
     begins = F.when(F.col("is_open") & (~F.col("inside") | F.col("common").isNotNull()), F.col("block"))
@@ -368,7 +373,7 @@ def _unix_breaks(record: Column) -> Column:
 def csv_records(lines: DataFrame, names: list[str]) -> DataFrame:
     """One row per CSV record, (record, broken), without headers, which must be ``names``."""
     cut = pinned(lines.mapInArrow(_cut_blocks(len(names)), _CUT), "csv-records")
-    told = cut.where("text IS NULL").select("file", "block", "quotes", "common", "first_whole", "is_open")
+    told = cut.where("text IS NULL").select("file", "block", "quotes", "common", "first_sure", "is_open")
     states = small_side(_resolved(told), _FEW_BLOCKS)
     rows = cut.where("text IS NOT NULL").select("text", "broken", "file", "block", "n", "open").join(states, ["file", "block"])
     before = F.col("inside") & (F.col("common").isNull() | (F.col("n") < F.col("common")))

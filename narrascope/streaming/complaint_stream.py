@@ -2,7 +2,7 @@
 
 The operators are the batch ones. They keep no state, so no watermark is needed and a
 restart continues from the checkpoint; the file sink makes each batch visible once.
-Ranking operators are called per batch from ``foreachBatch``.
+CSV files are read per batch; results over all batches are in ``running``.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from narrascope.operators.chunking import chunk_recursive
 from narrascope.plans.preprocess import cleaned_complaints
 from narrascope.schema import RAW_SCHEMA
 from narrascope.sources.chunk_store import with_embeddings
+from narrascope.sources.complaints import parsed_csv
+from narrascope.sources.csv_blocks import located
 
 
 def read_complaint_stream(
@@ -32,6 +34,32 @@ def read_complaint_stream(
     return reader.parquet(path)
 
 
+def read_csv_stream(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    checkpoint: str,
+    schema: T.StructType = RAW_SCHEMA,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Append arriving CSV files to a Parquet folder, corrupt records with their text.
+
+    A file belongs to one batch whole, so records are cut as by ``read_csv``. A batch has a
+    folder of its own, which a repeated batch replaces. All that is available now, then it stops.
+    """
+    reader = spark.readStream.option("lineSep", "\n")
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    lines = located(reader.text(path))
+
+    def append(batch: DataFrame, number: int) -> None:
+        rows = parsed_csv(batch, schema, keep_corrupt=True)
+        rows.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    writer = lines.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()
+
+
 def chunk_stream(
     complaints: DataFrame,
     chunker: Callable[..., DataFrame] = chunk_recursive,

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +144,36 @@ def test_default_questions_and_foreign_store(spark, tmp_path):
     spark.range(1).write.parquet(str(tmp_path / "other"))
     with pytest.raises(ValueError, match="missing columns"):
         chunk_store.read_prebuilt(spark, str(tmp_path / "other"))
+
+
+def two_characters():
+    return lambda texts: [sum((len(w) + 1) // 2 for w in t.split()) for t in texts]
+
+
+@pytest.mark.parametrize("most", [40, 70, 75, 90, 1000])
+def test_contexts_are_cut_to_tokens(spark, most):
+    context = "1. [x | y] some words of a  first chunk\n2. [é] more\twords, the end "
+    rows = spark.createDataFrame([(1, context, "Why?"), (2, "", "Why?"), (3, None, "q"), (4, context, "long " * 40)], "id int, context string, question string")
+    cut = G.within_tokens(F.col("context"), F.col("question"), two_characters, most)
+    found = {r.id: r.cut for r in rows.select("id", cut.alias("cut")).collect()}
+    assert found[3] is None and found[2] == ""
+
+    def tokens(text, question):
+        prompt = G.PROMPT.replace("{company}", "the company").replace("{context}", text).replace("{question}", question)
+        return two_characters()([prompt])[0]
+
+    for ident, question in ((1, "Why?"), (4, "long " * 40)):
+        ends = [m.end() for m in re.finditer(r"\S+", context)]
+        fitting = [context[:e] for e in ends if tokens(context[:e], question) <= most]
+        whole = context if tokens(context, question) <= most else None
+        assert found[ident] == (whole if whole is not None else (fitting or [""])[-1])
+
+
+def test_replies_are_capped(spark):
+    def model():
+        return lambda prompts, most: [f" {p} may have {most} tokens of two " for p in prompts]
+
+    rows = spark.createDataFrame([("a",), (None,), ("long reply " * 5,)], "prompt string")
+    answer = G.generate(F.col("prompt"), model, most_tokens=9, counter=two_characters)
+    found = [r.answer for r in rows.select(answer.alias("answer")).collect()]
+    assert found[1] is None and found[0] == "a may have 9 tokens" and found[2] == "long reply long"

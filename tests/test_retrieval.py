@@ -153,3 +153,26 @@ def test_query_of_measured_probes_reaches_its_recall(spark):
     path = "/root/testdata/sf0.01"
     pairs = [{(r[0], r[2]) for r in QUERIES[n](spark, path).collect()} for n in ("knn_ivf_measured", "knn_exact")]
     assert len(pairs[0] & pairs[1]) >= 0.9 * len(pairs[1])
+
+
+def test_codes_reach_their_recall(spark):
+    from verification.queries import QUERIES
+
+    path = "/root/testdata/sf0.01"
+    exact = {(r[0], r[2]) for r in QUERIES["knn_exact"](spark, path).collect()}
+    for name in ("knn_codes", "knn_ivf"):
+        found = {(r[0], r[2]) for r in QUERIES[name](spark, path).collect()}
+        assert len(found & exact) >= 0.9 * len(exact), name
+
+
+def test_codes(spark, data):
+    asked, store = data
+    chunks = spark.createDataFrame(store, STORE)
+    questions = spark.createDataFrame(asked, ASKED)
+    books = retrieval.train_codes(chunks, 2)
+    codes = chunks.select("chunk_id", CATEGORY, retrieval.vector_codes(F.col("embedding"), books).alias("code"))
+    assert {len(r.code) for r in codes.collect() if r.code is not None} == {2}
+    every = retrieval.nearest_chunks_by_code(questions, codes, chunks, books, 4, 10_000, question_category="wanted")
+    assert rows(every) == brute(asked, store, 4)
+    with pytest.raises(ValueError, match="cannot be cut"):
+        retrieval.train_codes(chunks, 7)

@@ -126,7 +126,9 @@ def slow_records(text, fields):
         quoted = lines[at].startswith('"') or ',"' in lines[at]
         there = at + 1
         if quoted or fate == "open":
-            while there < len(lines) and (lines[there] in ("", "\r") or read(there)[0] != "whole"):
+            while there < len(lines) and (
+                lines[there] in ("", "\r") or (read(there)[0] != "whole" and lines[there].count(",") != fields - 1)
+            ):
                 there += 1
         out.append(("\n".join(lines[at:there]), True))
         at = there

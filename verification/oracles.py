@@ -10,7 +10,7 @@ from __future__ import annotations
 from narrascope.functions.text import BOILERPLATE
 from narrascope.operators.grounding import PROMPT, REPORT_QUESTIONS
 from narrascope.schema import CATEGORY_OF_PRODUCT, CHUNK_METADATA, COMPLAINT_COLUMNS
-from verification.queries import BUDGET, CELLS, SAMPLE, SMALL_BUDGET
+from verification.queries import BUDGET, CELLS, PROBES, PROMPT_BUDGET, SAMPLE, SMALL_BUDGET
 from verification.tables import (
     DOCUMENT_COMPLAINTS,
     ORDER_COMPLAINTS,
@@ -249,6 +249,14 @@ def _short(column: str, n: int) -> str:
     return f"CASE WHEN length({line}) > {n} THEN concat(substr({line}, 1, {n}), '…') ELSE {line} END"
 
 
+_W, _WS = "[^ \\t\\n\\x0b\\f\\r]", "[ \\t\\n\\x0b\\f\\r]"
+
+
+def _tokens(text: str) -> str:
+    """Pieces of two characters of all words."""
+    return f"coalesce(list_sum(list_transform(regexp_extract_all({text}, '{_W}+'), lambda w: (length(w) + 1) // 2)), 0)"
+
+
 def _knn(k: int, condition: str = "true") -> str:
     return f"""hits AS (
     SELECT * FROM (
@@ -392,7 +400,7 @@ ORACLES: dict[str, str] = {
                        list_cosine_similarity(CAST(v.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) DESC,
                        c.vec_id) AS place
             FROM embeddings v JOIN embeddings c ON c.vec_id < {CELLS}),
-        {_knn(5, "EXISTS (SELECT 1 FROM near a JOIN near b ON a.cell = b.cell WHERE a.vec_id = q.vec_id AND a.place <= 4 AND b.vec_id = c.vec_id AND b.place = 1)")} {_HITS}""",
+        {_knn(5, f"EXISTS (SELECT 1 FROM near a JOIN near b ON a.cell = b.cell WHERE a.vec_id = q.vec_id AND a.place <= {PROBES} AND b.vec_id = c.vec_id AND b.place = 1)")} {_HITS}""",
     "knn_filtered": f"WITH {_knn(3, 'q.label = c.label')} {_HITS}",
     "knn_join_text": f"""WITH {_knn(2)}
         SELECT question_id, rank, chunk_id, source, text FROM hits JOIN documents ON doc_id = chunk_id""",
@@ -459,4 +467,31 @@ ORACLES: dict[str, str] = {
     "cleaned_csv_roundtrip": f"""WITH {BASE}
         SELECT {_columns(*COMPLAINT_COLUMNS, 'product_category', 'cleaned_narrative')} FROM cleaned""",
     "stream_clean_chunk": f"{_DOCUMENT_CHUNKS} {_CHUNK_ROWS}",
+    "standing_answers": f"WITH {_knn(5)} {_HITS}",
+    "prompt_token_budget": f"""WITH RECURSIVE {RETRIEVED}, {_CONTEXTS},
+        asked AS (SELECT question_id, question, coalesce(context, '') AS context
+                  FROM good LEFT JOIN contexts USING (question_id)),
+        parts AS (SELECT question_id, {_tokens(_prompt("''", 'question'))} AS others,
+                         unnest(regexp_extract_all(context, '{_WS}*{_W}+')) AS word,
+                         generate_subscripts(regexp_extract_all(context, '{_WS}*{_W}+'), 1) AS place
+                  FROM asked),
+        counted AS (SELECT *, others + sum({_tokens('word')}) OVER (PARTITION BY question_id ORDER BY place) AS used FROM parts),
+        totals AS (SELECT question_id, max(used) AS used FROM counted GROUP BY 1),
+        cut AS (SELECT question_id, string_agg(word, '' ORDER BY place) AS context FROM counted
+                WHERE used <= {PROMPT_BUDGET} GROUP BY 1)
+        SELECT question_id, {_prompt(f"CASE WHEN coalesce(t.used, 0) <= {PROMPT_BUDGET} THEN a.context ELSE coalesce(c.context, '') END", 'question')} AS prompt
+        FROM asked a LEFT JOIN totals t USING (question_id) LEFT JOIN cut c USING (question_id)""",
+    "broken_csv_scan": f"""WITH {COMPLAINTS}
+        SELECT {_ID} AS complaint_id, {_ID} LIKE '%7' AS corrupt,
+               CASE WHEN {_ID} NOT LIKE '%7' THEN coalesce({_N}, '') END AS narrative FROM complaints""",
+    "csv_stream": f"""WITH {COMPLAINTS}
+        SELECT {_columns(*COMPLAINT_COLUMNS)} FROM complaints""",
+    "updated_store": f"{_DOCUMENT_CHUNKS} SELECT chunk_id, text, CAST(384 AS BIGINT) AS dim FROM chunks",
+    "running_counts": f"""WITH {COMPLAINTS}, {LENGTHS}
+        SELECT 'product' AS statistic, "Product" AS label, CAST(NULL AS BIGINT) AS words, count(*) AS rows FROM complaints GROUP BY 2
+        UNION ALL SELECT 'narrative', CASE WHEN regexp_matches(coalesce({_N}, ''), '\\S') THEN 'true' ELSE 'false' END, NULL, count(*)
+        FROM complaints GROUP BY 2
+        UNION ALL SELECT 'length', NULL, n, count(*) FROM lengths GROUP BY 3""",
 }
+for _name in ("running_sample", "one_scan_sample"):
+    ORACLES[_name] = ORACLES["stratified_sample"]

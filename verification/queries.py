@@ -6,13 +6,14 @@ directory, as a deployment would, and read back by each query.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from narrascope.functions.bounds import shared_path
+from narrascope.functions.bounds import pinned, shared_path
 from narrascope.functions.embedding import unit_rows
 from narrascope.functions.text import excerpt
 from narrascope.operators import chunking, cleaning, grounding, profile, retrieval, sampling
@@ -31,6 +32,7 @@ from narrascope.schema import (
     CHUNK_METADATA,
     CLEANED,
     COMPLAINT_ID,
+    CORRUPT,
     NARRATIVE,
     PRODUCT,
     RAW_SCHEMA,
@@ -42,6 +44,7 @@ from narrascope.sources.chunk_store import (
     join_vectors,
     read_prebuilt,
     read_store,
+    update_store,
     with_embeddings,
     write_store,
 )
@@ -49,11 +52,23 @@ from narrascope.sources.complaints import (
     cache_as_parquet,
     load_cleaned,
     load_csv,
+    read_csv,
     save_cleaned,
     save_csv,
     scan_complaints,
 )
-from narrascope.streaming.complaint_stream import chunk_stream, write_stream
+from narrascope.streaming.complaint_stream import chunk_stream, read_csv_stream, write_stream
+from narrascope.streaming.running import (
+    COUNTS_SCHEMA,
+    answers_schema,
+    keep_answers,
+    keep_counts,
+    keep_sample,
+    least_rows,
+    sample_of,
+    sample_schema,
+    state,
+)
 from verification.tables import (
     DOCUMENT_COMPLAINTS,
     complaints,
@@ -67,8 +82,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 SAMPLE = 500
 CELLS = 16
+#: Of the given cells so many have to be probed for nine of ten true neighbours.
+PROBES = 12
+CODE_PARTS = 16
 BUDGET = 1500
 SMALL_BUDGET = 300
+PROMPT_BUDGET = 1024
+BATCHES = 3
+
+WORD = re.compile("[^ \t\n\x0b\f\r]+")
 
 _written: dict[tuple[str, str, str], str] = {}
 
@@ -419,8 +441,8 @@ def _by_cell(spark, sf_dir, probes):
 
 
 def knn_ivf(spark, sf_dir):
-    """The four cells nearest to each question; centres are given, so this can be checked."""
-    return _by_cell(spark, sf_dir, 4)
+    """The cells nearest to each question; centres are given, so this can be checked."""
+    return _by_cell(spark, sf_dir, PROBES)
 
 
 def knn_ivf_measured(spark, sf_dir):
@@ -448,6 +470,34 @@ def knn_ivf_trained(spark, sf_dir):
     )
 
 
+def knn_codes(spark, sf_dir):
+    """Candidates by codes of 16 bytes a vector, ranked by their vectors."""
+    rows = _vectors(spark, sf_dir)
+    books = retrieval.train_codes(rows, CODE_PARTS)
+    path = shared_path(spark, "codes")
+    rows.select("vec_id", retrieval.vector_codes(F.col("embedding"), books).alias("code")).write.parquet(path)
+    codes = spark.read.parquet(path)
+    return hit_rows(
+        retrieval.nearest_chunks_by_code(rows, codes, rows, books, 5, question_id="vec_id", chunk_id="vec_id")
+    )
+
+
+def standing_answers(spark, sf_dir):
+    """Vectors that arrive in batches, their five nearest kept up to date for every question."""
+    rows = _vectors(spark, sf_dir)
+    arriving = _arriving(spark, rows, "arriving-vectors")
+    root = shared_path(spark, "standing")
+    keep_answers(rows, arriving, root, shared_path(spark, "standing-state"), 5, question_id="vec_id", chunk_id="vec_id").awaitTermination()
+    return hit_rows(state(spark, root, answers_schema(rows, rows, "vec_id", "vec_id")))
+
+
+def _arriving(spark, rows, name):
+    """Rows as a stream of a few files, one a batch."""
+    path = shared_path(spark, name)
+    rows.repartition(BATCHES).write.parquet(path)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 # --- Retrieval, grounding, answers ------------------------------------------------
 
 
@@ -479,6 +529,19 @@ def context_budget(spark, sf_dir):
     return rows.select("question_id", big("rank"), "chunk_id", big("used"))
 
 
+def two_character_tokens():
+    """Stand-in for a model's tokens: each word in pieces of two characters."""
+    return lambda texts: [sum((len(word) + 1) // 2 for word in WORD.findall(text)) for text in texts]
+
+
+def prompt_token_budget(spark, sf_dir):
+    """Prompts of 1,024 tokens at most: the context is cut behind a word, the question is whole."""
+    rows = grounding.with_context(good_questions(spark, sf_dir), hits(spark, sf_dir))
+    cut = grounding.within_tokens(F.col("context"), F.col("question"), two_character_tokens, PROMPT_BUDGET)
+    text = grounding.prompt(cut, F.col("question"))
+    return rows.select("question_id", text.alias("prompt"))
+
+
 def question_sources(spark, sf_dir):
     rows = grounding.sources(hits(spark, sf_dir).select("question_id", "rank", "chunk_id", "distance"))
     return rows.select(
@@ -575,6 +638,71 @@ def stream_clean_chunk(spark, sf_dir):
     return chunk_rows(spark.read.schema(chunks.schema).parquet(path))
 
 
+def broken_csv_scan(spark, sf_dir):
+    """An export in which some narratives begin with a quote that nothing closes: each such record
+    is corrupt, kept with its text, and takes no other along."""
+    rows = complaints(spark, sf_dir)
+    fields = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in RAW_SCHEMA.fieldNames()]
+    whole = F.concat_ws(",", *[F.concat(F.lit('"'), F.replace(f, F.lit('"'), F.lit('""')), F.lit('"')) for f in fields])
+    plain = [F.lit(""), F.lit("Mortgage"), F.lit(""), F.lit("Fees"), F.lit(""), F.lit('"stray'), F.lit("Acme"), F.lit("CA")]
+    stray = F.concat_ws(",", *plain, F.col(f"`{COMPLAINT_ID}`"))
+    line = F.when(F.endswith(F.col(f"`{COMPLAINT_ID}`"), F.lit("7")), stray).otherwise(whole)
+    header = spark.createDataFrame([(",".join(RAW_SCHEMA.fieldNames()), False)], "value string, later boolean")
+    lines = header.unionByName(rows.select(line.alias("value"), F.lit(True).alias("later")))
+    path = shared_path(spark, "broken")
+    lines.coalesce(1).sortWithinPartitions("later").select("value").write.text(path)
+    found = read_csv(spark, path, keep_corrupt=True)
+    broken = F.col(CORRUPT).isNotNull()
+    ident = F.when(broken, F.regexp_extract(CORRUPT, "([^,]*)$", 1)).otherwise(F.col(f"`{COMPLAINT_ID}`"))
+    return found.select(ident.alias("complaint_id"), broken.alias("corrupt"), F.col(f"`{NARRATIVE}`").alias("narrative"))
+
+
+def csv_stream(spark, sf_dir):
+    """CSV files that arrive in batches, appended to a Parquet folder."""
+    raw = save_csv(complaints(spark, sf_dir).repartition(BATCHES), shared_path(spark, "csv-arriving"))
+    path = shared_path(spark, "csv-appended")
+    read_csv_stream(spark, raw, path, shared_path(spark, "csv-state"), max_files=1).awaitTermination()
+    return snake(spark.read.parquet(path).select([f"`{c}`" for c in RAW_SCHEMA.fieldNames()]))
+
+
+def running_counts(spark, sf_dir):
+    """Counts of all statistics kept up to date over batches of complaints."""
+    root = shared_path(spark, "counts")
+    arriving = _arriving(spark, complaints(spark, sf_dir), "arriving-complaints")
+    keep_counts(arriving, root, shared_path(spark, "counts-state")).awaitTermination()
+    return state(spark, root, COUNTS_SCHEMA).select("statistic", "label", big("words"), "rows")
+
+
+def running_sample(spark, sf_dir):
+    """A stratified sample of complaints that arrive in batches, each read once."""
+    rows = cleaned(spark, sf_dir)
+    root = shared_path(spark, "sample")
+    arriving = _arriving(spark, rows, "arriving-cleaned")
+    keep_sample(arriving, root, shared_path(spark, "sample-state"), SAMPLE).awaitTermination()
+    drawn = sample_of(state(spark, root, sample_schema(rows)), SAMPLE)
+    return drawn.select(F.col(COMPLAINT_ID).alias("complaint_id"), CATEGORY, CLEANED)
+
+
+def one_scan_sample(spark, sf_dir):
+    """The stratified sample from one pass over the complaints."""
+    drawn = sample_of(least_rows(cleaned(spark, sf_dir), SAMPLE), SAMPLE)
+    return drawn.select(F.col(COMPLAINT_ID).alias("complaint_id"), CATEGORY, CLEANED)
+
+
+def updated_store(spark, sf_dir):
+    """A store of yesterday's chunks, some other, some missing and one too many, brought up to
+    date: only what differs is embedded, and the store holds today's chunks."""
+    chunks = chunking.chunk_fixed(cleaned_complaints(derive(texts(spark, sf_dir), DOCUMENT_COMPLAINTS, "documents")))
+    chunks = pinned(chunks, "today")
+    last = F.substring("complaint_id", -1, 1)
+    other = F.when(last == "3", F.concat("text", F.lit(" as it was"))).otherwise(F.col("text"))
+    before = chunks.where(last != "5").withColumn("text", other)
+    path = shared_path(spark, "updated")
+    write_store(before.unionByName(chunks.limit(1).withColumn("chunk_id", F.lit("gone"))), path)
+    update_store(chunks, path)
+    return read_store(spark, path).select("chunk_id", "text", F.size("embedding").cast("bigint").alias("dim"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -586,9 +714,10 @@ QUERIES: dict[str, Query] = {
         sample_balance, sample_all_rows, sample_ordered,
         chunk_fixed, chunk_recursive, chunk_recursive_lines, chunk_metadata, chunk_stats, chunk_trace,
         embed_index, prebuilt_store, knn_exact, knn_blocks, knn_filtered, knn_join_text, knn_ivf,
-        knn_ivf_measured, knn_ivf_all_cells, knn_ivf_trained,
-        retrieve_chunks, validated_questions, context_block, prompt, context_budget,
+        knn_ivf_measured, knn_ivf_all_cells, knn_ivf_trained, knn_codes, standing_answers,
+        retrieve_chunks, validated_questions, context_block, prompt, context_budget, prompt_token_budget,
         question_sources, answer_fallback, answer_within_budget, context_missing_metadata, source_cards, eval_report,
         run_stats, preprocess_job, parquet_cache_roundtrip, large_csv_scan, cleaned_csv_roundtrip, stream_clean_chunk,
+        broken_csv_scan, csv_stream, updated_store, running_counts, running_sample, one_scan_sample,
     )
 }
