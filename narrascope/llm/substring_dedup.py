@@ -3,10 +3,11 @@
 A gear hash rolls over the bytes of a text, and a chunk ends where its top bits are zero.
 The hash looks back sixteen bytes, so inside a repeated passage all texts are cut alike,
 whatever stands before it. Chunks are compared by digest; the first place of a digest, by
-document and offset, is its owner, and so is the first place in the text itself. Adjacent
-chunks that go on in one owner at one shift form a run. At either end the passage may reach into chunks that other text has changed or that have
-another owner: the bytes there are compared with those beside the owner's chunks, and the run
-is extended as far as they agree. Runs of one owner and shift that then touch are one. What
+document and offset, is its owner, and so is the place before it in the text itself, which
+takes a phrase repeated many times for a passage that repeats itself. Adjacent chunks that go on
+in one owner at one shift form a run. At either end the passage may reach into chunks that other
+text has changed or that have another owner: the bytes there are compared with those beside the
+owner's chunks, and the run is extended as far as they agree. Runs of one owner and shift that then touch are one. What
 covers ``min_words`` whole words in one owner is cut out; only then are spans merged. Owners
 come before what refers to them, so each passage is left in one place.
 
@@ -15,9 +16,8 @@ is everywhere is summed early, and its join can be split. Only the bytes beside
 looked up again.
 
 Defined results: null texts stay null and have no spans; empty texts stay empty; repeats
-inside one document are cut too, but for stretches of one word or phrase repeated that have
-no natural cuts (figures in the README); every row is kept, with an empty text if all of it repeats;
-rows with equal or null ids are documents of their own; an empty table gives an empty
+inside one document are cut too, of one phrase repeated all but the first; every row is kept,
+with an empty text if all of it repeats; rows with equal or null ids are documents of their own; an empty table gives an empty
 result; other columns are passed on.
 """
 
@@ -38,6 +38,8 @@ from narrascope.llm.common import col, in_slices, keyed, unused
 
 MIN_WORDS = 50
 MAX_CHUNK = 256
+#: Longer chunks are cut further.
+_WIDE_CHUNK = 128
 _LOOK_BACK = 16
 #: A chunk ends where these of the sixteen bits are zero, on average each 32 bytes.
 _MASK = np.uint16(0xF800)
@@ -62,9 +64,26 @@ def _rolling(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def _least_places(hashes: np.ndarray, start: int, end: int) -> list[int]:
+    """Ends inside a wide chunk where the hash of its own bytes is least, not too near, and so on
+    in what is still wide between them."""
+    found, left = [], [(start, end)]
+    while left:
+        start, end = left.pop()
+        inside = hashes[start + _LOOK_BACK - 1 : end - 1]
+        places = np.flatnonzero(inside == inside.min()) + start + _LOOK_BACK
+        kept = [start]
+        while (at := int(np.searchsorted(places, kept[-1] + _LOOK_BACK))) < places.size:
+            kept.append(int(places[at]))
+        found += kept[1:]
+        left += [(a, b) for a, b in zip(kept, [*kept[1:], end]) if b - a > _WIDE_CHUNK]
+    return found
+
+
 def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the chunks of texts that lie one behind another."""
-    cut = (_rolling(data) & _MASK) == 0
+    hashes = _rolling(data)
+    cut = (hashes & _MASK) == 0
     starts_of_texts = np.r_[0, ends[:-1]]
     # There the hash would look into the text before.
     for offset in range(_LOOK_BACK - 1):
@@ -73,6 +92,12 @@ def _cuts(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     cut[ends[ends > 0] - 1] = True
     bounds = np.flatnonzero(cut) + 1
     starts = np.r_[0, bounds[:-1]]
+    # Where no end is near, the places of the least hash are ends: a phrase repeated is cut into
+    # equal chunks, and alike whatever stands before it.
+    wide = np.flatnonzero(bounds - starts > _WIDE_CHUNK)
+    least = [_least_places(hashes, a, b) for a, b in zip(starts[wide].tolist(), bounds[wide].tolist())]
+    bounds = np.sort(np.concatenate([bounds, *[np.array(places, bounds.dtype) for places in least]]))
+    starts = np.r_[0, bounds[:-1]]
     parts = -(-(bounds - starts) // MAX_CHUNK)
     which = np.repeat(np.arange(bounds.size), parts)
     inside = np.arange(which.size) - np.repeat(np.cumsum(parts) - parts, parts)
@@ -95,13 +120,12 @@ def _chunks():
         text = np.searchsorted(ends, first, "right")
         rows = batch.column(0).to_numpy()[text]
         starts = first - np.r_[0, ends][text]
-        # The first of each digest in its text; chunks come in order.
+        # The place of the same digest before this one in its text, its own for the first.
         order = np.lexsort((first, digests, text))
         new = np.ones(order.size, bool)
         new[1:] = (digests[order][1:] != digests[order][:-1]) | (text[order][1:] != text[order][:-1])
-        lead = np.maximum.accumulate(np.where(new, np.arange(order.size), 0))
         own = np.empty(order.size, np.int64)
-        own[order] = starts[order][lead]
+        own[order] = starts[order][np.arange(order.size) - ~new]
         return pa.RecordBatch.from_arrays(
             [pa.array(rows, pa.int64()), pa.array(starts, pa.int32()), pa.array(last - first, pa.int32()),
              pa.array(digests), pa.array(own, pa.int32())],

@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -93,3 +94,43 @@ def test_passages_of_too_few_words_stay_side_by_side(spark):
     want = dict(rows)
     assert all(got[i] == t for i, t in want.items() if i != 7)
     assert len(got[7].split()) in range(79, 82) and b in got[7] and c[20:-20] not in got[7]
+
+
+def repeated_words(rows, n=50):
+    """Of each text its words' places, and which are in a window of ``n`` that stands earlier."""
+    seen, out = set(), {}
+    for ident, text in rows:
+        data = (text or "").encode()
+        places = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0d]+", data)]
+        found = set()
+        for i in range(len(places) - n + 1):
+            window = data[places[i][0] : places[i + n - 1][1]]
+            if window in seen:
+                found.update(range(i, i + n))
+            seen.add(window)
+        out[ident] = places, found
+    return out
+
+
+def test_all_windows_of_fifty_words(spark):
+    """Every window of 50 words of the documents against what is cut, in their order."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    want, text = repeated_words(rows), dict(rows)
+    got, spans = substring_dedup(docs)
+    repeated = cut = others = 0
+    for row in got.collect():
+        places, found = want[row.doc_id]
+        edges = [tuple(len(text[row.doc_id][:at].encode()) for at in (s.start, s.end)) for s in row[spans]]
+        gone = {i for i, (a, b) in enumerate(places) if any(x <= a and b <= y for x, y in edges)}
+        repeated, cut, others = repeated + len(found), cut + len(gone & found), others + len(gone - found)
+    assert cut >= 0.99 * repeated > 0 and others <= 0.001 * repeated
+
+
+def test_a_phrase_repeated_is_left_once(spark):
+    rng = random.Random(3)
+    a, b = words(rng, 40), words(rng, 40)
+    rows = [(1, f"{a} " + "ab cd " * 100 + b), (2, f"{b} " + "x" * 50 + " orantion" * 300 + f" {a}"), (3, f"{b} " + "Und " * 58 + "x")]
+    got = {r.doc_id: r.text for r in substring_dedup(frame(spark, rows))[0].collect()}
+    assert all(len(got[i].split()) < 40 + 40 + 20 for i in got)
+    assert got[1].startswith(a) and got[1].endswith(b) and got[2].startswith(b) and got[2].endswith(a)
