@@ -70,6 +70,16 @@ def pinned(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def pinned_next(df: DataFrame, name: str, before: str | None = None) -> tuple[DataFrame, str]:
+    """``pinned`` for the rounds of a loop: the rows of this round and their folder. That of the
+    round before, from which they were made, is deleted once they are written."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if before is not None:
+        release(df.sparkSession, before)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def release(spark: SparkSession, path: str) -> None:
     """Delete a folder under the shared folder whose rows are no longer needed."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
