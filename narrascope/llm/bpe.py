@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrascope.functions.bounds import pinned
+from narrascope.functions.bounds import pinned, pinned_next
 from narrascope.llm.common import SPACES, col, in_slices, keyed, lists_of, texts_of
 from narrascope.llm.tokens import TextEncoder
 
@@ -283,7 +283,7 @@ def _concatenated(texts: DataFrame, path: str) -> DataFrame:
     parts = pinned(in_slices(texts, _taken_apart(path), _PART, 1), "parts")
     leaves = parts.filter("leaves > 0").select("row", "part", F.col("leaf").alias("node"), F.col("leaves").alias("nodes"), "piece")
     leaves = leaves.repartition("row", "part", "node")
-    level = pinned(in_slices(leaves, _leaves(path), _NODE, 4), "tree")
+    level, place = pinned_next(in_slices(leaves, _leaves(path), _NODE, 4), "tree")
     height = level.agg(F.max("nodes")).head()[0] or 1
     while height > 1:
         node = F.struct("node", "piece", "ids", "sizes")
@@ -292,7 +292,7 @@ def _concatenated(texts: DataFrame, path: str) -> DataFrame:
         )
         up = up.select("row", "part", F.col("up").alias("node"), F.ceil(F.col("nodes") / 2).alias("nodes"),
                        F.col("both")[0]["piece"].alias("piece"), "both")
-        level = pinned(in_slices(up, _pairs(path), _NODE, 4), "tree")
+        level, place = pinned_next(in_slices(up, _pairs(path), _NODE, 4), "tree", place)
         height = -(-height // 2)
     done = parts.filter("leaves = 0").select("row", "part", "ids").unionByName(level.select("row", "part", "ids"))
     whole = done.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("part", "ids"))).alias("all"))

@@ -3,7 +3,8 @@
 Each round a vertex hands its larger neighbours, then its smaller ones, to the smallest
 vertex it knows. Only minima are aggregated, so a vertex with very many links is summed
 before the shuffle, and its join can be split. The rounds grow with the logarithm of the
-longest path. Every round is written to the shared folder, so nothing is computed again.
+longest path. Every round is written to the shared folder, so nothing is computed again, and
+the round before is deleted.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrascope.functions.bounds import pinned
+from narrascope.functions.bounds import pinned_next
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -32,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     links = links.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
-    links = pinned(links.distinct(), "links")
+    links, path = pinned_next(links.distinct(), "links")
     state = None
     while True:
         digest = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
@@ -40,6 +41,6 @@ def components(links: DataFrame) -> DataFrame:
         if now == state or not now[0]:
             break
         state = now
-        links = pinned(_small_star(_large_star(links)), "links")
+        links, path = pinned_next(_small_star(_large_star(links)), "links", path)
     roots = links.select(F.col("a").alias("vertex"), F.col("b").alias("root"))
     return roots.unionByName(links.select(F.col("b").alias("vertex"), F.col("b").alias("root")).distinct())

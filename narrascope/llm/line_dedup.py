@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrascope.functions.bounds import pinned, shared_path
+from narrascope.functions.bounds import pinned, release, shared_path
 from narrascope.llm.common import SPACES, col, in_batches, keyed, texts_of
 
 MIN_CHARS = 20
@@ -77,18 +77,25 @@ class LineRuns:
         self.spark = spark
         self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.prefix = f"line_run_{uuid.uuid4().hex}"
-        self.made = 0
+        self.paths: dict[str, str] = {}
         self.levels: list[tuple[int, str]] = []
 
     def _write(self, rows: DataFrame) -> str:
-        name = f"{self.prefix}_{self.made}"
-        self.made += 1
+        """A table in the shared folder; the warehouse may be a folder of one machine."""
+        name, path = f"{self.prefix}_{uuid.uuid4().hex}", shared_path(self.spark, "line-run")
+        self.paths[name] = path
         (
-            rows.repartition(self.buckets, *_HASH).write.format("parquet")
+            rows.repartition(self.buckets, *_HASH).write.format("parquet").option("path", path)
             .bucketBy(self.buckets, *_HASH).sortBy(*_HASH).saveAsTable(name)
         )
         return name
 
+    def drop(self, names: list[str] | None = None) -> None:
+        """Drop tables and delete their files, all that are left if none are named."""
+        for name in list(self.paths) if names is None else names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            release(self.spark, self.paths.pop(name))
+
     def add(self, lines: DataFrame) -> None:
         """Add a batch of (row, h1, h2), one row for each line of each document."""
         batch = lines.groupBy(*_HASH).agg(F.count("*").alias("docs"), F.max("row").alias("owner"))
@@ -107,8 +114,7 @@ class LineRuns:
         (level, old), (_, new) = self.levels[-2:]
         name = self._write(self._merged(self.spark.table(old), self.spark.table(new)))
         self.levels[-2:] = [(level + 1, name)]
-        for gone in (old, new):
-            self.spark.sql(f"DROP TABLE {gone}")
+        self.drop([old, new])
 
     @staticmethod
     def _merged(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -126,8 +132,7 @@ class LineRuns:
         for table in tables[1:]:
             whole = self._merged(whole, table)
         found = pinned(whole.filter(F.col("docs") >= min_docs).select(*_HASH, "owner"), "frequent")
-        for _, name in self.levels:
-            self.spark.sql(f"DROP TABLE {name}")
+        self.drop()
         self.levels = []
         return found
 
@@ -178,9 +183,14 @@ def line_dedup(
     ).parquet(path)
 
     runs = LineRuns(docs.sparkSession)
-    for number in range(batches):
-        runs.add(lines.filter((F.col("batch") == number) & F.col("first")).select("row", *_HASH))
-    gone = lines.join(runs.frequent(min_docs), _HASH).filter("row <> owner")
+    try:
+        for number in range(batches):
+            runs.add(lines.filter((F.col("batch") == number) & F.col("first")).select("row", *_HASH))
+        frequent = runs.frequent(min_docs)
+    except Exception:
+        runs.drop()
+        raise
+    gone = lines.join(frequent, _HASH).filter("row <> owner")
     gone = gone.groupBy("row").agg(F.collect_list("line").alias("gone"))
     with_gone = pairs.join(gone, "row", "left").select("row", "text", "gone")
     return in_batches(with_gone, _rebuilt, "row_key long, n_lines long, n_dropped long, text string")
