@@ -153,9 +153,15 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 out += [run for run in runs if run[2] < start]
                 runs = [run for run in runs if run[2] == start]
             before, going = going, {}
-            for key in {(owner, start - at), (row, start - own)} - {(row, 0)}:
+            keys = {(owner, start - at), (row, start - own)} - {(row, 0)}
+            # Inside a longer run none begins: one that goes on behind it begins there, and the
+            # bytes before are compared.
+            covered = any(key in before and start - before[key][1] >= _WIDE_CHUNK for key in keys)
+            for key in keys:
                 run = before.get(key)
                 if run is None:
+                    if covered:
+                        continue
                     run = [row, start, start, *key]
                     runs.append(run)
                 run[2] = start + size
