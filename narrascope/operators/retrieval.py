@@ -13,7 +13,7 @@ bound are cut into blocks, asked one after the other, so no chunk vector ever mo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
@@ -43,6 +43,8 @@ RECALL_QUESTIONS = 1024
 _CANDIDATES = 4
 _SCORES_AT_ONCE = 1 << 22
 _FEW_HITS = 100_000
+#: Sets of keys that questions may ask for: two to this power, a scan each.
+_MOST_KEYS = 6
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
@@ -328,6 +330,45 @@ def nearest_chunks(
     return _few(_top(partial, k), questions, k)
 
 
+def nearest_chunks_matching(
+    questions: DataFrame,
+    store: DataFrame,
+    keys: Sequence[str],
+    k: int | None = TOP_K,
+    *,
+    question_id: str = "question_id",
+    question_vector: str = "embedding",
+    chunk_id: str = "chunk_id",
+    chunk_vector: str = "embedding",
+    resident_limit: int = RESIDENT_QUESTIONS,
+) -> DataFrame:
+    """Exact top ``k`` among the chunks that agree with a question in all ``keys`` it gives.
+
+    ``keys`` are columns of both tables, compared as text; a null asks for no filter, and a chunk
+    without a value agrees with no question that asks for one. Questions that give the same keys
+    are ranked in one scan of the store, so there are as many scans as sets of keys are asked for.
+    """
+    k = k or TOP_K
+    if len(keys) > _MOST_KEYS:
+        raise ValueError(f"{len(keys)} keys, more than {_MOST_KEYS}")
+    given = [F.col(f"`{key}`").isNotNull().alias(f"_{i}") for i, key in enumerate(keys)]
+    parts = []
+    for asked in questions.select(*given).distinct().collect():
+        chosen = [key for key, is_given in zip(keys, asked) if is_given]
+        same = reduce(lambda a, b: a & b, (F.col(f"`{key}`").isNotNull() == F.lit(x) for key, x in zip(keys, asked)), F.lit(True))
+        value = F.to_json(F.array(*[F.col(f"`{key}`").cast("string") for key in chosen])) if chosen else F.lit(None)
+        parts.append(nearest_chunks(
+            questions.where(same).withColumn("_wanted", value.cast("string")),
+            store.withColumn("_wanted", value.cast("string")) if chosen else store,
+            k, question_id=question_id, question_vector=question_vector, chunk_id=chunk_id, chunk_vector=chunk_vector,
+            question_category="_wanted" if chosen else None, chunk_category="_wanted", resident_limit=resident_limit,
+        ))
+    if not parts:
+        return nearest_chunks(questions, store, k, question_id=question_id, question_vector=question_vector,
+                              chunk_id=chunk_id, chunk_vector=chunk_vector)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _score(asked: DataFrame, held: DataFrame, k: int, limit: int) -> tuple[DataFrame, int]:
     """Partial answers, from one scan of the chunks for each ``limit`` questions, and their number."""
     resident = small_rows(asked, limit)

@@ -402,6 +402,7 @@ ORACLES: dict[str, str] = {
             FROM embeddings v JOIN embeddings c ON c.vec_id < {CELLS}),
         {_knn(5, f"EXISTS (SELECT 1 FROM near a JOIN near b ON a.cell = b.cell WHERE a.vec_id = q.vec_id AND a.place <= {PROBES} AND b.vec_id = c.vec_id AND b.place = 1)")} {_HITS}""",
     "knn_filtered": f"WITH {_knn(3, 'q.label = c.label')} {_HITS}",
+    "knn_by_metadata": f"""WITH {_knn(3, '(q.vec_id % 2 <> 0 OR q.label = c.label) AND (q.vec_id % 5 <> 0 OR q.vec_id % 3 = c.vec_id % 3)')} {_HITS}""",
     "knn_join_text": f"""WITH {_knn(2)}
         SELECT question_id, rank, chunk_id, source, text FROM hits JOIN documents ON doc_id = chunk_id""",
     "retrieve_chunks": f"""WITH RECURSIVE {RETRIEVED}

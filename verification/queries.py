@@ -411,6 +411,18 @@ def knn_filtered(spark, sf_dir):
     )
 
 
+def knn_by_metadata(spark, sf_dir):
+    """Questions that ask for one, two or none of two things that chunks are told apart by."""
+    rows = _vectors(spark, sf_dir).withColumn("third", F.col("vec_id") % 3)
+    asked = rows.withColumns({
+        "label": F.when(F.col("vec_id") % 2 == 0, F.col("label")),
+        "third": F.when(F.col("vec_id") % 5 == 0, F.col("third")),
+    })
+    return hit_rows(
+        retrieval.nearest_chunks_matching(asked, rows, ["label", "third"], 3, question_id="vec_id", chunk_id="vec_id")
+    )
+
+
 def knn_join_text(spark, sf_dir):
     rows = _vectors(spark, sf_dir)
     found = retrieval.nearest_chunks(rows, rows, 2, question_id="vec_id", chunk_id="vec_id")
@@ -713,7 +725,7 @@ QUERIES: dict[str, Query] = {
         sample_quotas, sample_quotas_by_label, stratified_sample, stratified_sample_by_label,
         sample_balance, sample_all_rows, sample_ordered,
         chunk_fixed, chunk_recursive, chunk_recursive_lines, chunk_metadata, chunk_stats, chunk_trace,
-        embed_index, prebuilt_store, knn_exact, knn_blocks, knn_filtered, knn_join_text, knn_ivf,
+        embed_index, prebuilt_store, knn_exact, knn_blocks, knn_filtered, knn_by_metadata, knn_join_text, knn_ivf,
         knn_ivf_measured, knn_ivf_all_cells, knn_ivf_trained, knn_codes, standing_answers,
         retrieve_chunks, validated_questions, context_block, prompt, context_budget, prompt_token_budget,
         question_sources, answer_fallback, answer_within_budget, context_missing_metadata, source_cards, eval_report,
