@@ -45,8 +45,8 @@ _LOOK_BACK = 16
 _MASK = np.uint16(0xF800)
 #: A passage of 50 words has whole chunks of so many bytes but for rare cases.
 _MIN_RUN_BYTES = 48
-#: So far bytes beside a run are compared, more than most passages of 50 words have.
-_REACH = 512
+#: So far bytes beside a run are compared, more than nearly all chunks have.
+_REACH = 192
 _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _GEAR = np.array([xxhash.xxh64_intdigest(bytes([i]), 0x9EA2) & 0xFFFF for i in range(256)], np.uint16)
