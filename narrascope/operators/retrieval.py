@@ -6,7 +6,7 @@ on the order of additions; equal distances are ranked by chunk id.
 ``nearest_chunks`` keeps a question table of checked size resident in every task and
 scans the store once, where it lies. A task scores Arrow batches as matrix products and
 keeps k rows per question, so only partial answers are shuffled. More questions than the
-bound are cut into blocks, asked one after the other, so no chunk vector ever moves.
+bound are cut into blocks, asked a few at a time, so no chunk vector ever moves.
 ``nearest_chunks_by_cell`` looks only into the cells nearest to a question;
 ``nearest_chunks_by_code`` scans codes of a few bytes and reads vectors of candidates only.
 """
@@ -18,7 +18,6 @@ from dataclasses import dataclass
 from functools import cached_property, reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
@@ -42,6 +41,12 @@ RECALL = 0.9
 RECALL_QUESTIONS = 1024
 _CANDIDATES = 4
 _SCORES_AT_ONCE = 1 << 22
+#: Chunks that are scored at once: the first of a category, and at most.
+_FIRST_CHUNKS, _MOST_CHUNKS = 512, 4096
+#: Above any distance in units of its last place.
+_DISTANCES = 1 << 22
+#: Questions in the driver at once, and blocks of them that a job asks.
+_QUESTIONS_AT_ONCE, _BLOCKS_AT_ONCE = 32_768, 64
 _FEW_HITS = 100_000
 #: Sets of keys that questions may ask for: two to this power, a scan each.
 _MOST_KEYS = 6
@@ -97,11 +102,11 @@ def _places(similar: np.ndarray) -> np.ndarray:
 
 @dataclass
 class _Questions:
-    """Questions of one block: ids, unit vectors and the category each asks for."""
+    """Questions of one block: ids, vectors and the categories each asks for, null for any."""
 
     ids: pa.Array
-    categories: np.ndarray
-    vectors: np.ndarray
+    wanted: pa.Array
+    rows: np.ndarray
 
     @classmethod
     def of(cls, table: pa.Table) -> _Questions:
@@ -110,29 +115,36 @@ class _Questions:
         _one_length((lengths["min"], lengths["max"]))
         rows, kept = _usable(vectors, None)
         kept = pa.array(kept)
-        categories = _column(table, "wanted_category").take(kept)
-        return cls(
-            _column(table, "question_id").take(kept),
-            np.asarray(categories.to_pylist(), dtype=object),
-            _unit(rows),
-        )
+        return cls(_column(table, "question_id").take(kept), _column(table, "wanted").take(kept), rows)
 
-    def groups(self) -> Iterator[tuple[str | None, np.ndarray]]:
-        for category in dict.fromkeys(self.categories):
-            yield category, np.flatnonzero(self.categories == category)
+    @cached_property
+    def vectors(self) -> np.ndarray:
+        return _unit(self.rows)
+
+    @cached_property
+    def groups(self) -> dict[str | None, np.ndarray]:
+        """The places of the questions that ask for each category."""
+        places: dict[str | None, list[int]] = {}
+        for place, wanted in enumerate(self.wanted.to_pylist()):
+            for category in [None] if wanted is None else wanted:
+                places.setdefault(category, []).append(place)
+        return {category: np.array(found) for category, found in places.items()}
 
 
 class _Chunks:
     """Usable chunks of one batch, at unit length in the precision that is asked for."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray):
+    def __init__(self, ids: pa.Array, rows: np.ndarray):
         self.ids, self.rows = ids, rows
 
     def __len__(self) -> int:
         return len(self.ids)
 
     def take(self, places: np.ndarray) -> _Chunks:
-        return _Chunks(self.ids[places], self.rows[places])
+        return _Chunks(self.ids.take(pa.array(places)), self.rows[places])
+
+    def slice(self, start: int, end: int) -> _Chunks:
+        return _Chunks(self.ids.slice(start, end - start), self.rows[start:end])
 
     @cached_property
     def double(self) -> np.ndarray:
@@ -148,7 +160,7 @@ class _Chunks:
     @cached_property
     def id_order(self) -> np.ndarray:
         order = np.empty(len(self), np.int64)
-        order[np.argsort(self.ids, kind="stable")] = np.arange(len(self))
+        order[pc.sort_indices(self.ids, null_placement="at_start").to_numpy()] = np.arange(len(self))
         return order
 
 
@@ -156,56 +168,97 @@ class _Best:
     """The k best chunks per question seen so far by one task.
 
     ``worst`` is the k-th best distance of each question, in units of the last place kept.
-    Once it is known, a batch costs one matrix product and one comparison, and only chunks
-    that can still enter the ranking are looked at further.
+    Once it is known, a slice of a batch costs one matrix product and one comparison, and only
+    chunks that can still enter the ranking are looked at further. The first slices of a category
+    are short and each is as long as all before it, so that few chunks are ranked unseen.
     """
 
     def __init__(self, questions: _Questions, k: int):
         self.k = k
         self.questions = questions
         self.single = questions.vectors.astype(np.float32)
-        self.rows: pd.DataFrame | None = None
         self.worst = np.full(len(questions.vectors), np.inf)
+        self.seen = dict.fromkeys(questions.groups, 0)
+        # Rows in the order of questions: place of the question, distance, place among the ids.
+        self.question, self.distance, self.id_at = (np.empty(0, np.int64) for _ in range(3))
+        self.ids: pa.Array | None = None
 
     def offer(self, batch: pa.Table | pa.RecordBatch):
         rows, kept = _usable(_column(batch, "chunk_vector"), self.single.shape[1])
         if not len(kept):
             return
         kept = pa.array(kept)
-        ids = _column(batch, "chunk_id").take(kept).to_pylist()
-        chunks, held = _Chunks(np.asarray(ids, dtype=object), rows), None
-        for category, asked in self.questions.groups():
+        chunks, held = _Chunks(_column(batch, "chunk_id").take(kept), rows), None
+        for category, asked in self.questions.groups.items():
             if category is None:
-                self._add(asked, chunks)
+                self._add(category, asked, chunks)
                 continue
             if held is None:
-                held = _column(batch, "chunk_category").take(kept).to_pylist()
-                held = np.asarray(held, dtype=object)
-            self._add(asked, chunks.take(np.flatnonzero(held == category)))
+                held = _column(batch, "chunk_category").take(kept).dictionary_encode()
+                names = held.dictionary.to_pylist()
+                held = held.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            if category in names:
+                self._add(category, asked, chunks.take(np.flatnonzero(held == names.index(category))))
 
-    def _add(self, asked: np.ndarray, chunks: _Chunks):
+    def _add(self, category: str | None, asked: np.ndarray, chunks: _Chunks):
         """Rank chunks for the questions at these positions."""
-        if not len(chunks) or not len(asked):
+        start = 0
+        while start < len(chunks):
+            end = min(len(chunks), start + min(max(self.seen[category], _FIRST_CHUNKS), _MOST_CHUNKS))
+            part = chunks.slice(start, end)
+            step = max(1, _SCORES_AT_ONCE // len(part))
+            found = [self._candidates(asked[at : at + step], part) for at in range(0, len(asked), step)]
+            self._rank(*(np.concatenate(columns) for columns in zip(*found)), part.ids)
+            self.seen[category] += end - start
+            start = end
+
+    def _rank(self, question: np.ndarray, distance: np.ndarray, column: np.ndarray, ids: pa.Array):
+        """Take candidates of one slice, of chunks with these ids, into the ranking."""
+        if not len(question):
             return
-        step = max(1, _SCORES_AT_ONCE // len(chunks))
-        found = [
-            self._candidates(asked[at : at + step], chunks) for at in range(0, len(asked), step)
-        ]
-        found = [rows for rows in found if len(rows)]
-        if not found:
-            return
-        parts = found if self.rows is None else [self.rows, *found]
-        ranked = pd.concat(parts).sort_values(["question", "distance", "chunk_id"])
-        place = ranked.groupby("question").cumcount()
-        self.rows = ranked[place < self.k]
-        last = ranked[place == self.k - 1]
-        self.worst[last["question"]] = last["distance"]
-
-    def _candidates(self, asked: np.ndarray, chunks: _Chunks) -> pd.DataFrame:
+        used, at = np.unique(column, return_inverse=True)
+        ids = ids.take(pa.array(used))
+        before = 0 if self.ids is None else len(self.ids)
+        self.ids = ids if self.ids is None else pa.concat_arrays([self.ids, ids])
+        # Only questions that have candidates are ranked again.
+        touched = np.zeros(len(self.worst), bool)
+        touched[question] = True
+        again = touched[self.question]
+        old = self.question, self.distance, self.id_at
+        question, distance, id_at = (
+            np.concatenate([mine[again], new]) for mine, new in zip(old, (question, distance, at + before))
+        )
+        question, distance, id_at = self._first(question, distance, id_at)
+        full = np.flatnonzero(_place_in_run(question) == self.k - 1)
+        self.worst[question[full]] = distance[full]
+        new = question, distance, id_at
+        self.question, self.distance, self.id_at = (np.concatenate([mine[~again], n]) for mine, n in zip(old, new))
+        if len(self.ids) > 2 * len(self.question):
+            used, self.id_at = np.unique(self.id_at, return_inverse=True)
+            self.ids = self.ids.take(pa.array(used))
+
+    def _first(self, question: np.ndarray, distance: np.ndarray, id_at: np.ndarray):
+        """The k first rows of each question, by distance and among equal ones by id."""
+        key = question * _DISTANCES + distance
+        order = np.argsort(key, kind="stable")
+        key, id_at = key[order], id_at[order]
+        place = _place_in_run(key // _DISTANCES)
+        # Ids only decide where equal distances lie on both sides of the last place.
+        last = np.flatnonzero(place == self.k)
+        tied = np.flatnonzero(np.isin(key, key[last[key[last] == key[last - 1]]]))
+        if tied.size:
+            rows = pa.table({"key": key[tied], "id": self.ids.take(pa.array(id_at[tied]))})
+            by_id = pc.sort_indices(rows, [("key", "ascending"), ("id", "ascending")], null_placement="at_start").to_numpy()
+            id_at[tied] = id_at[tied][by_id]
+        keep = place < self.k
+        return key[keep] // _DISTANCES, key[keep] % _DISTANCES, id_at[keep]
+
+    def _candidates(self, asked: np.ndarray, chunks: _Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of questions, distances and places of chunks that may be ranked."""
         vectors = self.questions.vectors
         row, column = self._near(asked, chunks)
         if row is not None:
-            similar = np.einsum("ij,ij->i", vectors[asked[row]], _unit(chunks.rows[column]))
+            similar = np.einsum("ij,ij->i", vectors[asked[row]], chunks.double[column])
         else:
             every = vectors[asked] @ chunks.double.T
             # Distance and id in one integer: no ties, however many copies a chunk has.
@@ -214,13 +267,7 @@ class _Best:
             column = np.argpartition(order, k - 1, axis=1)[:, :k].ravel()
             row = np.repeat(np.arange(len(asked)), k)
             similar = every[row, column]
-        return pd.DataFrame(
-            {
-                "question": asked[row],
-                "distance": _places(similar),
-                "chunk_id": chunks.ids[column],
-            }
-        )
+        return asked[row], _places(similar), column
 
     def _near(self, asked: np.ndarray, chunks: _Chunks):
         """Pairs that can still be ranked, or nothing when they are not few.
@@ -236,22 +283,27 @@ class _Best:
         near = self.single[asked] @ chunks.single.T >= floor[:, None]
         if np.count_nonzero(near) > _CANDIDATES * self.k * len(asked):
             return None, None
-        return np.nonzero(near)
+        return np.divmod(np.flatnonzero(near), len(chunks))
 
-    def table(self, id_type: pa.DataType) -> pa.Table | None:
-        if self.rows is None or self.rows.empty:
+    def table(self) -> pa.Table | None:
+        if self.ids is None:
             return None
         return pa.table(
             {
-                "question_id": self.questions.ids.take(
-                    pa.array(self.rows["question"].to_numpy())
-                ),
-                "chunk_id": pa.array(self.rows["chunk_id"].tolist(), id_type),
-                "distance": pa.array(self.rows["distance"].to_numpy() / 10**PLACES),
+                "question_id": self.questions.ids.take(pa.array(self.question)),
+                "chunk_id": self.ids.take(pa.array(self.id_at)),
+                "distance": pa.array(self.distance / 10**PLACES),
             }
         )
 
 
+def _place_in_run(values: np.ndarray) -> np.ndarray:
+    """Place of each of sorted values among its equals."""
+    at = np.arange(len(values))
+    begins = np.r_[True, values[1:] != values[:-1]][: len(values)]
+    return at - np.maximum.accumulate(np.where(begins, at, 0))
+
+
 def _partial_schema(questions: DataFrame, store: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -282,6 +334,11 @@ def _ask(df: DataFrame, ident: str, vector: str, category: str | None) -> DataFr
     )
 
 
+def _wanting(asked: DataFrame, wanted: Column) -> DataFrame:
+    """Questions with the array of categories each asks for, null for any."""
+    return asked.select("question_id", wanted.cast("array<string>").alias("wanted"), "question_vector")
+
+
 def _hold(df: DataFrame, ident: str, vector: str, category: str | None, *others: str) -> DataFrame:
     held = F.col(category) if category else F.lit(None)
     return df.select(
@@ -326,7 +383,8 @@ def nearest_chunks(
     k = k or TOP_K
     asked = _ask(questions, question_id, question_vector, question_category)
     held = _hold(store, chunk_id, chunk_vector, chunk_category if question_category else None)
-    partial, questions = _score(asked, held, k, resident_limit)
+    one = F.when(F.col("wanted_category").isNotNull(), F.array("wanted_category"))
+    partial, questions = _score(_wanting(asked, one), held, k, resident_limit)
     return _few(_top(partial, k), questions, k)
 
 
@@ -375,26 +433,34 @@ def _score(asked: DataFrame, held: DataFrame, k: int, limit: int) -> tuple[DataF
     if resident is not None:
         return _score_resident(resident, asked, held, k), resident.num_rows
     asked = pinned(asked, "questions")
-    return _score_question_blocks(asked, held, k, limit), asked.count()
+    number = asked.count()
+    return _score_question_blocks(asked, number, held, k, limit), number
 
 
-def _score_question_blocks(asked: DataFrame, held: DataFrame, k: int, size: int) -> DataFrame:
+def _score_question_blocks(asked: DataFrame, number: int, held: DataFrame, k: int, size: int) -> DataFrame:
     """Answers of any number of written questions, one scan of the store a block.
 
-    Blocks are drawn by hash of the row's place, so they are even whatever ids repeat. One block
-    after the other is resident and its answers are written, so the driver and the tasks never
-    hold more than one. No chunk vector is shuffled; a block is bounded by ``size`` but for the
-    draw.
+    Blocks are drawn by hash of the row's place, so they are even whatever ids repeat. A few blocks
+    at a time are in the driver; each is resident in tasks of its own, of one job, whose answers are
+    written. So the driver holds a bounded number of questions and a task one block. No chunk
+    vector is shuffled; a block is bounded by ``size`` but for the draw.
     """
-    blocks = -(-asked.count() // size)
+    blocks = -(-number // size)
     _one_length(asked.agg(F.min(F.size("question_vector")), F.max(F.size("question_vector"))).head())
-    numbered = asked.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)))
-    drawn = pinned(numbered, "question-blocks")
+    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
+    drawn = pinned(asked.withColumn("block", drawn.cast("int")), "question-blocks")
+    together = max(1, min(_BLOCKS_AT_ONCE, _QUESTIONS_AT_ONCE // size))
     parts = []
-    for i in range(blocks):
-        block = drawn.where(F.col("block") == i).drop("block").toArrow()
-        best = _top(_score_resident(block, asked, held, k), k)
-        parts.append(pinned(best.drop("rank"), "block-answers"))
+    for first in range(0, blocks, together):
+        some = drawn.where((F.col("block") >= first) & (F.col("block") < first + together)).toArrow()
+        blocks_of = some.column("block").combine_chunks().to_numpy()
+        found = [
+            _score_resident(some.filter(pa.array(blocks_of == block)).drop_columns("block"), asked, held, k)
+            for block in np.unique(blocks_of)
+        ]
+        if found:
+            best = _top(reduce(DataFrame.union, found), k)
+            parts.append(pinned(best.drop("rank"), "block-answers"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -405,18 +471,17 @@ def _one_length(found) -> None:
 
 
 def _score_resident(resident: pa.Table, asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
-    wanted = set(resident.column("wanted_category").to_pylist())
-    if wanted and None not in wanted:
+    lists = resident.column("wanted").combine_chunks()
+    if len(lists) and not lists.null_count:
         # As a literal list this prunes the partitions of a store laid out by category.
-        held = held.where(F.col("chunk_category").isin(*sorted(wanted)))
+        held = held.where(F.col("chunk_category").isin(*sorted(set(lists.flatten().to_pylist()))))
     block = _Questions.of(resident)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, id_type = _Best(block, k), pa.string()
+        best = _Best(block, k)
         for batch in batches:
-            id_type = batch.schema.field("chunk_id").type
             best.offer(batch)
-        answer = best.table(id_type)
+        answer = best.table()
         if answer is not None:
             yield from answer.to_batches()
 
@@ -529,9 +594,9 @@ def nearest_chunks_by_cell(
     """Approximate top ``k`` from the ``probes`` cells nearest to each question.
 
     Without ``probes``, as many as ``enough_probes`` measures. Probing every cell gives the
-    exact answer. A question and a cell together are asked
-    like a question about a category, so chunks are scored where they lie and only cells
-    that some question probes are read.
+    exact answer. A question asks for its cells like for
+    categories, so it is held once however many it probes, chunks are scored where they lie and
+    only cells that some question probes are read.
     """
     k = k or TOP_K
     if probes is None:
@@ -541,28 +606,25 @@ def nearest_chunks_by_cell(
             chunk_category=chunk_category,
         )
     asked = _ask(questions, question_id, question_vector, question_category)
-    asked = pinned(
-        asked.withColumn("cell", F.explode(_nearest_cells(F.col("question_vector"), centres, probes))),
-        "visits",
-    )
+    asked = asked.withColumn("cells", _nearest_cells(F.col("question_vector"), centres, probes))
+    asked = pinned(asked.where(F.size("cells") > 0), "visits")
     category = chunk_category if question_category else None
     held = _hold(store, chunk_id, chunk_vector, category, "cell")
     # There are no more probed cells than centres, which the driver holds anyway.
-    visited = [row.cell for row in asked.select("cell").distinct().collect()]
+    visited = [row.cell for row in asked.select(F.explode("cells").alias("cell")).distinct().collect()]
     held = held.where(F.col("cell").isin(visited))
-    parts, visits = [], 0
+    parts, number = [], 0
     for open_to_all in (True, False) if question_category else (True,):
         own = asked.where(F.col("wanted_category").isNull() == F.lit(open_to_all))
-        names = [F.col("cell").cast("string")], [F.col("cell").cast("string")]
+        wanted, name = F.col("cells"), [F.col("cell").cast("string")]
         if not open_to_all:
-            names[0].append(F.col("wanted_category"))
-            names[1].append(F.coalesce("chunk_category", F.lit("")))
-        asking = own.withColumn("wanted_category", F.concat_ws(" ", *names[0])).drop("cell")
-        holding = held.withColumn("chunk_category", F.concat_ws(" ", *names[1])).drop("cell")
-        partial, number = _score(asking, holding, k, resident_limit)
+            wanted = F.transform("cells", lambda cell: F.concat_ws(" ", cell, F.col("wanted_category")))
+            name.append(F.coalesce("chunk_category", F.lit("")))
+        holding = held.withColumn("chunk_category", F.concat_ws(" ", *name)).drop("cell")
+        partial, own_number = _score(_wanting(own, wanted), holding, k, resident_limit)
         parts.append(partial)
-        visits += number
-    return _few(_top(reduce(DataFrame.unionByName, parts), k), visits, k)
+        number += own_number
+    return _few(_top(reduce(DataFrame.unionByName, parts), k), number, k)
 
 
 def _nearest_cells(vector: Column, centres: np.ndarray, probes: int) -> Column:

@@ -176,3 +176,58 @@ def test_codes(spark, data):
     assert rows(every) == brute(asked, store, 4)
     with pytest.raises(ValueError, match="cannot be cut"):
         retrieval.train_codes(chunks, 7)
+
+
+def numbered(spark, n):
+    return spark.createDataFrame(list(enumerate(vectors(n).tolist())), "id long, embedding array<float>")
+
+
+def test_questions_of_a_few_blocks_are_asked_in_one_job(spark, monkeypatch):
+    table = numbered(spark, 60)
+    written, pinned = [], retrieval.pinned
+    monkeypatch.setattr(retrieval, "pinned", lambda df, name: written.append(name) or pinned(df, name))
+    found = retrieval.nearest_chunks(table, table, 3, question_id="id", chunk_id="id", resident_limit=10)
+    whole = retrieval.nearest_chunks(table, table, 3, question_id="id", chunk_id="id")
+    assert rows(found) == rows(whole)
+    assert written.count("block-answers") == 1
+
+
+def test_a_question_is_held_once_however_many_cells_it_probes(spark, monkeypatch):
+    table = numbered(spark, 60)
+    centres = retrieval.train_cells(table, 4)
+    celled = retrieval.assign_cells(table, centres)
+    held, score = [], retrieval._score_resident
+    monkeypatch.setattr(retrieval, "_score_resident", lambda block, *rest: held.append(block.num_rows) or score(block, *rest))
+    found = retrieval.nearest_chunks_by_cell(table, celled, centres, 3, 4, question_id="id", chunk_id="id", resident_limit=60)
+    whole = retrieval.nearest_chunks(table, table, 3, question_id="id", chunk_id="id")
+    assert rows(found) == rows(whole)
+    assert held[0] == 60
+
+
+def test_few_pairs_are_scored_twice_and_ties_go_to_the_least_id(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    asked, chunks = rng.normal(size=(300, 16)), rng.normal(size=(6000, 16)).astype(np.float32)
+    chunks[3000:5000] = chunks[17]  # copies of one chunk
+    asked[7] = chunks[17]
+    scored, places = [], retrieval._places
+    monkeypatch.setattr(retrieval, "_places", lambda similar: scored.append(similar.size) or places(similar))
+    order = rng.permutation(6000)
+    ids = np.array([f"c{i:04}" for i in range(6000)])
+
+    def lists(rows):
+        return pa.FixedSizeListArray.from_arrays(pa.array(rows.ravel()), 16).cast(pa.list_(pa.from_numpy_dtype(rows.dtype)))
+
+    block = retrieval._Questions(pa.array(range(300)), pa.nulls(300, pa.list_(pa.string())), asked)
+    best = retrieval._Best(block, 5)
+    for at in range(0, 6000, 2500):
+        part = order[at : at + 2500]
+        best.offer(pa.table({"chunk_id": ids[part], "chunk_vector": lists(chunks[part])}))
+    pairs, scored = sum(scored), scored.clear()
+    found = best.table().to_pandas().sort_values(["question_id", "distance", "chunk_id"])
+    unit = lambda rows: rows / np.linalg.norm(rows, axis=1)[:, None]
+    far = np.rint((1 - unit(asked) @ unit(chunks.astype(float)).T) * 1e6)
+    for question, mine in found.groupby("question_id"):
+        assert mine["chunk_id"].tolist() == ids[np.lexsort((ids, far[question]))[:5]].tolist()
+    assert pairs < 300 * 6000 / 2
