@@ -15,6 +15,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,24 +86,21 @@ def embed(
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = factory()
         for batch in batches:
-            texts = batch.to_pylist()
-            present = [t for t in texts if t is not None]
+            known = np.flatnonzero(batch.is_valid().to_numpy(zero_copy_only=False))
+            # Texts and double precision of one call at a time; the batch is held as it is returned.
             parts = [
-                _rows_for(present[i : i + batch_size], encoder)
-                for i in range(0, len(present), batch_size)
+                _rows_for(batch.take(pa.array(known[i : i + batch_size])).to_pylist(), encoder).astype(np.float32)
+                for i in range(0, len(known), batch_size)
             ]
             if len({part.shape[1] for part in parts}) > 1:
                 raise ValueError("the encoder gives vectors of different lengths")
-            flat = np.concatenate(parts) if parts else np.zeros((0, 0))
-            lengths = np.fromiter(
-                (0 if t is None else flat.shape[1] for t in texts), np.int32, len(texts)
-            )
+            lengths = np.zeros(len(batch), np.int64)
+            lengths[known] = parts[0].shape[1] if parts else 0
             offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-            missing = np.fromiter((t is None for t in texts), bool, len(texts))
+            flat = np.concatenate(parts) if parts else np.zeros((0, 0), np.float32)
+            del parts
             yield pa.ListArray.from_arrays(
-                pa.array(offsets),
-                pa.array(flat.astype(np.float32).ravel()),
-                mask=pa.array(missing),
+                pa.array(offsets), pa.array(flat.ravel()), mask=pc.is_null(batch)
             )
 
     return encode(c)

@@ -12,7 +12,9 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +22,8 @@ from pyspark.sql import types as T
 from narrascope.functions.text import strip
 from narrascope.schema import CHUNK_OVERLAP, CHUNK_SEPARATORS, CHUNK_SIZE
 
+_TEXTS_BYTES = 1 << 20
+
 
 def _check(size: int, overlap: int) -> None:
     if not 0 <= overlap < size:
@@ -103,6 +107,14 @@ def split_text(
     return [p for p in pieces if p]
 
 
+def _few_texts(texts: pa.Array, most: int = _TEXTS_BYTES) -> Iterator[pa.Array]:
+    """Texts in runs of about ``most`` bytes, or one text where it has more."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(sizes, dtype=np.int64) // most
+    edges = np.r_[0, np.flatnonzero(np.diff(part)) + 1, len(texts)].tolist()
+    return (texts.slice(a, b - a) for a, b in pairwise(edges) if b > a)
+
+
 def split_recursive(
     c: Column,
     size: int = CHUNK_SIZE,
@@ -115,12 +127,15 @@ def split_recursive(
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(texts: pa.Array) -> pa.Array:
-        return pa.array(
-            [
-                None if t is None else split_text(t, size, overlap, separators)
-                for t in texts.to_pylist()
-            ],
-            pa.list_(pa.string()),
-        )
+        kind = pa.list_(pa.string())
+        # Python strings of a few texts at a time; what is cut is held by Arrow.
+        parts = [
+            pa.array(
+                [None if t is None else split_text(t, size, overlap, separators) for t in part.to_pylist()],
+                kind,
+            )
+            for part in _few_texts(texts)
+        ]
+        return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
     return split(c)
