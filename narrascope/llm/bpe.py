@@ -188,8 +188,7 @@ def _taken_apart(path: str):
             ready: list[int] = []
             for run in text.encode().split():
                 if len(run) <= LONG_CHARS:
-                    encoder.words.add([run])
-                    ready += np.frombuffer(encoder.words[run], "<u4").tolist()
+                    ready += np.frombuffer(encoder.words.of([run])[0], "<u4").tolist()
                     continue
                 for ids, piece in encoder.pieces(run.decode()):
                     if piece is None:

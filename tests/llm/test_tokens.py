@@ -53,6 +53,22 @@ def test_cut_texts_encode_like_whole_ones():
         assert decoded == wordy.tokenizer.decode(plain(text), skip_special_tokens=False)
 
 
+def test_signs_behind_words_are_parts_of_their_own():
+    encoder, plain = TextEncoder(BYTES), library(BYTES)
+    sent, encode = [], encoder.words.encode_words
+    encoder.words.encode_words = lambda words: sent.extend(words) or encode(words)
+    for end in ".,;:!?)%$":
+        text = f"zebra zebra{end} crossing{end}"
+        assert encoder.ids(text).tolist() == plain(text)
+    # The library meets each word once, whatever signs follow it.
+    assert sent.count(b" zebra") == sent.count(b" crossing") == 1 and len(sent) == 3 + 9
+    rng = random.Random(5)
+    bits = [*"aZé0_-.,'|<>~\x7f\x1c", " ", " ", "  ", "\n", "<|endoftext|>", "<|endoftext|", "endoftext|>", "'ll", "n't", "ß", "\u200b"]
+    for _ in range(1500):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(1, 30)))
+        assert encoder.ids(text).tolist() == plain(text), text
+
+
 @pytest.mark.parametrize("window", [2, 8])
 def test_joined_trees_equal_the_whole(monkeypatch, window):
     monkeypatch.setattr(bpe_module, "_WINDOW_TOKENS", window)
