@@ -45,8 +45,8 @@ _SCORES_AT_ONCE = 1 << 22
 _FIRST_CHUNKS, _MOST_CHUNKS = 512, 4096
 #: Above any distance in units of its last place.
 _DISTANCES = 1 << 22
-#: Questions in the driver at once, and blocks of them that a job asks.
-_QUESTIONS_AT_ONCE, _BLOCKS_AT_ONCE = 32_768, 64
+#: Questions in the driver at once, which a job asks.
+_QUESTIONS_AT_ONCE = 32_768
 _FEW_HITS = 100_000
 #: Sets of keys that questions may ask for: two to this power, a scan each.
 _MOST_KEYS = 6
@@ -184,33 +184,15 @@ class _Best:
         self.ids: pa.Array | None = None
 
     def offer(self, batch: pa.Table | pa.RecordBatch):
-        rows, kept = _usable(_column(batch, "chunk_vector"), self.single.shape[1])
-        if not len(kept):
-            return
-        kept = pa.array(kept)
-        chunks, held = _Chunks(_column(batch, "chunk_id").take(kept), rows), None
-        for category, asked in self.questions.groups.items():
-            if category is None:
-                self._add(category, asked, chunks)
-                continue
-            if held is None:
-                held = _column(batch, "chunk_category").take(kept).dictionary_encode()
-                names = held.dictionary.to_pylist()
-                held = held.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            if category in names:
-                self._add(category, asked, chunks.take(np.flatnonzero(held == names.index(category))))
+        _offer([self], batch)
 
-    def _add(self, category: str | None, asked: np.ndarray, chunks: _Chunks):
-        """Rank chunks for the questions at these positions."""
-        start = 0
-        while start < len(chunks):
-            end = min(len(chunks), start + min(max(self.seen[category], _FIRST_CHUNKS), _MOST_CHUNKS))
-            part = chunks.slice(start, end)
-            step = max(1, _SCORES_AT_ONCE // len(part))
-            found = [self._candidates(asked[at : at + step], part) for at in range(0, len(asked), step)]
-            self._rank(*(np.concatenate(columns) for columns in zip(*found)), part.ids)
-            self.seen[category] += end - start
-            start = end
+    def add(self, category: str | None, part: _Chunks):
+        """Rank the chunks of one slice for the questions that ask for their category."""
+        asked = self.questions.groups[category]
+        step = max(1, _SCORES_AT_ONCE // len(part))
+        found = [self._candidates(asked[at : at + step], part) for at in range(0, len(asked), step)]
+        self._rank(*(np.concatenate(columns) for columns in zip(*found)), part.ids)
+        self.seen[category] += len(part)
 
     def _rank(self, question: np.ndarray, distance: np.ndarray, column: np.ndarray, ids: pa.Array):
         """Take candidates of one slice, of chunks with these ids, into the ranking."""
@@ -297,6 +279,36 @@ class _Best:
         )
 
 
+def _offer(blocks: Sequence[_Best], batch: pa.Table | pa.RecordBatch):
+    """Rank the chunks of a batch for every block of questions; a slice is made ready once for all."""
+    blocks = [best for best in blocks if len(best.single)]
+    if not blocks:
+        return
+    rows, kept = _usable(_column(batch, "chunk_vector"), blocks[0].single.shape[1])
+    if not len(kept):
+        return
+    kept = pa.array(kept)
+    chunks, held = _Chunks(_column(batch, "chunk_id").take(kept), rows), None
+    for category in dict.fromkeys(category for best in blocks for category in best.questions.groups):
+        asking = [best for best in blocks if category in best.questions.groups]
+        found = chunks
+        if category is not None:
+            if held is None:
+                held = _column(batch, "chunk_category").take(kept).dictionary_encode()
+                names = held.dictionary.to_pylist()
+                held = held.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            if category not in names:
+                continue
+            found = chunks.take(np.flatnonzero(held == names.index(category)))
+        start = 0
+        while start < len(found):
+            end = min(len(found), start + min(max(asking[0].seen[category], _FIRST_CHUNKS), _MOST_CHUNKS))
+            part = found.slice(start, end)
+            for best in asking:
+                best.add(category, part)
+            start = end
+
+
 def _place_in_run(values: np.ndarray) -> np.ndarray:
     """Place of each of sorted values among its equals."""
     at = np.arange(len(values))
@@ -378,7 +390,8 @@ def nearest_chunks(
     lengths are an error.
 
     Up to ``resident_limit`` questions are kept in every task and the store is scanned once;
-    more are taken in blocks of that size, with a scan for each. Results are the same.
+    more are taken in blocks of that size, with a scan for each, or for as many small ones as
+    have ``RESIDENT_QUESTIONS`` questions. Results are the same.
     """
     k = k or TOP_K
     asked = _ask(questions, question_id, question_vector, question_category)
@@ -438,25 +451,28 @@ def _score(asked: DataFrame, held: DataFrame, k: int, limit: int) -> tuple[DataF
 
 
 def _score_question_blocks(asked: DataFrame, number: int, held: DataFrame, k: int, size: int) -> DataFrame:
-    """Answers of any number of written questions, one scan of the store a block.
-
-    Blocks are drawn by hash of the row's place, so they are even whatever ids repeat. A few blocks
-    at a time are in the driver; each is resident in tasks of its own, of one job, whose answers are
-    written. So the driver holds a bounded number of questions and a task one block. No chunk
-    vector is shuffled; a block is bounded by ``size`` but for the draw.
+    """Answers of any number of written questions, in blocks of ``size`` at most.
+
+    A scan of the store serves one block, or as many small ones as have ``RESIDENT_QUESTIONS``
+    questions, so the number of scans does not grow as blocks get smaller. Questions are drawn
+    by hash of the row's place, so scans are even whatever ids repeat. The questions of a few
+    scans at a time are in the driver; each is a set of tasks of one job, whose answers are
+    written. So the driver and a task hold a bounded number of questions. No chunk vector is
+    shuffled; the questions of a scan are bounded but for the draw.
     """
-    blocks = -(-number // size)
+    most = max(size, RESIDENT_QUESTIONS)
+    scans = -(-number // most)
     _one_length(asked.agg(F.min(F.size("question_vector")), F.max(F.size("question_vector"))).head())
-    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
-    drawn = pinned(asked.withColumn("block", drawn.cast("int")), "question-blocks")
-    together = max(1, min(_BLOCKS_AT_ONCE, _QUESTIONS_AT_ONCE // size))
+    drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(scans))
+    drawn = pinned(asked.withColumn("scan", drawn.cast("int")), "question-blocks")
+    together = max(1, _QUESTIONS_AT_ONCE // most)
     parts = []
-    for first in range(0, blocks, together):
-        some = drawn.where((F.col("block") >= first) & (F.col("block") < first + together)).toArrow()
-        blocks_of = some.column("block").combine_chunks().to_numpy()
+    for first in range(0, scans, together):
+        some = drawn.where((F.col("scan") >= first) & (F.col("scan") < first + together)).toArrow()
+        scan_of = some.column("scan").combine_chunks().to_numpy()
         found = [
-            _score_resident(some.filter(pa.array(blocks_of == block)).drop_columns("block"), asked, held, k)
-            for block in np.unique(blocks_of)
+            _score_resident(some.filter(pa.array(scan_of == scan)).drop_columns("scan"), asked, held, k, size)
+            for scan in np.unique(scan_of)
         ]
         if found:
             best = _top(reduce(DataFrame.union, found), k)
@@ -470,20 +486,23 @@ def _one_length(found) -> None:
         raise ValueError(f"question vectors of different lengths, from {found[0]} to {found[1]}")
 
 
-def _score_resident(resident: pa.Table, asked: DataFrame, held: DataFrame, k: int) -> DataFrame:
+def _score_resident(resident: pa.Table, asked: DataFrame, held: DataFrame, k: int, size: int | None = None) -> DataFrame:
+    """Answers of one scan of the chunks to resident questions, ranked in blocks of ``size`` at most."""
     lists = resident.column("wanted").combine_chunks()
     if len(lists) and not lists.null_count:
         # As a literal list this prunes the partitions of a store laid out by category.
         held = held.where(F.col("chunk_category").isin(*sorted(set(lists.flatten().to_pylist()))))
-    block = _Questions.of(resident)
+    number = max(1, resident.num_rows)
+    step = -(-number // -(-number // (size or number)))
+    blocks = [_Questions.of(resident.slice(at, step).combine_chunks()) for at in range(0, number, step)]
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = _Best(block, k)
+        best = [_Best(block, k) for block in blocks]
         for batch in batches:
-            best.offer(batch)
-        answer = best.table()
-        if answer is not None:
-            yield from answer.to_batches()
+            _offer(best, batch)
+        for answer in (one.table() for one in best):
+            if answer is not None:
+                yield from answer.to_batches()
 
     return held.mapInArrow(score, _partial_schema(asked, held))
 

@@ -204,6 +204,20 @@ def test_a_question_is_held_once_however_many_cells_it_probes(spark, monkeypatch
     assert held[0] == 60
 
 
+def test_small_blocks_share_a_scan(spark, data, monkeypatch):
+    asked, store = data
+    scans, score = [], retrieval._score_resident
+    monkeypatch.setattr(retrieval, "_score_resident", lambda block, *rest: scans.append(block.num_rows) or score(block, *rest))
+    arguments = spark.createDataFrame(asked, ASKED), spark.createDataFrame(store, STORE).repartition(3), 4
+    found = retrieval.nearest_chunks(*arguments, question_category="wanted", resident_limit=2)
+    assert rows(found) == brute(asked, store, 4)
+    assert scans == [len(asked)]
+    monkeypatch.setattr(retrieval, "RESIDENT_QUESTIONS", 6)
+    found = retrieval.nearest_chunks(*arguments, question_category="wanted", resident_limit=2)
+    assert rows(found) == brute(asked, store, 4)
+    assert len(scans) <= 1 + -(-len(asked) // 6)
+
+
 def test_few_pairs_are_scored_twice_and_ties_go_to_the_least_id(monkeypatch):
     import pyarrow as pa
 
