@@ -41,6 +41,8 @@ RECALL = 0.9
 RECALL_QUESTIONS = 1024
 _CANDIDATES = 4
 _SCORES_AT_ONCE = 1 << 22
+#: Pairs whose vectors are fetched at once.
+_PAIRS_AT_ONCE = 256
 #: Chunks that are scored at once: the first of a category, and at most.
 _FIRST_CHUNKS, _MOST_CHUNKS = 512, 4096
 #: Above any distance in units of its last place.
@@ -240,7 +242,7 @@ class _Best:
         vectors = self.questions.vectors
         row, column = self._near(asked, chunks)
         if row is not None:
-            similar = np.einsum("ij,ij->i", vectors[asked[row]], chunks.double[column])
+            similar = _products(vectors, asked[row], chunks.double, column)
         else:
             every = vectors[asked] @ chunks.double.T
             # Distance and id in one integer: no ties, however many copies a chunk has.
@@ -255,17 +257,23 @@ class _Best:
         """Pairs that can still be ranked, or nothing when they are not few.
 
         A product in single precision decides, with slack for rounding and for its error;
-        the pairs it lets through are scored again in double precision.
+        the pairs it lets through are scored again in double precision. A question that has not
+        seen k chunks yet goes by the k-th best of these.
         """
         worst = self.worst[asked]
-        if np.isinf(worst).any():
+        unknown = np.flatnonzero(np.isinf(worst))
+        if len(unknown) and len(chunks) <= self.k:
             return None, None
+        similar = self.single[asked] @ chunks.single.T
+        floor = 1.0 - worst / 10**PLACES
+        if len(unknown):
+            seen = similar if len(unknown) == len(asked) else similar[unknown]
+            floor[unknown] = np.partition(seen, len(chunks) - self.k, axis=1)[:, len(chunks) - self.k]
         slack = 1.0 / 10**PLACES + 2 * self.single.shape[1] * np.finfo(np.float32).eps
-        floor = (1.0 - worst / 10**PLACES - slack).astype(np.float32)
-        near = self.single[asked] @ chunks.single.T >= floor[:, None]
+        near = similar >= (floor - slack).astype(np.float32)[:, None]
         if np.count_nonzero(near) > _CANDIDATES * self.k * len(asked):
             return None, None
-        return np.divmod(np.flatnonzero(near), len(chunks))
+        return np.divmod(_true_places(near), len(chunks))
 
     def table(self) -> pa.Table | None:
         if self.ids is None:
@@ -309,6 +317,28 @@ def _offer(blocks: Sequence[_Best], batch: pa.Table | pa.RecordBatch):
             start = end
 
 
+def _products(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray) -> np.ndarray:
+    """Products of pairs of rows. Few are fetched at a time, into memory that is used again."""
+    out = np.empty(len(a_at))
+    left, right = np.empty((2, min(len(out), _PAIRS_AT_ONCE), a.shape[1]))
+    for at in range(0, len(out), _PAIRS_AT_ONCE):
+        end = min(len(out), at + _PAIRS_AT_ONCE)
+        x, y = left[: end - at], right[: end - at]
+        a.take(a_at[at:end], axis=0, out=x, mode="clip")
+        b.take(b_at[at:end], axis=0, out=y, mode="clip")
+        np.einsum("ij,ij->i", x, y, out=out[at:end])
+    return out
+
+
+def _true_places(flags: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` for flags few of which are set: eight are passed over at a time."""
+    flat = flags.ravel()
+    whole = len(flat) - len(flat) % 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    word, at = np.nonzero(flat[:whole].reshape(-1, 8)[words])
+    return np.concatenate([words[word] * 8 + at, whole + np.flatnonzero(flat[whole:])])
+
+
 def _place_in_run(values: np.ndarray) -> np.ndarray:
     """Place of each of sorted values among its equals."""
     at = np.arange(len(values))

@@ -245,3 +245,65 @@ def test_few_pairs_are_scored_twice_and_ties_go_to_the_least_id(monkeypatch):
     for question, mine in found.groupby("question_id"):
         assert mine["chunk_id"].tolist() == ids[np.lexsort((ids, far[question]))[:5]].tolist()
     assert pairs < 300 * 6000 / 2
+
+
+def _block(asked):
+    import pyarrow as pa
+
+    return retrieval._Questions(pa.array(range(len(asked))), pa.nulls(len(asked), pa.list_(pa.string())), asked)
+
+
+def _part(chunks, first=0):
+    import pyarrow as pa
+
+    return retrieval._Chunks(pa.array(range(first, first + len(chunks))), chunks)
+
+
+def _first_five(asked, chunks):
+    unit = lambda rows: rows / np.linalg.norm(rows.astype(float), axis=1)[:, None]
+    far = np.rint((1 - unit(asked) @ unit(chunks).T) * 1e6)
+    return {(q, int(c)) for q in range(len(asked)) for c in np.lexsort((np.arange(len(chunks)), far[q]))[:5]}
+
+
+def test_first_chunks_of_a_task_are_scored_in_double_precision_only_where_near(monkeypatch):
+    rng = np.random.default_rng(6)
+    asked, chunks = rng.normal(size=(300, 16)), rng.normal(size=(512, 16)).astype(np.float32)
+    chunks[100:103] = chunks[17]  # copies, and chunks that single precision does not tell apart
+    chunks[200:203] = chunks[18] * (1 + 1e-6 * rng.normal(size=(3, 16)))
+    asked[7], asked[8] = chunks[17], chunks[18]
+    best = retrieval._Best(_block(asked), 5)
+    row, column = best._near(np.arange(300), _part(chunks))
+    assert 300 * 5 <= len(row) < 300 * 8
+    best.add(None, _part(chunks[:3]))  # fewer chunks than are wanted, then the others
+    best.add(None, _part(chunks[3:], 3))
+    found = best.table().to_pydict()
+    assert set(zip(found["question_id"], found["chunk_id"])) == _first_five(asked, chunks)
+
+
+def test_pairs_that_are_scored_again_are_fetched_few_at_a_time():
+    import tracemalloc
+
+    rng = np.random.default_rng(7)
+    asked, chunks = rng.normal(size=(2000, 384)), rng.normal(size=(1024, 384)).astype(np.float32)
+    best = retrieval._Best(_block(asked), 5)
+    best.add(None, _part(chunks[:512]))
+    part = _part(chunks[512:], 512)
+    assert part.double.size and part.single.size
+    tracemalloc.start()
+    try:
+        question, _, _ = best._candidates(np.arange(2000), part)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(question) > 4000
+    assert peak < 20e6
+    best.add(None, part)
+    found = best.table().to_pydict()
+    assert set(zip(found["question_id"], found["chunk_id"])) == _first_five(asked, chunks)
+
+
+@pytest.mark.parametrize("shape", [(0, 5), (1, 7), (3, 8), (13, 21)])
+def test_places_of_set_flags(shape):
+    flags = np.random.default_rng(8).random(shape) < 0.1
+    flags.ravel()[-1:] = True
+    assert retrieval._true_places(flags).tolist() == np.flatnonzero(flags).tolist()
