@@ -4,9 +4,10 @@ Distance is one minus cosine, rounded to six places so that the ranking does not
 on the order of additions; equal distances are ranked by chunk id.
 
 ``nearest_chunks`` keeps a question table of checked size resident in every task and
-scans the store once, where it lies. A task scores Arrow batches as matrix products and
-keeps k rows per question, so only partial answers are shuffled. More questions than the
-bound are cut into blocks, asked a few at a time, so no chunk vector ever moves.
+scans the store once, where it lies. A task scores Arrow batches as matrix products, of
+bytes where they can be had, and keeps k rows per question, so only partial answers are
+shuffled. More questions than the bound are cut into blocks, asked a few at a time, after a
+few chunks have told how near the hits of each must be.
 ``nearest_chunks_by_cell`` looks only into the cells nearest to a question;
 ``nearest_chunks_by_code`` scans codes of a few bytes and reads vectors of candidates only.
 """
@@ -14,12 +15,14 @@ bound are cut into blocks, asked a few at a time, so no chunk vector ever moves.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrascope.functions.bounds import pinned, small_rows, small_side
+from narrascope.functions.byte_products import Asked, Columns, byte_products, columns, may_reach
 from narrascope.schema import CATEGORY, TOP_K
 
 PLACES = 6
@@ -40,15 +44,23 @@ CANDIDATES = 10
 RECALL = 0.9
 RECALL_QUESTIONS = 1024
 _CANDIDATES = 4
-_SCORES_AT_ONCE = 1 << 22
+_SCORES_AT_ONCE = 1 << 21
 #: Pairs whose vectors are fetched at once.
 _PAIRS_AT_ONCE = 256
+#: Questions from which it pays to round chunks to bytes for them.
+_MANY_QUESTIONS = 256
+#: What scoring a pair again costs, in products of a pair.
+_PAIR_COST = 32
 #: Chunks that are scored at once: the first of a category, and at most.
 _FIRST_CHUNKS, _MOST_CHUNKS = 512, 4096
 #: Above any distance in units of its last place.
 _DISTANCES = 1 << 22
-#: Questions in the driver at once, which a job asks.
-_QUESTIONS_AT_ONCE = 32_768
+#: Of so many chunks one is met first, within bounds, to tell what is near.
+_FIRST_OF, _LEAST_FIRST, _MOST_FIRST = 32, 1 << 14, 1 << 17
+#: Times ``RESIDENT_QUESTIONS`` questions that a scan serves, and scans whose questions are in the driver.
+_SHARES_OF_A_SCAN, _SCANS_AT_ONCE = 2, 2
+#: Vectors made ready at once.
+_VECTORS_AT_ONCE = 1024
 _FEW_HITS = 100_000
 #: Sets of keys that questions may ask for: two to this power, a scan each.
 _MOST_KEYS = 6
@@ -93,6 +105,22 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1))[:, None]
 
 
+def _lengths(rows: np.ndarray) -> np.ndarray:
+    """What ``_unit`` divides rows by; few are in double precision at once."""
+    lengths = np.empty(len(rows))
+    for at in range(0, len(rows), _VECTORS_AT_ONCE):
+        some = rows[at : at + _VECTORS_AT_ONCE].astype(np.float64)
+        lengths[at : at + _VECTORS_AT_ONCE] = np.sqrt((some * some).sum(axis=1))
+    return lengths
+
+
+def _single(rows: np.ndarray) -> np.ndarray:
+    squares = np.einsum("ij,ij->i", rows, rows)
+    if np.isfinite(squares).all() and (squares > 1e-30).all():
+        return (rows / np.sqrt(squares)[:, None]).astype(np.float32)
+    return _unit(rows).astype(np.float32)
+
+
 def _column(table: pa.Table | pa.RecordBatch, name: str) -> pa.Array:
     column = table.column(name)
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
@@ -104,11 +132,15 @@ def _places(similar: np.ndarray) -> np.ndarray:
 
 @dataclass
 class _Questions:
-    """Questions of one block: ids, vectors and the categories each asks for, null for any."""
+    """Questions of one block: ids, vectors and the categories each asks for, null for any.
+
+    No hit of a question is farther than its ``worst``, in units of the last place, where it is known.
+    """
 
     ids: pa.Array
     wanted: pa.Array
     rows: np.ndarray
+    worst: np.ndarray | None = None
 
     @classmethod
     def of(cls, table: pa.Table) -> _Questions:
@@ -116,12 +148,26 @@ class _Questions:
         lengths = pc.min_max(pc.list_value_length(vectors)).as_py()
         _one_length((lengths["min"], lengths["max"]))
         rows, kept = _usable(vectors, None)
+        worst = _column(table, "worst").to_numpy()[kept] if "worst" in table.column_names else None
         kept = pa.array(kept)
-        return cls(_column(table, "question_id").take(kept), _column(table, "wanted").take(kept), rows)
+        return cls(_column(table, "question_id").take(kept), _column(table, "wanted").take(kept), rows, worst)
 
     @cached_property
-    def vectors(self) -> np.ndarray:
-        return _unit(self.rows)
+    def lengths(self) -> np.ndarray:
+        return _lengths(self.rows)
+
+    @cached_property
+    def bytes(self) -> Asked:
+        return Asked.of(self.rows if self.are_single else _single(self.rows))
+
+    @cached_property
+    def are_single(self) -> bool:
+        """Whether the rows are at unit length in single precision as they are."""
+        return self.rows.dtype == np.float32 and bool((np.abs(self.lengths - 1) < np.finfo(np.float32).eps).all())
+
+    def single(self, places: np.ndarray) -> np.ndarray:
+        rows = self.rows.take(places, axis=0)
+        return rows if self.are_single else _single(rows)
 
     @cached_property
     def groups(self) -> dict[str | None, np.ndarray]:
@@ -154,10 +200,11 @@ class _Chunks:
 
     @cached_property
     def single(self) -> np.ndarray:
-        squares = np.einsum("ij,ij->i", self.rows, self.rows)
-        if np.isfinite(squares).all() and (squares > 1e-30).all():
-            return (self.rows / np.sqrt(squares)[:, None]).astype(np.float32)
-        return self.double.astype(np.float32)
+        return _single(self.rows)
+
+    @cached_property
+    def bytes(self) -> list[Columns]:
+        return columns(self.single)
 
     @cached_property
     def id_order(self) -> np.ndarray:
@@ -178,9 +225,12 @@ class _Best:
     def __init__(self, questions: _Questions, k: int):
         self.k = k
         self.questions = questions
-        self.single = questions.vectors.astype(np.float32)
-        self.worst = np.full(len(questions.vectors), np.inf)
-        self.seen = dict.fromkeys(questions.groups, 0)
+        self.dim = questions.rows.shape[1]
+        # A distance is rounded by less than its last place, besides the error of a product.
+        self.slack = 1.0 / 10**PLACES + 2 * self.dim * np.finfo(np.float32).eps
+        self.worst = np.full(len(questions.rows), np.inf) if questions.worst is None else questions.worst.copy()
+        known = {c: np.isfinite(self.worst[places]).all() for c, places in questions.groups.items()}
+        self.seen = {category: _MOST_CHUNKS if known[category] else 0 for category in known}
         # Rows in the order of questions: place of the question, distance, place among the ids.
         self.question, self.distance, self.id_at = (np.empty(0, np.int64) for _ in range(3))
         self.ids: pa.Array | None = None
@@ -192,6 +242,7 @@ class _Best:
         """Rank the chunks of one slice for the questions that ask for their category."""
         asked = self.questions.groups[category]
         step = max(1, _SCORES_AT_ONCE // len(part))
+        step = -(-len(asked) // -(-len(asked) // step))
         found = [self._candidates(asked[at : at + step], part) for at in range(0, len(asked), step)]
         self._rank(*(np.concatenate(columns) for columns in zip(*found)), part.ids)
         self.seen[category] += len(part)
@@ -214,7 +265,7 @@ class _Best:
         )
         question, distance, id_at = self._first(question, distance, id_at)
         full = np.flatnonzero(_place_in_run(question) == self.k - 1)
-        self.worst[question[full]] = distance[full]
+        self.worst[question[full]] = np.minimum(self.worst[question[full]], distance[full])
         new = question, distance, id_at
         self.question, self.distance, self.id_at = (np.concatenate([mine[~again], n]) for mine, n in zip(old, new))
         if len(self.ids) > 2 * len(self.question):
@@ -239,42 +290,72 @@ class _Best:
 
     def _candidates(self, asked: np.ndarray, chunks: _Chunks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places of questions, distances and places of chunks that may be ranked."""
-        vectors = self.questions.vectors
         row, column = self._near(asked, chunks)
         if row is not None:
-            similar = _products(vectors, asked[row], chunks.double, column)
-        else:
-            every = vectors[asked] @ chunks.double.T
-            # Distance and id in one integer: no ties, however many copies a chunk has.
-            order = _places(every) * len(chunks) + chunks.id_order
-            k = min(self.k, len(chunks))
-            column = np.argpartition(order, k - 1, axis=1)[:, :k].ravel()
-            row = np.repeat(np.arange(len(asked)), k)
-            similar = every[row, column]
-        return asked[row], _places(similar), column
+            distance = _places(self._exact(asked[row], chunks, column))
+            enters = distance <= self.worst[asked[row]]
+            return asked[row[enters]], distance[enters], column[enters]
+        every = _unit(self.questions.rows[asked]) @ chunks.double.T
+        # Distance and id in one integer: no ties, however many copies a chunk has.
+        order = _places(every) * len(chunks) + chunks.id_order
+        k = min(self.k, len(chunks))
+        column = np.argpartition(order, k - 1, axis=1)[:, :k].ravel()
+        row = np.repeat(np.arange(len(asked)), k)
+        return asked[row], _places(every[row, column]), column
 
     def _near(self, asked: np.ndarray, chunks: _Chunks):
         """Pairs that can still be ranked, or nothing when they are not few.
 
-        A product in single precision decides, with slack for rounding and for its error;
-        the pairs it lets through are scored again in double precision. A question that has not
-        seen k chunks yet goes by the k-th best of these.
+        A product of bytes or in single precision decides, with slack for rounding and for its
+        error; the pairs it lets through are scored again in double precision. A question that
+        has not seen k chunks yet goes by the k-th best of these.
         """
         worst = self.worst[asked]
         unknown = np.flatnonzero(np.isinf(worst))
         if len(unknown) and len(chunks) <= self.k:
             return None, None
-        similar = self.single[asked] @ chunks.single.T
-        floor = 1.0 - worst / 10**PLACES
+        floor, single = 1.0 - worst / 10**PLACES, self.questions.single(asked)
+        if not len(unknown) and len(asked) >= _MANY_QUESTIONS and byte_products(self.dim):
+            row, column = self._near_by_bytes(asked, single, chunks, floor - self.slack)
+            if row is not None:
+                return row, column
+        similar = single @ chunks.single.T
         if len(unknown):
             seen = similar if len(unknown) == len(asked) else similar[unknown]
             floor[unknown] = np.partition(seen, len(chunks) - self.k, axis=1)[:, len(chunks) - self.k]
-        slack = 1.0 / 10**PLACES + 2 * self.single.shape[1] * np.finfo(np.float32).eps
-        near = similar >= (floor - slack).astype(np.float32)[:, None]
+        near = similar >= (floor - self.slack).astype(np.float32)[:, None]
         if np.count_nonzero(near) > _CANDIDATES * self.k * len(asked):
             return None, None
         return np.divmod(_true_places(near), len(chunks))
 
+    def _near_by_bytes(self, asked: np.ndarray, single: np.ndarray, chunks: _Chunks, floor: np.ndarray):
+        """Pairs whose product may be ``floor``, or nothing when one in single precision costs less.
+
+        Pairs that bytes let through are scored in single precision first.
+        """
+        own, most, found = self.questions.bytes.take(asked), len(asked) * len(chunks) // _PAIR_COST, []
+        for cut in chunks.bytes:
+            row, column = np.divmod(_true_places(may_reach(own, cut, floor)), len(cut.places))
+            most -= len(row)
+            if most < 0:
+                return None, None
+            column = cut.places[column]
+            near = _products(single, row, chunks.single, column) >= floor[row]
+            found.append((row[near], column[near]))
+        return tuple(np.concatenate(places) for places in zip(*found))
+
+    def _exact(self, question: np.ndarray, chunks: _Chunks, column: np.ndarray) -> np.ndarray:
+        """Products of pairs at unit length in double precision."""
+        asked, out = self.questions, np.empty(len(question))
+        left, right = np.empty((2, min(len(out), _PAIRS_AT_ONCE), self.dim))
+        for at in range(0, len(out), _PAIRS_AT_ONCE):
+            end = min(len(out), at + _PAIRS_AT_ONCE)
+            x, y, places = left[: end - at], right[: end - at], question[at:end]
+            np.divide(asked.rows.take(places, axis=0).astype(np.float64), asked.lengths[places, None], out=x)
+            chunks.double.take(column[at:end], axis=0, out=y, mode="clip")
+            np.einsum("ij,ij->i", x, y, out=out[at:end])
+        return out
+
     def table(self) -> pa.Table | None:
         if self.ids is None:
             return None
@@ -289,10 +370,10 @@ class _Best:
 
 def _offer(blocks: Sequence[_Best], batch: pa.Table | pa.RecordBatch):
     """Rank the chunks of a batch for every block of questions; a slice is made ready once for all."""
-    blocks = [best for best in blocks if len(best.single)]
+    blocks = [best for best in blocks if len(best.worst)]
     if not blocks:
         return
-    rows, kept = _usable(_column(batch, "chunk_vector"), blocks[0].single.shape[1])
+    rows, kept = _usable(_column(batch, "chunk_vector"), blocks[0].dim)
     if not len(kept):
         return
     kept = pa.array(kept)
@@ -319,8 +400,8 @@ def _offer(blocks: Sequence[_Best], batch: pa.Table | pa.RecordBatch):
 
 def _products(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray) -> np.ndarray:
     """Products of pairs of rows. Few are fetched at a time, into memory that is used again."""
-    out = np.empty(len(a_at))
-    left, right = np.empty((2, min(len(out), _PAIRS_AT_ONCE), a.shape[1]))
+    out = np.empty(len(a_at), a.dtype)
+    left, right = np.empty((2, min(len(out), _PAIRS_AT_ONCE), a.shape[1]), a.dtype)
     for at in range(0, len(out), _PAIRS_AT_ONCE):
         end = min(len(out), at + _PAIRS_AT_ONCE)
         x, y = left[: end - at], right[: end - at]
@@ -331,12 +412,15 @@ def _products(a: np.ndarray, a_at: np.ndarray, b: np.ndarray, b_at: np.ndarray)
 
 
 def _true_places(flags: np.ndarray) -> np.ndarray:
-    """``np.flatnonzero`` for flags few of which are set: eight are passed over at a time."""
+    """``np.flatnonzero`` for flags few of which are set: 64 are passed over at a time, in eights from all over."""
     flat = flags.ravel()
-    whole = len(flat) - len(flat) % 8
-    words = np.flatnonzero(flat[:whole].view(np.uint64))
-    word, at = np.nonzero(flat[:whole].reshape(-1, 8)[words])
-    return np.concatenate([words[word] * 8 + at, whole + np.flatnonzero(flat[whole:])])
+    whole = len(flat) - len(flat) % 64
+    words = flat[:whole].view(np.uint64).reshape(8, -1)
+    some = np.flatnonzero(np.bitwise_or.reduce(words, axis=0))
+    part, at = np.nonzero(words[:, some])
+    word = part * words.shape[1] + some[at]  # in order, as parts are
+    found, at = np.nonzero(flat[:whole].reshape(-1, 8)[word])
+    return np.concatenate([word[found] * 8 + at, whole + np.flatnonzero(flat[whole:])])
 
 
 def _place_in_run(values: np.ndarray) -> np.ndarray:
@@ -483,33 +567,60 @@ def _score(asked: DataFrame, held: DataFrame, k: int, limit: int) -> tuple[DataF
 def _score_question_blocks(asked: DataFrame, number: int, held: DataFrame, k: int, size: int) -> DataFrame:
     """Answers of any number of written questions, in blocks of ``size`` at most.
 
-    A scan of the store serves one block, or as many small ones as have ``RESIDENT_QUESTIONS``
-    questions, so the number of scans does not grow as blocks get smaller. Questions are drawn
-    by hash of the row's place, so scans are even whatever ids repeat. The questions of a few
-    scans at a time are in the driver; each is a set of tasks of one job, whose answers are
-    written. So the driver and a task hold a bounded number of questions. No chunk vector is
-    shuffled; the questions of a scan are bounded but for the draw.
+    A scan of the store serves as many blocks as have a few times ``RESIDENT_QUESTIONS`` questions,
+    so the number of scans does not grow as blocks get smaller. Questions are drawn by hash of
+    the row's place, so scans are even whatever ids repeat. The questions of two scans at a time
+    are in the driver. So the driver and a task hold a bounded number of questions. No chunk
+    vector is shuffled but those of a few that are asked first; the questions of a scan are
+    bounded but for the draw.
     """
-    most = max(size, RESIDENT_QUESTIONS)
+    most = max(size, _SHARES_OF_A_SCAN * RESIDENT_QUESTIONS)
     scans = -(-number // most)
     _one_length(asked.agg(F.min(F.size("question_vector")), F.max(F.size("question_vector"))).head())
     drawn = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(scans))
     drawn = pinned(asked.withColumn("scan", drawn.cast("int")), "question-blocks")
-    together = max(1, _QUESTIONS_AT_ONCE // most)
-    parts = []
-    for first in range(0, scans, together):
-        some = drawn.where((F.col("scan") >= first) & (F.col("scan") < first + together)).toArrow()
-        scan_of = some.column("scan").combine_chunks().to_numpy()
-        found = [
-            _score_resident(some.filter(pa.array(scan_of == scan)).drop_columns("scan"), asked, held, k, size)
-            for scan in np.unique(scan_of)
-        ]
-        if found:
-            best = _top(reduce(DataFrame.union, found), k)
-            parts.append(pinned(best.drop("rank"), "block-answers"))
+    few = _first_chunks(held)
+
+    @inheritable_thread_target(asked.sparkSession)
+    def answer(scan: int) -> DataFrame | None:
+        resident = drawn.where(F.col("scan") == scan).drop("scan").toArrow()
+        if not resident.num_rows:
+            return None
+        if few is not None:
+            resident = resident.append_column("worst", _bounds(resident, few, k, size))
+        best = _top(_score_resident(resident, asked, held, k, size), k)
+        return pinned(best.drop("rank"), "block-answers")
+
+    # The last tasks of a scan leave cores to the next one.
+    with ThreadPoolExecutor(_SCANS_AT_ONCE) as pool:
+        parts = [part for part in pool.map(answer, range(scans)) if part is not None]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _first_chunks(held: DataFrame) -> DataFrame | None:
+    """A few of very many chunks, written, to be met by all questions before all chunks are."""
+    total = held.count()
+    few = min(max(total // _FIRST_OF, _LEAST_FIRST), _MOST_FIRST)
+    if total < 8 * few:
+        return None
+    tasks = held.sparkSession.sparkContext.defaultParallelism
+    return pinned(held.sample(few / total, seed=42).repartition(tasks), "first-chunks")
+
+
+def _bounds(resident: pa.Table, few: DataFrame, k: int, size: int) -> pa.Array:
+    """The k-th best distance of each question among a few chunks, infinite where they are fewer than k.
+
+    The k best of all chunks are no farther, so a task that knows it need not find out by itself
+    what is near; it still scores all of its chunks. Questions go by place, as ids may repeat.
+    """
+    numbered = resident.set_column(resident.schema.get_field_index("question_id"), "question_id", pa.array(range(resident.num_rows), pa.int64()))
+    asked = few.select(F.lit(0).cast("long").alias("question_id"))
+    last = _top(_score_resident(numbered, asked, few, k, size), k).where(F.col("rank") == k).toArrow()
+    worst = np.full(resident.num_rows, np.inf)
+    worst[last.column("question_id").to_numpy()] = np.rint(last.column("distance").to_numpy() * 10**PLACES)
+    return pa.array(worst)
+
+
 def _one_length(found) -> None:
     """Question vectors have the length of the store's; two lengths are an error."""
     if found[0] is not None and found[0] != found[1]:

@@ -307,3 +307,26 @@ def test_places_of_set_flags(shape):
     flags = np.random.default_rng(8).random(shape) < 0.1
     flags.ravel()[-1:] = True
     assert retrieval._true_places(flags).tolist() == np.flatnonzero(flags).tolist()
+
+
+@pytest.mark.parametrize("limit", [7, 12])
+def test_a_few_chunks_bound_the_answers_of_many_questions(spark, data, limit, monkeypatch):
+    asked, store = data
+    # Ids repeat and are null; such questions share their k answers.
+    twice = [(None if i % 4 == 0 else i % 3, *row[1:]) for i, row in enumerate(asked)]
+    table, chunks = spark.createDataFrame(twice, ASKED), spark.createDataFrame(store, STORE).repartition(3)
+    whole = retrieval.nearest_chunks(table, chunks, 4, question_category="wanted")
+    given, score = [], retrieval._score_resident
+    monkeypatch.setattr(retrieval, "_score_resident", lambda block, *rest: given.append(block) or score(block, *rest))
+    monkeypatch.setattr(retrieval, "RESIDENT_QUESTIONS", 6)
+    monkeypatch.setattr(retrieval, "_FIRST_OF", 8)
+    monkeypatch.setattr(retrieval, "_LEAST_FIRST", 1)
+    found = retrieval.nearest_chunks(table, chunks, 4, question_category="wanted", resident_limit=limit)
+    key = lambda r: (str(r.question_id), r["rank"], r.chunk_id, abs(r.distance))
+    assert sorted(map(key, found.collect())) == sorted(map(key, whole.collect()))
+    bounds = [block for block in given if "worst" in block.column_names]
+    assert sum(block.num_rows for block in bounds) == len(asked) and 2 * len(bounds) == len(given)
+    assert any(np.isfinite(block.column("worst").to_numpy()).any() for block in bounds)
+    monkeypatch.undo()
+    unique = retrieval.nearest_chunks(spark.createDataFrame(asked, ASKED), chunks, 4, question_category="wanted", resident_limit=limit)
+    assert rows(unique) == brute(asked, store, 4)
